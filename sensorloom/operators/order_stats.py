@@ -9,41 +9,49 @@ Two plans with the same result:
   cumulative counts run per slice and are lifted by the totals of the slices
   before, and the order statistics fall out of a combinable ``min``.  The
   approximate cut points only balance the work, the result is exact.
+
+Expressions are written as SQL text: the plans are wide, and text keeps the
+time to build them on the driver short.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.functions.names import quote
 from sensorloom.operators.slices import split_hot
 
 QUANTILES = {"median": 0.5, "q1": 0.25, "q3": 0.75, "p10": 0.10}
 ORDER_FEATURES = frozenset((*QUANTILES, "share_above_q3", "mad_mean", "mad_median"))
 MOMENT_FEATURES = frozenset(("mean", "max", "min", "std", "range", "cv"))
 
-_SLICES = 64
+_MOMENTS = {
+    "mean": "avg({v})",
+    "max": "max({v})",
+    "min": "min({v})",
+    "std": "stddev_samp({v})",
+    "range": "max({v}) - min({v})",
+    "cv": "case when avg({v}) <> 0 then stddev_samp({v}) / avg({v}) end",
+}
 
+_SLICE_BITS = 10
+_SLICES = 1 << _SLICE_BITS
+
+
+def _moments(value: str, wanted: Iterable[str]) -> list[str]:
+    return [f"{_MOMENTS[w].format(v=value)} as `{w}`" for w in wanted]
 
-def _moments(value: str) -> dict[str, Column]:
-    v = F.col(value)
-    mean, std = F.avg(v), F.stddev_samp(v)
-    return {
-        "mean": mean,
-        "max": F.max(v),
-        "min": F.min(v),
-        "std": std,
-        "range": F.max(v) - F.min(v),
-        "cv": F.when(mean != 0, std / mean),
-    }
+
+def _agg(df: DataFrame, keys: Sequence[str], exprs: Iterable[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
 
 def moment_stats(df: DataFrame, keys: Sequence[str], value: str, wanted: Iterable[str]) -> DataFrame:
     """Features that combine map-side: one small exchange, indifferent to skew."""
-    exprs = _moments(value)
-    return df.groupBy(*keys).agg(*[exprs[w].alias(w) for w in wanted])
+    return _agg(df, keys, _moments(quote(value), wanted))
 
 
 def _quantiles_needed(wanted: set[str]) -> dict[str, float]:
@@ -55,129 +63,126 @@ def _quantiles_needed(wanted: set[str]) -> dict[str, float]:
     return {q: QUANTILES[q] for q in sorted(need)}
 
 
-def _low_rank(p: float) -> Column:
-    return F.floor(F.lit(p) * (F.col("_n") - 1)) + 1
+# 1-based ranks of the two neighbours of a quantile among _n sorted values
+def _low_rank(p: float) -> str:
+    return f"(floor({p}D * (_n - 1)) + 1)"
 
 
-def _high_rank(p: float) -> Column:
-    return F.least(_low_rank(p) + 1, F.col("_n"))
+def _high_rank(p: float) -> str:
+    return f"least({_low_rank(p)} + 1, _n)"
 
 
-def _interpolate(low: Column, high: Column, p: float) -> Column:
-    position = F.lit(p) * (F.col("_n") - 1)
-    return low + (high - low) * (position - F.floor(position))
-
-
-def _ordinary(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
-    v = F.col(value)
-    group = Window.partitionBy(*keys)
-    ranked = group.orderBy(v.asc_nulls_last())
-    quantiles = _quantiles_needed(wanted)
-    rows = df.select(*keys, value).withColumn("_n", F.count(v).over(group))
-    if "mad_mean" in wanted:
-        rows = rows.withColumn("_mean", F.avg(v).over(group))
-    rows = rows.withColumn("_rank", F.row_number().over(ranked))
-    second_pass = {"share_above_q3": "q3", "mad_median": "median"}
-    for feature, q in second_pass.items():
-        if feature in wanted:
-            p = QUANTILES[q]
-            low = F.max(F.when(F.col("_rank") == _low_rank(p), v)).over(group)
-            high = F.max(F.when(F.col("_rank") == _high_rank(p), v)).over(group)
-            rows = rows.withColumn(f"_{q}", _interpolate(low, high, p))
-    aggs: list[Column] = [F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_rows")]
-    for q, p in quantiles.items():
-        aggs.append(F.max(F.when(F.col("_rank") == _low_rank(p), v)).alias(f"_lo_{q}"))
-        aggs.append(F.max(F.when(F.col("_rank") == _high_rank(p), v)).alias(f"_hi_{q}"))
-    if "share_above_q3" in wanted:
-        aggs.append(F.count_if(v > F.col("_q3")).alias("_above"))
-    if "mad_mean" in wanted:
-        aggs.append(F.avg(F.abs(v - F.col("_mean"))).alias("mad_mean"))
-    if "mad_median" in wanted:
-        aggs.append(F.avg(F.abs(v - F.col("_median"))).alias("mad_median"))
-    moments = _moments(value)
-    aggs += [moments[w].alias(w) for w in sorted(wanted & MOMENT_FEATURES)]
-    return _finish(rows.groupBy(*keys).agg(*aggs), keys, wanted)
+def _interpolate(low: str, high: str, p: float) -> str:
+    position = f"{p}D * (_n - 1)"
+    return f"({low} + ({high} - {low}) * ({position} - floor({position})))"
 
 
 def _finish(stats: DataFrame, keys: list[str], wanted: set[str]) -> DataFrame:
-    out = [F.col(k) for k in keys]
+    out = [quote(k) for k in keys]
     for w in sorted(wanted):
         if w in QUANTILES:
-            value = _interpolate(F.col(f"_lo_{w}"), F.col(f"_hi_{w}"), QUANTILES[w])
+            out.append(f"{_interpolate(f'_lo_{w}', f'_hi_{w}', QUANTILES[w])} as `{w}`")
         elif w == "share_above_q3":
-            value = F.when(F.col("_rows") < 4, F.lit(0.0)).otherwise(F.col("_above") / F.col("_rows"))
+            out.append("case when _rows < 4 then 0.0D else _above / _rows end as share_above_q3")
         else:
-            value = F.col(w)
-        out.append(value.alias(w))
-    return stats.select(*out)
+            out.append(f"`{w}`")
+    return stats.selectExpr(*out)
 
 
-def value_counts_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(group, value, count); combined map-side and spread over value too."""
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+def _ordinary(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
+    v, key = quote(value), [quote(k) for k in keys]
+    group = f"partition by {', '.join(key)}"
+    ranks = [
+        f"count({v}) over ({group}) as _n",
+        f"row_number() over ({group} order by {v} asc nulls last) as _rank",
+    ]
+    if "mad_mean" in wanted:
+        ranks.append(f"avg({v}) over ({group}) as _mean")
+    rows = df.selectExpr(*key, v, *ranks)
+    picked = {}
+    for q, p in _quantiles_needed(wanted).items():
+        picked[q] = tuple(f"max(case when _rank = {rank} then {v} end)" for rank in (_low_rank(p), _high_rank(p)))
+    centers = [q for feature, q in (("share_above_q3", "q3"), ("mad_median", "median")) if feature in wanted]
+    if centers:
+        over = {q: [f"{pick} over ({group})" for pick in picked[q]] for q in centers}
+        rows = rows.selectExpr("*", *[f"{_interpolate(*over[q], QUANTILES[q])} as _{q}" for q in centers])
+    aggs = ["max(_n) as _n", "count(1) as _rows"]
+    for q, (low, high) in picked.items():
+        aggs += [f"{low} as _lo_{q}", f"{high} as _hi_{q}"]
+    if "share_above_q3" in wanted:
+        aggs.append(f"count_if({v} > _q3) as _above")
+    if "mad_mean" in wanted:
+        aggs.append(f"avg(abs({v} - _mean)) as mad_mean")
+    if "mad_median" in wanted:
+        aggs.append(f"avg(abs({v} - _median)) as mad_median")
+    aggs += _moments(v, sorted(wanted & MOMENT_FEATURES))
+    return _finish(_agg(rows, keys, aggs), keys, wanted)
 
 
-def _hot(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
-    v, c = F.col(value), F.col("_c")
-    counted = value_counts_per_group(df, keys, value)
-    known = counted.filter(v.isNotNull())
-    cut_at = [i / _SLICES for i in range(1, _SLICES)]
-    totals = counted.groupBy(*keys).agg(
-        F.sum(F.when(v.isNotNull(), c).otherwise(0)).alias("_n"),
-        F.sum(c).alias("_rows"),
-        (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("mean"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.percentile_approx(v, cut_at, F.lit(10_000)).alias("_cuts"),
+def _cuts_below(v: str) -> str:
+    """How many of the ``_SLICES - 1`` sorted cut points lie below ``v``, by
+    binary search."""
+    return (
+        f"aggregate(sequence({_SLICE_BITS - 1}, 0, -1), 0, (below, bit) -> "
+        f"if(get(_cuts, below + shiftleft(1, bit) - 1) < {v}, below + shiftleft(1, bit), below))"
     )
+
+
+def _hot(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
+    v, key = quote(value), [quote(k) for k in keys]
+    group = f"partition by {', '.join(key)}"
+    # combined map-side and spread over value too
+    counted = df.groupBy(*keys, value).agg(F.expr("count(1) as _c"))
+    known = counted.filter(f"{v} is not null")
+    shares = ",".join(str(i / _SLICES) for i in range(1, _SLICES))
+    cut_at = f"cast(split('{shares}', ',') as array<double>)"  # one constant
+    totals = _agg(counted, keys, [
+        f"sum(case when {v} is not null then _c else 0 end) as _n",
+        "sum(_c) as _rows",
+        f"sum({v} * _c) / sum(case when {v} is not null then _c end) as mean",
+        f"min({v}) as min",
+        f"max({v}) as max",
+        f"percentile_approx({v}, {cut_at}, 10000) as _cuts",
+    ])
     quantiles = _quantiles_needed(wanted)
     stats = totals.drop("_cuts")
     if quantiles:
-        sliced = known.join(totals.select(*keys, "_n", "_cuts"), keys).withColumn(
-            "_part", F.size(F.filter("_cuts", lambda cut: cut < v))
-        )
-        before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        lifted = (
-            sliced.groupBy(*keys, "_part")
-            .agg(F.sum(c).alias("_total"))
-            .select(*keys, "_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+        sliced = known.join(totals, keys).selectExpr(
+            *key, v, "_c", "_n", f"{_cuts_below(v)} as _part"
         )
-        inside = (
-            Window.partitionBy(*keys, "_part")
-            .orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        placed = (
-            sliced.withColumn("_local", F.sum(c).over(inside))
-            .join(lifted, [*keys, "_part"])
-            .withColumn("_cum", F.col("_before") + F.col("_local"))
+        lifted = _agg(sliced, [*keys, "_part"], ["sum(_c) as _total"]).selectExpr(
+            *key, "_part",
+            f"sum(_total) over ({group} order by _part rows between unbounded preceding and 1 preceding) as _before",
         )
+        placed = sliced.selectExpr(
+            *key, v, "_n", "_part",
+            f"sum(_c) over ({group}, _part order by {v} rows between unbounded preceding and current row) as _local",
+        ).join(lifted, [*keys, "_part"])
+        cumulated = "coalesce(_before, 0) + _local"
         picks = []
         for q, p in quantiles.items():
-            picks.append(F.min(F.when(F.col("_cum") >= _low_rank(p), v)).alias(f"_lo_{q}"))
-            picks.append(F.min(F.when(F.col("_cum") >= _high_rank(p), v)).alias(f"_hi_{q}"))
-        stats = stats.join(placed.groupBy(*keys).agg(*picks), keys, "left")
-        for q, p in quantiles.items():
-            stats = stats.withColumn(f"_{q}", _interpolate(F.col(f"_lo_{q}"), F.col(f"_hi_{q}"), p))
-    centers = {"mad_mean": "mean", "mad_median": "_median"}
-    second: list[Column] = []
-    for feature, center in centers.items():
+            for name, rank in (("lo", _low_rank(p)), ("hi", _high_rank(p))):
+                picks.append(f"min(case when {cumulated} >= {rank} then {v} end) as _{name}_{q}")
+        stats = stats.join(_agg(placed, keys, picks), keys, "left").selectExpr(
+            "*", *[f"{_interpolate(f'_lo_{q}', f'_hi_{q}', p)} as _{q}" for q, p in quantiles.items()]
+        )
+    second = []
+    for feature, center in (("mad_mean", "mean"), ("mad_median", "_median")):
         if feature in wanted:
-            second.append((F.sum(c * F.abs(v - F.col(center))) / F.sum(c)).alias(feature))
+            second.append(f"sum(_c * abs({v} - {center})) / sum(_c) as {feature}")
     if "share_above_q3" in wanted:
-        second.append(F.sum(F.when(v > F.col("_q3"), c).otherwise(0)).alias("_above"))
+        second.append(f"sum(case when {v} > _q3 then _c else 0 end) as _over")
     if wanted & {"std", "cv"}:
-        squares = F.sum(c * (v - F.col("mean")) * (v - F.col("mean")))
-        n = F.sum(c)
-        second.append(F.when(n > 1, F.sqrt(squares / (n - 1))).alias("std"))
+        squares = f"sum(_c * ({v} - mean) * ({v} - mean))"
+        second.append(f"case when sum(_c) > 1 then sqrt({squares} / (sum(_c) - 1)) end as std")
     if second:
-        stats = stats.join(known.join(stats, keys).groupBy(*keys).agg(*second), keys, "left")
-    if "share_above_q3" in wanted:
-        stats = stats.withColumn("_above", F.coalesce("_above", F.lit(0)))
-    if "range" in wanted:
-        stats = stats.withColumn("range", F.col("max") - F.col("min"))
-    if "cv" in wanted:
-        stats = stats.withColumn("cv", F.when(F.col("mean") != 0, F.col("std") / F.col("mean")))
+        stats = stats.join(_agg(known.join(stats, keys), keys, second), keys, "left")
+    derived = {
+        "share_above_q3": "coalesce(_over, 0) as _above",
+        "range": "max - min as range",
+        "cv": "case when mean <> 0 then std / mean end as cv",
+    }
+    stats = stats.selectExpr("*", *[e for w, e in derived.items() if w in wanted])
     return _finish(stats, keys, wanted)
 
 

@@ -16,6 +16,17 @@ from sensorloom.operators.cleaning import special_number
 PARSE_ERROR, VALIDATION_ERROR = "JSONParseError", "ValidationError"
 
 
+def _has_key(name: str):
+    return lambda m: F.map_contains_key(m, name)
+
+
+def _once(df: DataFrame, keep: Sequence[str], *parsed) -> DataFrame:
+    """Select through a generator of one row: filters and projections above
+    are not merged into it, so that each document is parsed once and not once
+    per use of a parsed column."""
+    return df.select(*keep, F.inline(F.array(F.struct(*parsed))))
+
+
 def parse_documents(
     df: DataFrame,
     fields: Sequence[str],
@@ -31,48 +42,46 @@ def parse_documents(
     the time may also be called ``index``.
     """
     text = F.col(column)
-    wanted = list(dict.fromkeys([time, "index", *fields]))
-    row_type = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in wanted]))
-    column_type = T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in wanted])
-    key_type = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-
     blank = text.isNull() | (F.trim(text) == "")
-    broken = blank | F.try_parse_json(text).isNull()
-    nested = F.coalesce(F.get_json_object(text, "$.data"), text)
-    whole = F.when(F.startswith(F.ltrim(text), F.lit("[")), text).otherwise(nested)
-    docs = df.withColumn("_broken", broken).withColumn("_body", F.when(~F.col("_broken"), whole))
-
-    body = F.col("_body")
-    listed = F.startswith(F.ltrim(body), F.lit("["))
-    rows = F.from_json(F.when(listed, body), row_type)
-    columns = F.from_json(F.when(~listed, body), column_type)
-    keys = F.from_json(F.when(listed, body), key_type)
+    docs = _once(df, [*ids], blank.alias("_blank"), F.try_parse_json(text).alias("_v"))
+    body = F.coalesce(F.try_variant_get("_v", "$.data", "variant"), F.col("_v"))
+    docs = _once(
+        docs, [*ids], "_blank", F.col("_v").isNull().alias("_broken"),
+        F.try_variant_get(body, "$", "array<map<string,string>>").alias("_rows"),
+        F.try_variant_get(body, "$", "map<string,array<string>>").alias("_columns"),
+    )
+    at = F.try_element_at
+    rows, columns = F.col("_rows"), F.col("_columns")
     from_rows = F.transform(
-        rows, lambda r: F.struct(F.coalesce(r[time], r["index"]).alias("time"), *[r[f].alias(f) for f in fields])
+        rows,
+        lambda m: F.struct(
+            F.coalesce(at(m, F.lit(time)), at(m, F.lit("index"))).alias("time"),
+            *[at(m, F.lit(f)).alias(f) for f in fields],
+        ),
     )
-    stamps = F.coalesce(columns[time], columns["index"])
+    stamps = F.coalesce(at(columns, F.lit(time)), at(columns, F.lit("index")))
     from_columns = F.transform(
-        F.arrays_zip(stamps.alias("time"), *[columns[f].alias(f) for f in fields]),
+        F.arrays_zip(stamps.alias("time"), *[at(columns, F.lit(f)).alias(f) for f in fields]),
         lambda r: F.struct(r["time"].alias("time"), *[r[f].alias(f) for f in fields]),
     )
     absent = []
     for f in fields:
-        present = F.when(listed, F.exists(keys, lambda m: F.map_contains_key(m, f))).otherwise(
-            F.array_contains(F.json_object_keys(body), f)
-        )
-        absent.append(F.when(~F.coalesce(present, F.lit(False)), F.lit(f)))
+        in_rows = F.exists(rows, _has_key(f))
+        present = F.coalesce(in_rows, F.map_contains_key(columns, f), F.lit(False))
+        absent.append(F.when(~present, F.lit(f)))
     docs = docs.withColumn("_absent", F.array_compact(F.array(*absent)))
-    docs = docs.withColumn("_records", F.when(listed, from_rows).otherwise(from_columns))
-    no_rows = F.col("_records").isNull() | (F.size("_records") == 0)
+    docs = docs.withColumn("_records", F.coalesce(from_rows, from_columns))
+    broken = F.col("_broken") | F.col("_blank")
+    no_rows = F.coalesce(F.size("_rows"), F.size(stamps), F.lit(0)) < 1
     lacking = F.size("_absent") > 0
-    rejected = F.col("_broken") | no_rows | lacking
+    rejected = broken | no_rows | lacking
 
     rejects = docs.filter(rejected).select(
         *ids,
         F.lit(False).alias("success"),
-        F.when(F.col("_broken"), PARSE_ERROR).otherwise(VALIDATION_ERROR).alias("type"),
-        F.when(blank, "Input JSON string is empty")
-        .when(F.col("_broken"), "Invalid JSON format")
+        F.when(broken, PARSE_ERROR).otherwise(VALIDATION_ERROR).alias("type"),
+        F.when(F.col("_blank"), "Input JSON string is empty")
+        .when(broken, "Invalid JSON format")
         .when(no_rows, "DataFrame is empty")
         .otherwise(F.concat(F.lit("Field not found: "), F.array_join("_absent", ", ")))
         .alias("message"),
