@@ -49,10 +49,8 @@ def store_table(
         clean = clean.withColumn(PARTITION, local_month(F.col(stamp)))
     order = [names.sanitize(c) for c in order] or [stamp if stamp in clean.columns else clean.columns[0]]
     laid = _layout(clean, order, by_month)
-    if spark.catalog.tableExists(table):
-        laid.writeTo(table).option("maxRecordsPerFile", rows_per_file).append()
-        return
-    writer = laid.write.format(fmt).option("maxRecordsPerFile", rows_per_file)
+    # appending this way matches columns by name
+    writer = laid.write.mode("append").format(fmt).option("maxRecordsPerFile", rows_per_file)
     if by_month:
         writer = writer.partitionBy(PARTITION)
     writer.saveAsTable(table)
@@ -69,7 +67,7 @@ def append_by_name(df: DataFrame, table: str) -> None:
         (names.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
-    df.select(*columns).writeTo(table).append()
+    df.select(*columns).write.mode("append").insertInto(table)
 
 
 def write_month_partitions(

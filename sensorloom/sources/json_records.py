@@ -109,7 +109,8 @@ def read_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> tupl
     go to the rejects with their text."""
     corrupt = "_malformed"
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    df = spark.read.schema(full).option("columnNameOfCorruptRecord", corrupt).json(path)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    df = lines.select(F.from_json("value", full, {"columnNameOfCorruptRecord": corrupt}).alias("_r")).select("_r.*")
     rejects = df.filter(F.col(corrupt).isNotNull()).select(
         F.lit(False).alias("success"),
         F.lit(PARSE_ERROR).alias("type"),
