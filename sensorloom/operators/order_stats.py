@@ -91,20 +91,19 @@ def _finish(stats: DataFrame, keys: list[str], wanted: set[str]) -> DataFrame:
 
 def _ordinary(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
     v, key = quote(value), [quote(k) for k in keys]
-    group = f"partition by {', '.join(key)}"
-    ranks = [
-        f"count({v}) over ({group}) as _n",
-        f"row_number() over ({group} order by {v} asc nulls last) as _rank",
-    ]
+    # whole-group frames carry the same order, so that one sort serves all
+    ordered = f"partition by {', '.join(key)} order by {v} asc nulls last"
+    whole = f"({ordered} rows between unbounded preceding and unbounded following)"
+    ranks = [f"count({v}) over {whole} as _n", f"row_number() over ({ordered}) as _rank"]
     if "mad_mean" in wanted:
-        ranks.append(f"avg({v}) over ({group}) as _mean")
+        ranks.append(f"avg({v}) over {whole} as _mean")
     rows = df.selectExpr(*key, v, *ranks)
     picked = {}
     for q, p in _quantiles_needed(wanted).items():
         picked[q] = tuple(f"max(case when _rank = {rank} then {v} end)" for rank in (_low_rank(p), _high_rank(p)))
     centers = [q for feature, q in (("share_above_q3", "q3"), ("mad_median", "median")) if feature in wanted]
     if centers:
-        over = {q: [f"{pick} over ({group})" for pick in picked[q]] for q in centers}
+        over = {q: [f"{pick} over {whole}" for pick in picked[q]] for q in centers}
         rows = rows.selectExpr("*", *[f"{_interpolate(*over[q], QUANTILES[q])} as _{q}" for q in centers])
     aggs = ["max(_n) as _n", "count(1) as _rows"]
     for q, (low, high) in picked.items():

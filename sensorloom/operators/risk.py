@@ -17,6 +17,7 @@ from sensorloom.operators.slices import SLICE, number, pearson, series_rows, sli
 HOUR_US = 3_600_000_000
 
 _RUN_FIELDS = ("n", "high", "best", "runs", "head", "tail")
+_TIMES = ("t1", "t2")
 
 
 def _append_runs(a: Column, b: Column) -> Column:
@@ -37,12 +38,11 @@ def _append_runs(a: Column, b: Column) -> Column:
     )
 
 
-def _first_two(times: Column) -> Column:
-    return F.slice(F.array_sort(times), 1, 2)
-
-
-def _step_hours(first_two: Column) -> Column:
-    """Sampling step from the first two times of a group, 1 h for a single one."""
+def _step_hours(slices: Column) -> Column:
+    """Sampling step in hours from the first two times of a bucket, given the
+    first two (``t1``, ``t2``) of each of its slices; 1 h for a single time."""
+    times = F.array_compact(F.flatten(F.transform(slices, lambda s: F.array(s["t1"], s["t2"]))))
+    first_two = F.slice(F.array_sort(times), 1, 2)
     return F.when(
         F.size(first_two) > 1, (first_two[1] - first_two[0]) / F.lit(float(HOUR_US))
     ).otherwise(F.lit(1.0))
@@ -77,11 +77,12 @@ def humidity_exposure(
         # constant along a stretch and the low reading before it
         "_run", F.col("_pos") - F.sum("_high").over(running)
     )
-    early = F.when(F.col("_pos") <= 2, micros(F.col(time)))
+    us = micros(F.col(time))
     runs = rows.groupBy(*part, "_run").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_high").alias("_len"),
-        F.collect_list(early).alias("_early"),  # two per slice at most
+        F.min(F.when(F.col("_pos") == 1, us)).alias("t1"),
+        F.min(F.when(F.col("_pos") == 2, us)).alias("t2"),
     )
     # a leading low reading opens run 1, so run 0 exists only when the slice
     # starts high
@@ -92,21 +93,24 @@ def humidity_exposure(
         F.count_if(F.col("_len") > 0).alias("runs"),
         F.coalesce(F.sum(F.when(F.col("_run") == 0, F.col("_len"))), F.lit(0)).alias("head"),
         F.max_by("_len", "_run").alias("tail"),
-        F.flatten(F.collect_list("_early")).alias("_early"),
+        F.min("t1").alias("t1"),
+        F.min("t2").alias("t2"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(SLICE), *[F.col(f) for f in _RUN_FIELDS])))
+    # one entry per slice: the calendar bounds the list
+    entry = F.struct(F.col(SLICE), *[F.col(f) for f in (*_RUN_FIELDS, *_TIMES)])
+    buckets = slices.groupBy(*keys, "_bucket").agg(F.array_sort(F.collect_list(entry)).alias("_s"))
     empty = F.struct(*[F.lit(0).cast("long").alias(f) for f in _RUN_FIELDS])
-    buckets = slices.groupBy(*keys, "_bucket").agg(
-        # one entry per slice: the calendar bounds the list
-        F.aggregate(ordered, empty, lambda acc, s: _append_runs(acc, s)).alias("r"),
-        _first_two(F.flatten(F.collect_list("_early"))).alias("_t"),
+    buckets = buckets.select(
+        *keys,
+        F.col("_bucket").alias(time),
+        F.aggregate("_s", empty, _append_runs).alias("r"),
+        _step_hours(F.col("_s")).alias("_step"),
     )
-    step = _step_hours(F.col("_t"))
     return buckets.select(
         *keys,
-        F.col("_bucket").alias(time),
-        (F.col("r.high") * step).alias("total_exposure_hours"),
-        (F.col("r.best") * step).alias("max_continuous_hours"),
+        time,
+        (F.col("r.high") * F.col("_step")).alias("total_exposure_hours"),
+        (F.col("r.best") * F.col("_step")).alias("max_continuous_hours"),
         F.col("r.runs").alias("exposure_episodes"),
         (F.col("r.high") / F.col("r.n")).alias("exposure_ratio"),
     )
@@ -128,7 +132,12 @@ def rolling_sum(
     the end of a slice are copied into the next one (at most one copy each),
     so one exchange serves any series length.
     """
-    keys = list(keys)
+    return _rolled_slices(df, value, window, out, list(keys), time, slice_us).drop("_us", SLICE)
+
+
+def _rolled_slices(
+    df: DataFrame, value: str, window: str, out: str, keys: list[str], time: str, slice_us: int | None
+) -> DataFrame:
     width = parse_duration_micros(window)
     length = max(slice_us or slice_micros(df.sparkSession), width)
     rows = series_rows(df, keys, time).withColumn("_us", micros(F.col(time)))
@@ -142,7 +151,7 @@ def rolling_sum(
     return (
         rows.withColumn(out, F.sum(number(names.col(value))).over(span))
         .filter(F.col(SLICE) == F.col("_own"))
-        .drop("_us", "_own", SLICE)
+        .drop("_own")
     )
 
 
@@ -162,34 +171,39 @@ def rainfall_intensity(
     """
     keys = list(keys)
     rows = series_rows(df, keys, time).select(*keys, time, number(names.col(rainfall)).alias("_rain"))
-    rows = rolling_sum(rows, "_rain", window, "_rolled", keys, time, slice_us)
-    rows = with_slice(with_bucket(rows, parse_freq(freq), keys, time, "_bucket"), time, slice_us)
-    part = [*keys, "_bucket", SLICE]
-    pos = F.row_number().over(Window.partitionBy(*part).orderBy(time))
-    rows = rows.withColumn("_early", F.when(pos <= 2, micros(F.col(time))))
+    rows = _rolled_slices(rows, "_rain", window, "_rolled", keys, time, slice_us)
+    rows = with_bucket(rows, parse_freq(freq), keys, time, "_bucket")
+    # within a slice the buckets follow each other, so the second reading of a
+    # bucket is the first one whose predecessor lies in the same bucket; same
+    # partitioning and order as the rolling sum
+    before = F.lag("_bucket").over(Window.partitionBy(*keys, SLICE).orderBy("_us"))
+    rows = rows.withColumn("_again", F.when(before == F.col("_bucket"), F.col("_us")))
     positive = F.when(F.col("_rolled") > 0, F.col("_rolled"))
-    slices = rows.groupBy(*part).agg(
+    slices = rows.groupBy(*keys, "_bucket", SLICE).agg(
         F.max("_rolled").alias("_peak"),
         F.sum(positive).alias("_sum"),
         F.count(positive).alias("_cnt"),
         F.coalesce(F.sum("_rain"), F.lit(0.0)).alias("_total"),
         F.count_if(F.col("_rain") > 0).alias("_wet"),
-        F.collect_list("_early").alias("_early"),  # two per slice at most
+        F.min("_us").alias("t1"),
+        F.min("_again").alias("t2"),
     )
     buckets = slices.groupBy(*keys, "_bucket").agg(
         F.max("_peak").alias("rainfall_peak"),
-        F.coalesce(F.sum("_sum") / F.nullif(F.sum("_cnt"), F.lit(0)), F.lit(0.0)).alias("rainfall_mean"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_cnt").alias("_cnt"),
         F.sum("_total").alias("rainfall_total"),
         F.sum("_wet").alias("_wet"),
-        _first_two(F.flatten(F.collect_list("_early"))).alias("_t"),
+        # one entry per slice: the calendar bounds the list
+        F.collect_list(F.struct(*_TIMES)).alias("_s"),
     )
     return buckets.select(
         *keys,
         F.col("_bucket").alias(time),
         "rainfall_peak",
-        "rainfall_mean",
+        F.coalesce(F.col("_sum") / F.nullif(F.col("_cnt"), F.lit(0)), F.lit(0.0)).alias("rainfall_mean"),
         "rainfall_total",
-        (F.col("_wet") * _step_hours(F.col("_t"))).alias("rainfall_hours"),
+        (F.col("_wet") * _step_hours(F.col("_s"))).alias("rainfall_hours"),
     )
 
 

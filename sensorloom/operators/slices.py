@@ -91,23 +91,20 @@ def previous_values(
     keys = list(keys)
     base = with_slice(series_rows(df, keys, time), time, slice_us)
     record = F.struct(*[F.col(c) for c in columns])
-    order = F.struct(F.col(time), *[F.col(c) for c in tie])
     inside = Window.partitionBy(*keys, SLICE).orderBy(time, *tie)
-    carried = (
-        base.groupBy(*keys, SLICE)
-        .agg(F.max_by(record, order).alias("_last"))
-        .select(
-            *keys, SLICE, F.lag("_last").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_carry")
-        )
-    )
-    stepped = base.withColumn("_pos", F.row_number().over(inside)).withColumn(
-        "_local", F.lag(record).over(inside)
+    stepped = base.select(
+        "*",
+        F.row_number().over(inside).alias("_pos"),
+        F.lag(record).over(inside).alias("_local"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("_is_last"),
     )
+    carried = stepped.filter("_is_last").select(*keys, SLICE, record.alias("_last"))
+    chain = Window.partitionBy(*keys).orderBy(SLICE)
+    carried = carried.select(*keys, SLICE, F.lag("_last").over(chain).alias("_carry"))
     joined = stepped.join(carried, [*keys, SLICE])
     prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_local"))
-    for c in columns:
-        joined = joined.withColumn(prefix + c, prev.getField(c))
-    return joined.drop("_pos", "_local", "_carry", SLICE)
+    joined = joined.withColumns({prefix + c: prev.getField(c) for c in columns})
+    return joined.drop("_pos", "_local", "_is_last", "_carry", SLICE)
 
 
 def successive_pairs(
@@ -118,34 +115,32 @@ def successive_pairs(
     tie: Sequence[str] = (),
     slice_us: int | None = None,
 ) -> DataFrame:
-    """All (current, previous) value pairs of each series as ``x``, ``y``.
+    """(current, previous) value pairs of each series as ``x``, ``y``.
 
-    Pairs inside a slice come from a window; the pair across each slice edge
-    comes from the per-slice first and last value, so no row is joined.
+    Every reading yields one pair inside its slice, with an unknown previous
+    value for the first one; every slice adds the pair across its leading edge,
+    taken from its first and its predecessor's last value, so no row is joined.
     """
     keys = list(keys)
     base = with_slice(series_rows(df, keys, time), time, slice_us).select(
         *keys, SLICE, time, *[c for c in tie if c not in (time, value)], value
     )
     inside = Window.partitionBy(*keys, SLICE).orderBy(time, *tie)
-    inner = (
-        base.withColumn("_pos", F.row_number().over(inside))
-        .withColumn("y", F.lag(value).over(inside))
-        .filter(F.col("_pos") > 1)
-        .select(*keys, F.col(value).alias("x"), "y")
+    rows = base.select(
+        *keys,
+        SLICE,
+        F.col(value).alias("x"),
+        F.lag(value).over(inside).alias("y"),
+        F.row_number().over(inside).alias("_pos"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("_is_last"),
     )
-    # in a struct, because a missing value at the edge is a value too
-    record = F.struct(F.col(value).alias("v"))
-    order = F.struct(F.col(time), *[F.col(c) for c in tie])
-    chain = Window.partitionBy(*keys).orderBy(SLICE)
-    edges = (
-        base.groupBy(*keys, SLICE)
-        .agg(F.min_by(record, order).alias("_first"), F.max_by(record, order).alias("_last"))
-        .withColumn("_prev", F.lag("_last").over(chain))
-        .filter(F.col("_prev").isNotNull())
-        .select(*keys, F.col("_first.v").alias("x"), F.col("_prev.v").alias("y"))
+    ends = rows.groupBy(*keys, SLICE).agg(
+        F.max(F.when(F.col("_pos") == 1, F.col("x"))).alias("x"),
+        F.max(F.when(F.col("_is_last"), F.col("x"))).alias("_last"),
     )
-    return inner.unionByName(edges)
+    chain = Window.partitionBy(*keys).orderBy(SLICE)
+    edges = ends.select(*keys, "x", F.lag("_last").over(chain).alias("y"))
+    return rows.select(*keys, "x", "y").unionByName(edges)
 
 
 def pearson(x: Column, y: Column) -> Column:

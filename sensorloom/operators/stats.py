@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import features as feat
 from sensorloom.functions import names
-from sensorloom.functions.timebucket import Freq, fill_missing_buckets, parse_freq, with_bucket
+from sensorloom.functions.timebucket import Freq, fill_missing_buckets, micros, parse_freq, with_bucket
 from sensorloom.operators.order_stats import MOMENT_FEATURES, ORDER_FEATURES, group_stats
 from sensorloom.operators.slices import nan_to_null, number, pearson, series_rows, successive_pairs
 
@@ -74,10 +74,7 @@ def bucket_features(
     if own:
         parts.append(rows.groupBy(*group).agg(*[_REGISTERED[w](F.col("_v")).alias(w) for w in own]))
     if "lag1_autocorr" in wanted:
-        # a bucket with a single reading has no pair, hence the outer join
         parts.append(lag1_autocorrelation(rows, group, "_v", time, tie))
-    if not plain and not own:
-        parts.insert(0, rows.select(*group).distinct())
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, group, "left")
@@ -224,8 +221,10 @@ def resample(
     rows = nan_to_null(series_rows(df, keys, time).select(*[names.col(c) for c in needed]))
     rows = with_bucket(rows, parsed, keys, time, "_bucket")
     group = [*keys, "_bucket"]
-    order = F.struct(F.col(time), *[F.col(t) for t in tie])
+    # a plain number keeps the aggregation hash-based
+    order = F.struct(F.col(time), *[F.col(t) for t in tie]) if tie else micros(F.col(time))
     simple = {c: m for c, m in methods.items() if m != "median"}
+    # the row count is there for the case that all columns ask for a median
     out = rows.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[_simple_aggregate(m, names.col(c), order).alias(c) for c, m in simple.items()],

@@ -63,8 +63,9 @@ def device_features(
         raise ValueError("no processor applies to the given fields")
     features = union_by_name(parts)
     if temple in df.columns:
-        # one row per device
-        first = df.groupBy("device_id").agg(F.min_by(temple, "time").alias("temple_id"))
+        # first reading per device and temple combines map-side
+        seen = df.groupBy("device_id", temple).agg(F.min("time").alias("_first"))
+        first = seen.groupBy("device_id").agg(F.min_by(temple, "_first").alias("temple_id"))
         features = features.join(first, "device_id", "left")
     else:
         features = features.withColumn("temple_id", F.lit("unknown"))
