@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions import names
-from sensorloom.operators.slices import number, previous_values, row_index
+from sensorloom.operators.slices import number, previous_values, row_index, series_rows
 
 
 def stable_periods(
@@ -144,7 +144,10 @@ def autocorrelation(
     rows = row_index(df, keys, time, "_i", tie).select(
         *keys, F.col("_i"), number(names.col(value)).alias("_v")
     )
-    center = rows.groupBy(*keys).agg(F.avg("_v").alias("_mean"), F.count(F.lit(1)).alias("_len"))
+    plain = series_rows(df, keys, time)
+    center = plain.groupBy(*keys).agg(
+        F.avg(number(names.col(value))).alias("_mean"), F.count(F.lit(1)).alias("_len")
+    )
     centered = rows.join(center, keys) if keys else rows.crossJoin(F.broadcast(center))  # one row
     # a correlation does not change under a shift; centering keeps the sums small
     centered = centered.select(

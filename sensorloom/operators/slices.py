@@ -91,20 +91,20 @@ def previous_values(
     keys = list(keys)
     base = with_slice(series_rows(df, keys, time), time, slice_us)
     record = F.struct(*[F.col(c) for c in columns])
+    # one value per slice, combined map-side; a plain number as order keeps the
+    # aggregation hash-based
+    order = F.struct(F.col(time), *[F.col(c) for c in tie]) if tie else micros(F.col(time))
+    lasts = base.groupBy(*keys, SLICE).agg(*[F.max_by(c, order).alias(c) for c in columns])
+    chain = Window.partitionBy(*keys).orderBy(SLICE)
+    carried = lasts.select(*keys, SLICE, F.lag(record).over(chain).alias("_carry"))
     inside = Window.partitionBy(*keys, SLICE).orderBy(time, *tie)
     stepped = base.select(
-        "*",
-        F.row_number().over(inside).alias("_pos"),
-        F.lag(record).over(inside).alias("_local"),
-        F.lead(F.lit(1)).over(inside).isNull().alias("_is_last"),
+        "*", F.row_number().over(inside).alias("_pos"), F.lag(record).over(inside).alias("_local")
     )
-    carried = stepped.filter("_is_last").select(*keys, SLICE, record.alias("_last"))
-    chain = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = carried.select(*keys, SLICE, F.lag("_last").over(chain).alias("_carry"))
     joined = stepped.join(carried, [*keys, SLICE])
     prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_local"))
     joined = joined.withColumns({prefix + c: prev.getField(c) for c in columns})
-    return joined.drop("_pos", "_local", "_is_last", "_carry", SLICE)
+    return joined.drop("_pos", "_local", "_carry", SLICE)
 
 
 def successive_pairs(
@@ -126,21 +126,15 @@ def successive_pairs(
         *keys, SLICE, time, *[c for c in tie if c not in (time, value)], value
     )
     inside = Window.partitionBy(*keys, SLICE).orderBy(time, *tie)
-    rows = base.select(
-        *keys,
-        SLICE,
-        F.col(value).alias("x"),
-        F.lag(value).over(inside).alias("y"),
-        F.row_number().over(inside).alias("_pos"),
-        F.lead(F.lit(1)).over(inside).isNull().alias("_is_last"),
-    )
-    ends = rows.groupBy(*keys, SLICE).agg(
-        F.max(F.when(F.col("_pos") == 1, F.col("x"))).alias("x"),
-        F.max(F.when(F.col("_is_last"), F.col("x"))).alias("_last"),
+    inner = base.select(*keys, F.col(value).alias("x"), F.lag(value).over(inside).alias("y"))
+    # combined map-side, hash-based as long as the order is a plain number
+    order = F.struct(F.col(time), *[F.col(c) for c in tie]) if tie else micros(F.col(time))
+    ends = base.groupBy(*keys, SLICE).agg(
+        F.min_by(value, order).alias("x"), F.max_by(value, order).alias("_last")
     )
     chain = Window.partitionBy(*keys).orderBy(SLICE)
     edges = ends.select(*keys, "x", F.lag("_last").over(chain).alias("y"))
-    return rows.select(*keys, "x", "y").unionByName(edges)
+    return inner.unionByName(edges)
 
 
 def pearson(x: Column, y: Column) -> Column:

@@ -223,12 +223,20 @@ def resample(
     group = [*keys, "_bucket"]
     # a plain number keeps the aggregation hash-based
     order = F.struct(F.col(time), *[F.col(t) for t in tie]) if tie else micros(F.col(time))
-    simple = {c: m for c, m in methods.items() if m != "median"}
-    # the row count is there for the case that all columns ask for a median
+    kinds = dict(rows.dtypes)
+    texts = {c: m for c, m in methods.items() if m in ("first", "last") and kinds[c] == "string" and c not in tie}
+    simple = {c: m for c, m in methods.items() if m != "median" and c not in texts}
+    # the row count is there for the case that no column is simple
     out = rows.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[_simple_aggregate(m, names.col(c), order).alias(c) for c, m in simple.items()],
     )
+    for c, m in texts.items():
+        # texts cannot be aggregated by hash: first combine the times of equal
+        # texts, then pick among what is left
+        pick, best = (F.min_by, F.min) if m == "first" else (F.max_by, F.max)
+        seen = rows.filter(names.col(c).isNotNull()).groupBy(*group, names.col(c)).agg(best(order).alias("_o"))
+        out = out.join(seen.groupBy(*group).agg(pick(names.col(c), F.col("_o")).alias(c)), group, "left")
     for c in (c for c, m in methods.items() if m == "median"):
         part = group_stats(rows.select(*group, number(names.col(c)).alias("_v")), group, "_v", ["median"])
         out = out.join(part.withColumnRenamed("median", c), group, "left")
