@@ -37,7 +37,7 @@ _MOMENTS = {
     "cv": "case when avg({v}) <> 0 then stddev_samp({v}) / avg({v}) end",
 }
 
-_SLICE_BITS = 10
+_SLICE_BITS = 8
 _SLICES = 1 << _SLICE_BITS
 
 
@@ -146,17 +146,20 @@ def _hot(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFr
     quantiles = _quantiles_needed(wanted)
     stats = totals.drop("_cuts")
     if quantiles:
-        sliced = known.join(totals, keys).selectExpr(
-            *key, v, "_c", "_n", f"{_cuts_below(v)} as _part"
+        sliced = known.join(totals.select(*keys, "_cuts"), keys).selectExpr(
+            *key, v, "_c", f"{_cuts_below(v)} as _part"
         )
-        lifted = _agg(sliced, [*keys, "_part"], ["sum(_c) as _total"]).selectExpr(
+        # both uses below read the same exchange on (group, slice)
+        local = sliced.selectExpr(
+            *key, v, "_part",
+            f"sum(_c) over ({group}, _part order by {v} rows between unbounded preceding and current row) as _local",
+        )
+        lifted = _agg(local, [*keys, "_part"], ["max(_local) as _total"]).selectExpr(
             *key, "_part",
             f"sum(_total) over ({group} order by _part rows between unbounded preceding and 1 preceding) as _before",
+            f"sum(_total) over ({group} order by _part rows between unbounded preceding and unbounded following) as _n",
         )
-        placed = sliced.selectExpr(
-            *key, v, "_n", "_part",
-            f"sum(_c) over ({group}, _part order by {v} rows between unbounded preceding and current row) as _local",
-        ).join(lifted, [*keys, "_part"])
+        placed = local.join(lifted, [*keys, "_part"])
         cumulated = "coalesce(_before, 0) + _local"
         picks = []
         for q, p in quantiles.items():
