@@ -52,6 +52,29 @@ def with_slice(df: DataFrame, time: str = "time", slice_us: int | None = None) -
     return df.withColumn(SLICE, us - F.pmod(us, F.lit(length)))
 
 
+_SLICE_CHOICES = (86_400, 3_600, 600, 60)
+
+
+def suggest_slice_seconds(
+    df: DataFrame, keys: Sequence[str] = ("device_id",), time: str = "time", max_rows: int | None = None
+) -> int:
+    """Longest slice of which no device fills more than ``max_rows`` rows.
+
+    One pass over key and time columns, combined to counts per minute; four
+    numbers come back.  Use the result as ``spark.sensorloom.sliceSeconds``
+    when the fastest device is not known.
+    """
+    limit = max_rows or hot_group_rows(df.sparkSession)
+    minute = with_slice(series_rows(df, keys, time), time, 60_000_000)
+    counts = minute.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_rows"))
+    lengths = F.explode(F.array(*[F.lit(s) for s in _SLICE_CHOICES]))
+    grown = counts.select(*keys, SLICE, "_rows", lengths.alias("_seconds"))
+    start = F.col(SLICE) - F.pmod(F.col(SLICE), F.col("_seconds").cast("long") * 1_000_000)
+    filled = grown.groupBy(*keys, "_seconds", start.alias("_start")).agg(F.sum("_rows").alias("_rows"))
+    worst = {r[0]: r[1] for r in filled.groupBy("_seconds").agg(F.max("_rows")).collect()}
+    return next((s for s in _SLICE_CHOICES if worst.get(s, 0) <= limit), 1)
+
+
 def row_index(
     df: DataFrame,
     keys: Sequence[str],

@@ -20,6 +20,17 @@ def test_row_index_and_previous(readings, readings_pdf, slice_us):
     np.testing.assert_allclose(diff["diff"].values, want.values, atol=1e-9)
 
 
+def test_suggested_slice(readings, readings_pdf):
+    def worst(freq):
+        return max(p.set_index("time").temperature.resample(freq).size().max() for _, p in readings_pdf.groupby("device_id"))
+
+    suggest = slices.suggest_slice_seconds
+    assert suggest(readings, max_rows=10_000) == 86_400
+    assert suggest(readings, max_rows=int(worst("D")) - 1) == 3_600
+    assert suggest(readings, max_rows=int(worst("h")) - 1) == 600
+    assert suggest(readings.limit(0), max_rows=1) == 86_400
+
+
 def test_detrend(readings, readings_pdf):
     got = rows_of(sequence.detrend(readings, "temperature"), "device_id", "time")
     for device, part in got.groupby("device_id"):
