@@ -40,9 +40,9 @@ class _Words(dict):
 
 
 class Encoder:
-    """Ids of texts as flat arrays.  ``max_words`` bounds the memory of the word table."""
+    """Ids of texts as flat arrays.  ``max_words`` bounds the word table (about 250 bytes a word)."""
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -64,52 +64,60 @@ class Encoder:
             self._clear()
 
     def _clear(self):
-        self.words = _Words()
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _plain_ids(self, words: list[str]) -> dict[str, np.ndarray]:
-        out: dict[str, np.ndarray] = {}
-        for at in range(0, len(words), 2000):
-            part = words[at:at + 2000]
+        self.words, self.stems = _Words(), _Words()
+        self.ids = np.zeros(0, np.uint32)
+        none = np.zeros(0, np.int64)
+        self.stem_starts, self.stem_lengths = none, none
+        self.starts, self.lengths, self.marks = none, none, none  # marks: the id of a closing mark, else -1
+        self.mark_ids = {m: self.tokenizer.encode(m, add_special_tokens=False).ids[0] for m in ",."}
+
+    def _learn_stems(self):
+        new, self.stems.new = self.stems.new, []
+        flat, lengths = [], []
+        for at in range(0, len(new), 2000):
+            part = new[at:at + 2000]
             ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):  # a word without its end token: not seen, but then word by word
-                out.update((w, np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)) for w in part)
-            else:
-                out.update(zip(part, np.split(ids, cuts[:-1])))
-        return out
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # a word without its end token: not seen, but then word by word
+                each = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
+                ids, ends = np.array([x for e in each for x in e], np.uint32), np.cumsum([len(e) for e in each])
+            flat.append(ids)
+            lengths.append(np.diff(ends, prepend=0))
+        if flat:
+            lengths = np.concatenate(lengths)
+            self.stem_starts = np.concatenate((self.stem_starts, len(self.ids) + np.cumsum(lengths) - lengths))
+            self.stem_lengths = np.concatenate((self.stem_lengths, lengths))
+            self.ids = np.concatenate((self.ids, *flat))
 
     def _learn(self):
         """Encode the words that came up since the last call."""
         new, self.words.new = self.words.new, []
         if not new:
             return
-        forms: list[tuple[str, str]] = []  # (letters, mark) of plain words, ("", "") for the others
-        plain: dict[str, None] = {",": None, ".": None}
+        stems, marks, rest = [], [], []
         for word in new:
-            low = word.lower() if _LATIN.fullmatch(word) else word
-            mark = low[-1] if low[-1] in ",." else ""
-            stem = low[:-1] if mark else low
-            if _PLAIN.fullmatch(stem):
-                forms.append((stem, mark))
-                plain[stem] = None
-            else:
-                forms.append(("", ""))
-        known = self._plain_ids(list(plain))
-        rest = [w for w, f in zip(new, forms) if not f[0]]
-        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        parts = []
-        for stem, mark in forms:
-            if not stem:
-                parts.append(np.array(next(others).ids, np.uint32))
-            elif mark:
-                parts.append(np.concatenate((known[stem], known[mark])))
+            low, mark = word.lower(), -1
+            if low[-1] in ",.":
+                mark, low = self.mark_ids[low[-1]], low[:-1]
+            if (low.isascii() and low.isalpha()) or (_PLAIN.fullmatch(low) and _LATIN.fullmatch(word)):
+                stems.append(self.stems[low])
+                marks.append(mark)
             else:
-                parts.append(known[stem])
-        lengths = np.array([len(p) for p in parts], np.int64)
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
-        self.ids = np.concatenate((self.ids, *parts))
+                stems.append(-1)
+                marks.append(-1)
+                rest.append(word)
+        self._learn_stems()
+        stems = np.array(stems, np.int64)
+        plain = stems >= 0
+        starts, lengths = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        starts[plain], lengths[plain] = self.stem_starts[stems[plain]], self.stem_lengths[stems[plain]]
+        others = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        counts = np.array([len(e) for e in others], np.int64)
+        starts[~plain], lengths[~plain] = len(self.ids) + np.cumsum(counts) - counts, counts
+        self.ids = np.concatenate((self.ids, np.array([x for e in others for x in e], np.uint32)))
+        self.starts = np.concatenate((self.starts, starts))
         self.lengths = np.concatenate((self.lengths, lengths))
+        self.marks = np.concatenate((self.marks, np.array(marks, np.int64)))
 
     def _rows(self, texts: list[str]) -> list[np.ndarray | None]:
         if len(self.words) > self.max_words:
@@ -129,11 +137,16 @@ class Encoder:
             if rows is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
-            lengths = self.lengths[rows]
-            total = int(lengths.sum())
-            # position of each id: the start of its word plus its place in the word
-            at = np.arange(total) + np.repeat(self.starts[rows] - (np.cumsum(lengths) - lengths), lengths)
-            out.append(self.ids[at])
+            marks = self.marks[rows]
+            lengths = self.lengths[rows] + (marks >= 0)
+            ends = np.cumsum(lengths)
+            # place of each id: the start of its word plus its place in the word
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[rows] - (ends - lengths), lengths)
+            marked = ends[marks >= 0] - 1
+            at[marked] = 0
+            ids = self.ids[at]
+            ids[marked] = marks[marks >= 0]
+            out.append(ids)
         return out
 
     def counts(self, texts: list[str | None]) -> np.ndarray:
@@ -142,7 +155,7 @@ class Encoder:
             return np.array([len(e) for e in self.encode(texts)], np.int64)
         texts = ["" if t is None else t for t in texts]
         return np.array([len(self.tokenizer.encode(t, add_special_tokens=False).ids) if r is None
-                         else int(self.lengths[r].sum()) for t, r in zip(texts, self._rows(texts))], np.int64)
+                         else int((self.lengths[r] + (self.marks[r] >= 0)).sum()) for t, r in zip(texts, self._rows(texts))], np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}
