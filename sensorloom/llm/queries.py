@@ -7,21 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm.common import table
+from sensorloom.llm.decontaminate import contamination
+from sensorloom.llm.language import predict_languages
 from sensorloom.llm.length_histogram import length_histogram
 from sensorloom.llm.packing import pack
+from sensorloom.llm.toxicity import score_toxicity
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
