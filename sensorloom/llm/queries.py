@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm.common import table
 from sensorloom.llm.decontaminate import contamination
+from sensorloom.llm.fingerprint import fingerprints
 from sensorloom.llm.language import predict_languages
 from sensorloom.llm.length_histogram import length_histogram
+from sensorloom.llm.line_dedup import drop_repeated_lines
 from sensorloom.llm.packing import pack
 from sensorloom.llm.toxicity import score_toxicity
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_lines(docs)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(table(spark, sf_dir, "documents"))
 
@@ -34,12 +41,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
