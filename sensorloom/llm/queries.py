@@ -12,6 +12,7 @@ from sensorloom.llm.fingerprint import fingerprints
 from sensorloom.llm.language import predict_languages
 from sensorloom.llm.length_histogram import length_histogram
 from sensorloom.llm.line_dedup import drop_repeated_lines
+from sensorloom.llm.ngram_join import similarity_components
 from sensorloom.llm.packing import pack
 from sensorloom.llm.toxicity import score_toxicity
 
@@ -45,6 +46,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_token_counts": op3_token_counts,
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_fingerprints": op8_fingerprints,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES: dict[str, str] = {}
