@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorloom.llm.common import table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprint import fingerprints
 from sensorloom.llm.language import predict_languages
 from sensorloom.llm.length_histogram import length_histogram
+from sensorloom.llm.licenses import scan_licenses
 from sensorloom.llm.line_dedup import drop_repeated_lines
 from sensorloom.llm.ngram_join import similarity_components
 from sensorloom.llm.packing import pack
+from sensorloom.llm.quotes import reply_ordered
 from sensorloom.llm.toxicity import score_toxicity
 
 
@@ -22,6 +25,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(docs)
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(table(spark, sf_dir, "documents"))
 
@@ -46,18 +53,27 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files <source>/<lang>/<doc_id>."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return scan_licenses(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")) \
+        .withColumnRenamed("file_id", "doc_id")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_fingerprints": op8_fingerprints,
+    "op9_license_scan": op9_license_scan,
     "op10_ngram_join": op10_ngram_join,
 }
 
