@@ -52,7 +52,7 @@ def with_slice(df: DataFrame, time: str = "time", slice_us: int | None = None) -
     return df.withColumn(SLICE, us - F.pmod(us, F.lit(length)))
 
 
-_SLICE_CHOICES = (86_400, 3_600, 600, 60)
+_SLICE_CHOICES = (86_400, 3_600, 600, 60, 10, 1)
 
 
 def suggest_slice_seconds(
@@ -60,19 +60,22 @@ def suggest_slice_seconds(
 ) -> int:
     """Longest slice of which no device fills more than ``max_rows`` rows.
 
-    One pass over key and time columns, combined to counts per minute; four
+    One pass over key and time columns, combined to counts per second; four
     numbers come back.  Use the result as ``spark.sensorloom.sliceSeconds``
     when the fastest device is not known.
     """
     limit = max_rows or hot_group_rows(df.sparkSession)
-    minute = with_slice(series_rows(df, keys, time), time, 60_000_000)
-    counts = minute.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_rows"))
+    seconds = with_slice(series_rows(df, keys, time), time, 1_000_000)
+    counts = seconds.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_rows"))
     lengths = F.explode(F.array(*[F.lit(s) for s in _SLICE_CHOICES]))
     grown = counts.select(*keys, SLICE, "_rows", lengths.alias("_seconds"))
     start = F.col(SLICE) - F.pmod(F.col(SLICE), F.col("_seconds").cast("long") * 1_000_000)
     filled = grown.groupBy(*keys, "_seconds", start.alias("_start")).agg(F.sum("_rows").alias("_rows"))
     worst = {r[0]: r[1] for r in filled.groupBy("_seconds").agg(F.max("_rows")).collect()}
-    return next((s for s in _SLICE_CHOICES if worst.get(s, 0) <= limit), 1)
+    fits = next((s for s in _SLICE_CHOICES if worst.get(s, 0) <= limit), None)
+    if fits is None:
+        raise ValueError(f"a device has more than {limit} rows in a second; raise the limit for one slice")
+    return fits
 
 
 def row_index(
@@ -172,8 +175,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> t
     """Split rows into those of ordinary groups and those of groups with more
     than ``limit`` rows.
 
-    The list of hot groups has at most (rows / limit) entries, which bounds
-    the broadcast.  When it turns out empty, adaptive execution drops the hot
+    The list of hot groups has at most (rows / limit) entries; whether it is
+    small enough for a broadcast is left to Spark.  When it turns out empty, adaptive execution drops the hot
     branch and both joins.
     """
     keys = list(keys)
@@ -184,5 +187,4 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> t
         .filter(F.col("_rows") > limit)
         .select(*keys)
     )
-    hot = F.broadcast(hot)
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")

@@ -12,31 +12,19 @@ from sensorloom.operators import stats
 from sensorloom.operators.reshape import to_long, union_by_name
 from sensorloom.sources.points import scan_points
 
-# The stock metrics.
+# Ids, fields, features and frequencies of the stock metrics.
 _HUMIDITY, _TEMPERATURE = "空气湿度（%）", "空气温度（℃）"
 CATALOG: dict[str, dict] = {
-    "humidity_trend": {
-        "name": "湿度平均趋势", "description": "每小时湿度的均值变化", "data_field": _HUMIDITY,
-        "calculation_logic": ["均值"], "default_freq": "h", "viz_type": "line",
-    },
-    "temperature_daily": {
-        "name": "每日温度统计", "description": "每日温度的均值、最大值、最小值", "data_field": _TEMPERATURE,
-        "calculation_logic": ["均值", "最大值", "最小值"], "default_freq": "D", "viz_type": "line",
-    },
-    "humidity_daily": {
-        "name": "每日湿度统计", "description": "每日湿度的均值、最大值、最小值", "data_field": _HUMIDITY,
-        "calculation_logic": ["均值", "最大值", "最小值"], "default_freq": "D", "viz_type": "line",
-    },
-    "temperature_trend": {
-        "name": "温度平均趋势", "description": "每小时温度的均值变化", "data_field": _TEMPERATURE,
-        "calculation_logic": ["均值"], "default_freq": "h", "viz_type": "line",
-    },
+    "humidity_trend": {"data_field": _HUMIDITY, "calculation_logic": ["均值"], "default_freq": "h"},
+    "temperature_daily": {"data_field": _TEMPERATURE, "calculation_logic": ["均值", "最大值", "最小值"], "default_freq": "D"},
+    "humidity_daily": {"data_field": _HUMIDITY, "calculation_logic": ["均值", "最大值", "最小值"], "default_freq": "D"},
+    "temperature_trend": {"data_field": _TEMPERATURE, "calculation_logic": ["均值"], "default_freq": "h"},
 }
 
 
 def catalog_frame(spark: SparkSession, catalog: Mapping[str, dict] = CATALOG) -> DataFrame:
-    """The catalog as a table, for lookups by id."""
-    rows = [(k, m["name"], m.get("description"), m["data_field"], list(m["calculation_logic"]), m["default_freq"],
+    """The catalog as a table, for lookups by id; titles and display hints of a configured catalog stay with it."""
+    rows = [(k, m.get("name", k), m.get("description"), m["data_field"], list(m["calculation_logic"]), m["default_freq"],
              m.get("viz_type")) for k, m in catalog.items()]
     return spark.createDataFrame(
         rows,

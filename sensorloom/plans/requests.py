@@ -31,42 +31,30 @@ class RequestError(ValueError):
         )
 
 
-def check_frequency(freq: str) -> None:
-    if freq not in feat.REQUEST_FREQUENCIES:
-        raise RequestError(
-            VALIDATION_ERROR, f"Invalid frequency '{freq}'. Valid frequencies: {list(feat.REQUEST_FREQUENCIES)}"
-        )
+# What a request must satisfy, in the order of the checks: the part of the
+# request that is wrong, when it is, and what to say.
+_RULES = (
+    ("feature_list", lambda r: not isinstance(r["feature_list"], list), "must be a list of feature names"),
+    ("feature_list", lambda r: not r["feature_list"], "names no feature"),
+    ("feature_list", lambda r: any(feat.canonical(f) not in feat.REQUEST_FEATURES for f in r["feature_list"]), "has unknown features"),
+    ("freq", lambda r: r["freq"] not in feat.REQUEST_FREQUENCIES, "is not one of " + ", ".join(feat.REQUEST_FREQUENCIES)),
+    ("field_name", lambda r: r["columns"] is not None and r["field_name"] not in r["columns"], "not found among the columns"),
+)
 
 
-def check_features(features) -> None:
-    details = {"feature_list": features}
-    if not isinstance(features, list):
-        raise RequestError(
-            VALIDATION_ERROR, f"feature_list must be a list, got {type(features).__name__}", details
-        )
-    if not features:
-        raise RequestError(VALIDATION_ERROR, "feature_list cannot be empty", details)
-    bad = [f for f in features if feat.canonical(f) not in feat.REQUEST_FEATURES]
-    if bad:
-        raise RequestError(VALIDATION_ERROR, f"Invalid features: {bad}", details)
-
-
-def check_field(df: DataFrame, field: str) -> None:
-    if field not in df.columns:
-        raise RequestError(
-            VALIDATION_ERROR,
-            f"Field '{field}' not found in DataFrame. Available fields: {df.columns}",
-            {"field_name": field},
-        )
+def check_request(features, freq: str, field: str, columns: Sequence[str] | None = None) -> None:
+    """Raise the first rule that a request breaks; ``columns`` None leaves the field unchecked."""
+    request = {"feature_list": features, "freq": freq, "field_name": field, "columns": columns}
+    for part, broken, message in _RULES:
+        if broken(request):
+            raise RequestError(VALIDATION_ERROR, f"{part} {request[part]!r} {message}", {part: request[part]})
 
 
 def feature_request(
     df: DataFrame, field: str, features: list[str], freq: str = "h", keys: Sequence[str] = ("device_id",)
 ) -> DataFrame:
     """Validated batch request."""
-    check_features(features)
-    check_frequency(freq)
-    check_field(df, field)
+    check_request(features, freq, field, df.columns)
     return stats.statistical_features(df, field, features, freq, keys)
 
 
@@ -113,8 +101,7 @@ def answer_documents(
     ids: Sequence[str] = ("request_id",), column: str = "data_json",
 ) -> tuple[DataFrame, DataFrame]:
     """Answer many JSON documents at once: (answers, rejects), both by id."""
-    check_features(features)
-    check_frequency(freq)
+    check_request(features, freq, field)
     readings, rejects = parse_documents(docs, [field], column, ids=ids)
     wide = stats.statistical_features(readings, field, features, freq, ids)
     return to_feature_documents(wide, ids), rejects

@@ -8,68 +8,58 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "S": T.StringType(),
-    "TS": T.TimestampType(),
-    "F": T.FloatType(),
-    "D": T.DoubleType(),
-    "INT": T.IntegerType(),
-}
-
-
-def _schema(text: str) -> T.StructType:
-    fields = []
-    for entry in text.split(";"):
-        name, kind = entry.strip().rsplit(" ", 1)
-        fields.append(T.StructField(name, _TYPES[kind]))
-    return T.StructType(fields)
 
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
-_RECEPTION = (
-    "time TS; real_time_headcount INT; same_day_reception INT; past_seven_days_reception INT;"
-    " dwell_time_range S; temple_id S; created_at TS"
-)
 
 TABLES: dict[str, T.StructType] = {
     "sensor_temp_humidity": _schema(
-        "temple_id S; device_id S; time TS; humidity F; temperature F; created_at TS"
+        temple_id=T.StringType(),
+        device_id=T.StringType(),
+        time=T.TimestampType(),
+        humidity=T.FloatType(),
+        temperature=T.FloatType(),
+        created_at=T.TimestampType(),
     ),
     "sensor_co2": _schema(
-        "temple_id S; device_id S; time TS; co2_collected F; co2_corrected F; created_at TS"
-    ),
-    "cave_entrance": _schema(
-        "time TS; min_battery_voltage(10min) F; avg_vapor_pressure F; total_radiation F;"
-        " relative_humidity F; instantaneous_wd F; max_ws(10min) F; wd_max_ws F;"
-        " total_rainfall(10min) F; air_temperature F; avg_surface_temperature F;"
-        " avg_horizontal_ws(200cm) F; unit_vector_avg_wd F; wd_standard_deviation F; created_at TS"
-    ),
-    "mountain_peak": _schema(
-        "time TS; min_battery_voltage(10min) F; avg_vapor_pressure F; total_radiation F;"
-        " relative_humidity F; radiant_exposure F; max_ws(10min) F; wd_max_ws F;"
-        " soil_moisture_content(20cm) F; soil_moisture_content(50cm) F; avg_atmospheric_pressure F;"
-        " total_rainfall(10min) F; air_temperature F; avg_surface_temperature F;"
-        " soil_moisture_content(100cm) F; avg_horizontal_ws(200cm) F; unit_vector_avg_wd F;"
-        " wd_standard_deviation F; created_at TS"
-    ),
-    "battery_data": _schema("UUID S; device_id S; time TS; battery_level F; created_at TS"),
-    "YC": _schema("temple_id S; device_id S; time TS; humidity F"),
-    "wireless_vw_sensor": _schema(
-        "temple_id S; device_id S; time TS; vibrating_wire_displacement F;"
-        " vibrating_wire_temperature F; vibrating_wire_modulus F; created_at TS"
+        temple_id=T.StringType(),
+        device_id=T.StringType(),
+        time=T.TimestampType(),
+        co2_collected=T.FloatType(),
+        co2_corrected=T.FloatType(),
+        created_at=T.TimestampType(),
     ),
     "zcp_checkpoint_g1": _schema(
-        "time TS; uninspected INT; inspected INT; digital_exhibition_center INT;"
-        " nine_storey_building_inspection INT; small_archway_inspection INT; en_route INT;"
-        " digital_exhibition_inspection INT; total_ticket_sold INT; created_at TS"
+        time=T.TimestampType(),
+        uninspected=T.IntegerType(),
+        inspected=T.IntegerType(),
+        digital_exhibition_center=T.IntegerType(),
+        nine_storey_building_inspection=T.IntegerType(),
+        small_archway_inspection=T.IntegerType(),
+        en_route=T.IntegerType(),
+        digital_exhibition_inspection=T.IntegerType(),
+        total_ticket_sold=T.IntegerType(),
+        created_at=T.TimestampType(),
     ),
-    "mogao_tourist_flow_9_13_to_9_19": _schema(_RECEPTION),
-    "temple_reception_stats": _schema(_RECEPTION),
-    "sensor_temp_humidity_interpolated": _schema(
-        "time TS; humidity D; temperature D; device_id S; temple_id S"
+    "temple_reception_stats": _schema(
+        time=T.TimestampType(),
+        real_time_headcount=T.IntegerType(),
+        same_day_reception=T.IntegerType(),
+        past_seven_days_reception=T.IntegerType(),
+        dwell_time_range=T.StringType(),
+        temple_id=T.StringType(),
+        created_at=T.TimestampType(),
     ),
     "sensor_feature_data": _schema(
-        "temple_id S; device_id S; stats_start_time TS; monitored_variable S; stats_cycle S;"
-        " feature_key S; feature_value S; created_at TS"
+        temple_id=T.StringType(),
+        device_id=T.StringType(),
+        stats_start_time=T.TimestampType(),
+        monitored_variable=T.StringType(),
+        stats_cycle=T.StringType(),
+        feature_key=T.StringType(),
+        feature_value=T.StringType(),
+        created_at=T.TimestampType(),
     ),
 }
 
@@ -112,5 +102,5 @@ SENSOR_ROUTES = {
 
 # device id, temple number and sensor keyword in an export's file name
 EXPORT_NAME_PATTERN = r"^([^_]+)_(\d+)窟_.*(无线温湿度传感器|无线二氧化碳传感器).*"
-SHEET_YEARS = (2020, 2025)
+SHEET_YEARS = (2020, None)
 RAW_TIME_COLUMN = "采集时间"

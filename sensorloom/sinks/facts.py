@@ -38,5 +38,5 @@ def to_facts(
 
 def load_facts(long: DataFrame, table: str, stats_cycle: str | None = None) -> None:
     """Append long features to the fact table, creating it if missing."""
-    create_table_if_missing(long.sparkSession, table, TABLES[FACT_TABLE])
-    append_by_name(to_facts(long, stats_cycle), table)
+    create_table_if_missing(long.sparkSession, table, TABLES[FACT_TABLE], by_month="stats_start_time")
+    append_by_name(to_facts(long, stats_cycle), table, "stats_start_time", ["temple_id", "device_id", "stats_start_time"])

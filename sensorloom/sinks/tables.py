@@ -12,8 +12,6 @@ from sensorloom.functions import names
 from sensorloom.functions.timebucket import local_month
 from sensorloom.sources.tables import PARTITION
 
-ROWS_PER_FILE = 100_000
-
 
 def _layout(df: DataFrame, order: Sequence[str], partition: bool) -> DataFrame:
     """Even files, sorted inside.
@@ -31,14 +29,15 @@ def store_table(
     time: str | None = "time",
     order: Sequence[str] = (),
     by_month: bool = True,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = 0,
     fmt: str = "parquet",
 ) -> None:
     """Append to a table, creating it from the frame's schema if needed.
 
     Column names are cleaned; with a time column the table is partitioned by
     month and sorted by ``order`` (default: time) inside each file, which is
-    what range filters prune on.
+    what range filters prune on.  Files follow the session's target size;
+    ``rows_per_file`` caps them by rows if positive.
     """
     clean = names.sanitize_columns(df)
     stamp = names.sanitize(time) if time else None
@@ -56,10 +55,20 @@ def store_table(
     writer.saveAsTable(table)
 
 
-def append_by_name(df: DataFrame, table: str) -> None:
+def append_by_name(df: DataFrame, table: str, time: str = "time", order: Sequence[str] = ()) -> None:
     """Append rows, columns matched by name; columns the rows lack become
-    NULL."""
+    NULL.
+
+    For a table partitioned by month the month comes from ``time``; rows
+    without it would be lost to range scans, so a frame without that column is
+    refused.  ``order`` sorts the rows inside each file.
+    """
     target = df.sparkSession.table(table)
+    by_month = PARTITION in target.columns
+    if by_month and PARTITION not in df.columns:
+        if time not in df.columns:
+            raise ValueError(f"table {table} is partitioned by month, and the rows have no column {time!r} to take it from")
+        df = df.withColumn(PARTITION, local_month(names.col(time)))
     unknown = [c for c in df.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"table {table} has no columns {unknown}")
@@ -67,7 +76,10 @@ def append_by_name(df: DataFrame, table: str) -> None:
         (names.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
-    df.select(*columns).write.mode("append").insertInto(table)
+    rows = df.select(*columns)
+    if by_month or order:
+        rows = _layout(rows, list(order) or [time], by_month)
+    rows.write.mode("append").insertInto(table)
 
 
 def write_month_partitions(
@@ -129,7 +141,7 @@ def create_raw_tables(spark: SparkSession, database: str) -> list[str]:
     made = []
     for route in SENSOR_ROUTES.values():
         table = f"{database}.{route['table']}"
-        create_table_if_missing(spark, table, TABLES[route["table"]])
+        create_table_if_missing(spark, table, TABLES[route["table"]], by_month="time")
         made.append(table)
     return made
 

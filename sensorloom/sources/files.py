@@ -25,22 +25,16 @@ logger = logging.getLogger(__name__)
 FILE = "_file"
 
 
-def _header_groups(spark: SparkSession, path: str, encoding: str, pattern: str) -> list[tuple[str, list[str]]]:
-    """Files by header line, with one pass over the raw lines.  What comes back
-    is a file listing, the same the scan itself needs."""
+def _raw_lines(spark: SparkSession, path: str, encoding: str, pattern: str, skip_corrupt: bool) -> DataFrame:
+    """(file, at_start, line) of all files; the CSV reader knows encodings that the text reader does not."""
     lines = (
         spark.read.option("encoding", encoding).option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
+        .option("recursiveFileLookup", "true").option("ignoreCorruptFiles", str(skip_corrupt).lower())
         .option("header", "false").option("sep", "\u0001").option("quote", "")
         .csv(path, schema=T.StructType([T.StructField("line", T.StringType())]))
     )
-    first = lines.filter(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("file"), "line"
-    )
-    # a split starts with its file's first line, so `first` keeps that one
-    per_file = first.groupBy("file").agg(F.first("line").alias("header"))
-    groups = per_file.groupBy("header").agg(F.collect_list("file").alias("files"))
-    return [(r["header"], r["files"]) for r in groups.collect()]
+    return lines.select(F.col("_metadata.file_path").alias("file"),
+                        (F.col("_metadata.file_block_start") == 0).alias("at_start"), F.ltrim("line", F.lit("\ufeff")).alias("line"))
 
 
 def read_csv_folder(
@@ -51,29 +45,39 @@ def read_csv_folder(
     pattern: str = "*.csv",
     same_header: bool = False,
     sort: bool = False,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
-    """All CSV files of a folder as one frame.
-
-    Files with the same header are read together, the groups are unioned by
-    column name; unreadable files are skipped.  ``same_header=True`` promises
-    equal headers and spares the pass that looks at them.  ``time`` is parsed
-    and rows without are dropped when the column exists.
+    """All CSV files of a folder as one frame, columns united by name.
+
+    The header of each file stays in a table keyed by file; only the distinct
+    headers (layouts) come to the driver.  Lines are joined with their file's
+    header and parsed by it, so file names may hold any character.
+    ``same_header=True`` promises equal headers and spares that pass.  ``time``
+    is parsed and rows without are dropped when the column exists.  Values
+    with line breaks need ``same_header=True``.
     """
-    reader = (
-        spark.read.option("header", "true").option("encoding", encoding)
-        .option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE")
-    )
     if same_header:
-        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        inputs: list = [path]
+        reader = (
+            spark.read.option("header", "true").option("encoding", encoding).option("mode", "PERMISSIVE")
+            .option("ignoreCorruptFiles", str(skip_corrupt).lower())
+            .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        )
+        frame = reader.csv(path)
+        frames = [frame.toDF(*[c.lstrip("\ufeff") for c in frame.columns])]
     else:
-        inputs = [files for _, files in sorted(_header_groups(spark, path, encoding, pattern))]
-    if not inputs:
+        lines = _raw_lines(spark, path, encoding, pattern, skip_corrupt)
+        # a split starts with its file's first line, so `first` keeps that one
+        headers = lines.filter("at_start").groupBy("file").agg(F.first("line").alias("header"))
+        layouts = sorted(r["header"] for r in headers.select("header").distinct().collect() if r["header"])
+        rows = lines.join(headers, "file").filter(F.col("line") != F.col("header"))
+        frames = []
+        for header in layouts:
+            columns = [c.strip().strip('"') for c in header.split(",")]
+            ddl = ", ".join(f"{names.quote(c)} string" for c in columns)
+            parsed = rows.filter(F.col("header") == header).select(F.from_csv("line", ddl).alias("r"))
+            frames.append(parsed.select("r.*"))
+    if not frames:
         raise ValueError(f"no {pattern} files with content in {path}")
-    frames = []
-    for files in inputs:
-        frame = reader.csv(files)
-        frames.append(frame.toDF(*[c.lstrip("﻿") for c in frame.columns]))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if time in df.columns:
         df = df.withColumn(time, lenient_time(names.col(time))).filter(names.col(time).isNotNull())
@@ -120,15 +124,17 @@ def read_parquet_series(
 
 
 def read_sheets(
-    spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "utf-8", text_columns: Sequence[str] = ()
+    spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "utf-8", text_columns: Sequence[str] = (),
+    skip_corrupt: bool = False,
 ) -> DataFrame:
     """All sheets below ``path`` with ``sheet`` and the file name; rows without
     any value are dropped.  CSV values stay text, ``text_columns`` says which
-    Parquet columns are to be text too."""
+    Parquet columns are to be text too.  Damaged files fail the read unless
+    ``skip_corrupt`` is set; then their readable part is kept."""
     reader = spark.read.option("basePath", path).option("recursiveFileLookup", "false")
     if fmt == "csv":
         reader = reader.option("header", "true").option("encoding", encoding).option("enforceSchema", "false")
-    df = reader.option("ignoreCorruptFiles", "true").format(fmt).load(path)
+    df = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower()).format(fmt).load(path)
     values = [c for c in df.columns if c != "sheet"]
     df = df.select(*[names.col(c) for c in df.columns], F.col("_metadata.file_name").alias(FILE))
     for c in text_columns:
@@ -137,10 +143,16 @@ def read_sheets(
     return df.withColumn("sheet", F.col("sheet").cast("string")) if "sheet" in df.columns else df
 
 
-def year_sheets(df: DataFrame, years: tuple[int, int] = SHEET_YEARS, sheet: str = "sheet") -> DataFrame:
+def is_year_sheet(sheet: Column, years: tuple[int, int | None] = SHEET_YEARS) -> Column:
+    """Is the sheet named by a year of the range?  An end of None is open."""
+    year = sheet.try_cast("int")
+    inside = year >= years[0] if years[1] is None else year.between(*years)
+    return F.coalesce(sheet.rlike(r"^\d+$") & inside, F.lit(False))
+
+
+def year_sheets(df: DataFrame, years: tuple[int, int | None] = SHEET_YEARS, sheet: str = "sheet") -> DataFrame:
     """Rows of sheets named by a year of the range."""
-    year = F.col(sheet).try_cast("int")
-    return df.filter(F.col(sheet).rlike(r"^\d+$") & year.between(*years))
+    return df.filter(is_year_sheet(F.col(sheet), years))
 
 
 def file_metadata(df: DataFrame, file: str | Column = FILE, pattern: str = EXPORT_NAME_PATTERN) -> DataFrame:

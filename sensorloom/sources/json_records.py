@@ -80,9 +80,9 @@ def parse_documents(
         *ids,
         F.lit(False).alias("success"),
         F.when(broken, PARSE_ERROR).otherwise(VALIDATION_ERROR).alias("type"),
-        F.when(F.col("_blank"), "Input JSON string is empty")
-        .when(broken, "Invalid JSON format")
-        .when(no_rows, "DataFrame is empty")
+        F.when(F.col("_blank"), "the document is empty")
+        .when(broken, "the document is not JSON")
+        .when(no_rows, "the document has no rows")
         .otherwise(F.concat(F.lit("Field not found: "), F.array_join("_absent", ", ")))
         .alias("message"),
         F.to_json(F.struct(F.col("_absent").alias("missing_fields"))).alias("details"),
@@ -114,7 +114,7 @@ def read_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> tupl
     rejects = df.filter(F.col(corrupt).isNotNull()).select(
         F.lit(False).alias("success"),
         F.lit(PARSE_ERROR).alias("type"),
-        F.lit("Invalid JSON format").alias("message"),
+        F.lit("the document is not JSON").alias("message"),
         F.col(corrupt).alias("details"),
     )
     return df.filter(F.col(corrupt).isNull()).select(*[names.col(c) for c in schema.names]), rejects

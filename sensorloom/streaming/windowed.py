@@ -42,10 +42,13 @@ def start_month_ingest(
 ) -> StreamingQuery:
     """Append a stream of readings to a month-partitioned folder and stop when
     the available input is consumed.  ``checkpoint`` must be a folder that all
-    executors share."""
+    executors share.
 
-    def append(batch: DataFrame, _: int) -> None:
-        write_month_partitions(batch, path, time, order)
+    Each batch has a folder of its own, ``batch=<id>``, and replaces it: a
+    batch that runs again after a failure leaves its rows once."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        write_month_partitions(batch, f"{path}/batch={batch_id}", time, order, "overwrite")
 
     return (
         stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)

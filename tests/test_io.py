@@ -23,6 +23,8 @@ def test_gbk_folder_with_two_headers(spark, tmp_path):
     got = df.toPandas()
     assert sorted(df.columns) == ["温度", "湿度", "采集时间"]
     assert got["温度"].tolist() == ["2.5", "1.5"] and got["湿度"].tolist() == ["50", None]
+    (tmp_path / "201A_045窟 (1) 5%20.csv").write_bytes("采集时间,温度\n2024-01-03 00:00:00,3.5\n".encode("gbk"))
+    assert files.read_csv_folder(spark, str(tmp_path), sort=True).toPandas()["温度"].tolist() == ["2.5", "1.5", "3.5"]
     same = files.read_csv_folder(spark, str(tmp_path), pattern="a.csv", same_header=True)
     assert same.count() == 1
     with pytest.raises(ValueError, match="no .* files"):
@@ -92,7 +94,7 @@ def test_table_store_round_trip(spark, readings):
     exported = {r["table"]: r["ddl"] for r in table_sinks.export_catalog(spark, ["io_test"]).collect()}
     assert "yyyymm" in exported["readings"]
     table_sinks.create_raw_tables(spark, "io_test")
-    assert spark.table("io_test.sensor_co2").columns == TABLES["sensor_co2"].names
+    assert spark.table("io_test.sensor_co2").columns == [*TABLES["sensor_co2"].names, "yyyymm"]
     assert tables.run_sql(spark, "select count(*) n from sensor_co2", "io_test").first()["n"] == 0
     spark.catalog.setCurrentDatabase("default")
     spark.sql("drop database io_test cascade")
@@ -130,9 +132,9 @@ def test_json_layouts_and_rejects(spark):
     assert got == [(0, "2023-12-31T16:00:00", 1.5), (0, "2024-01-01T01:00:00", inf), (1, "2024-01-01T00:00:00", None),
                    (2, "2024-01-01T00:00:00", 1.0), (2, "2024-01-01T01:00:00", -inf), (3, "2024-01-01T00:00:00", None)]
     rejected = {r["id"]: (r["type"], r["message"]) for r in bad.collect()}
-    assert rejected == {4: ("JSONParseError", "Invalid JSON format"), 5: ("JSONParseError", "Input JSON string is empty"),
-                        6: ("JSONParseError", "Input JSON string is empty"), 7: ("ValidationError", "Field not found: v"),
-                        8: ("ValidationError", "DataFrame is empty")}
+    assert rejected == {4: ("JSONParseError", "the document is not JSON"), 5: ("JSONParseError", "the document is empty"),
+                        6: ("JSONParseError", "the document is empty"), 7: ("ValidationError", "Field not found: v"),
+                        8: ("ValidationError", "the document has no rows")}
 
 
 def test_json_files(spark, tmp_path):
@@ -179,3 +181,25 @@ def test_cleaning_and_reshape(spark):
     labelled = cleaning.add_source_label(df, "db", "t").first()["data_source"]
     assert labelled == "db.t"
     assert cleaning.add_metadata(df, device_id="A").first()["device_id"] == "A"
+
+
+def test_month_tables_keep_appended_rows(spark, readings):
+    spark.sql("DROP TABLE IF EXISTS month_append")
+    half = readings.select("device_id", "time", "humidity")
+    table_sinks.store_table(half.filter("device_id = 'A'"), "month_append", order=["device_id", "time"])
+    table_sinks.append_by_name(half.filter("device_id <> 'A'"), "month_append", order=["device_id", "time"])
+    lo, hi = half.agg(F.min("time"), F.max("time")).first()
+    found = tables.scan_table("month_append", "2000-01-01", "2100-01-01", spark=spark)
+    assert found.count() == half.count() and found.filter("yyyymm is null").count() == 0
+    pruned = tables.scan_table("month_append", "2030-01-01", "2031-01-01", spark=spark)
+    assert "PartitionFilters: [isnotnull(yyyymm" in pruned._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="partitioned by month"):
+        table_sinks.append_by_name(half.drop("time"), "month_append")
+    spark.sql("DROP TABLE month_append")
+
+
+def test_skipped_sheets_are_counted(spark, tmp_path):
+    sheets = files.read_sheets(spark, sheet_folder(tmp_path))
+    left = {(r["sheet"], r["reason"].split()[0]): r["rows"] for r in ingest.skipped_rows(sheets).collect()}
+    assert left == {("2019", "sheet"): 1, ("说明", "sheet"): 1, ("2023", "file"): 1}
+    assert ingest.skipped_rows(sheets, (2024, None)).agg(F.sum("rows")).first()[0] == 5

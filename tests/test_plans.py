@@ -123,7 +123,7 @@ def test_risk_job(spark, tmp_path):
 def test_fetch_config():
     assert fetch.config_problems({}) and fetch.config_problems({"data_sources": "x"})
     assert fetch.config_problems({"data_sources": [{"database": "d", "table": "t"}]}) == ["data_sources[0] misses key: fields"]
-    assert fetch.config_problems({"data_sources": list(fetch.DEFAULT_SOURCES)}) == []
+    assert fetch.config_problems({"data_sources": [{"database": "d", "table": "t", "fields": ["time"]}]}) == []
 
 
 def test_describe_equals_pandas(readings, readings_pdf):
@@ -149,5 +149,5 @@ def test_streaming_matches_batch(spark, readings, tmp_path):
     target, state = str(tmp_path / "out"), str(tmp_path / "state")
     windowed.start_month_ingest(stream, target, state).awaitTermination(120)
     stored = spark.read.parquet(target)
-    assert stored.count() == readings.count() + 1 and "yyyymm" in stored.columns
+    assert stored.count() == readings.count() + 1 and "yyyymm" in stored.columns and "batch" in stored.columns
     assert not math.isnan(stored.filter("yyyymm = 202401").count())
