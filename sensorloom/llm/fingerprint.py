@@ -33,7 +33,7 @@ def shingle_hashes(text: Column, words: int = WORDS) -> Column:
 
 
 def minima(hashes: Column) -> Column:
-    """Low-order bits of the least hash of each bin, NULL for an empty bin.
+    """The least hash of each bin, NULL for an empty bin.
 
     The upper bits of a hash are its bin.  The largest value of every bin is
     added as a mark; after sorting, the first value of each bin is its least
@@ -44,7 +44,7 @@ def minima(hashes: Column) -> Column:
         return F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, _SHIFT) != F.shiftright(F.get(s, i - 1), _SHIFT)))
 
     return F.transform(let(F.sort_array(F.concat(hashes, marks)), firsts), lambda x: F.when(
-        x.bitwiseAND(F.lit(_LAST)) != F.lit(_LAST), x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("tinyint")))
+        x.bitwiseAND(F.lit(_LAST)) != F.lit(_LAST), x))
 
 
 def densified(bins: Column) -> Column:
@@ -64,7 +64,7 @@ def densified(bins: Column) -> Column:
                 rest = F.array_min(F.transform(f, lambda j: F.struct(F.xxhash64(i, j, F.lit(TRIES)), F.get(m, j).alias("v"))))["v"]
                 return F.coalesce(x, *tries, rest)
 
-            return F.when(F.size(f) == 0, F.array().cast("array<tinyint>")).when(F.size(f) == BINS, m).otherwise(F.transform(m, one))
+            return F.when(F.size(f) == 0, F.array().cast("array<bigint>")).when(F.size(f) == BINS, m).otherwise(F.transform(m, one))
 
         return let(full, with_full)
 
@@ -72,8 +72,13 @@ def densified(bins: Column) -> Column:
 
 
 def signature(text: Column) -> Column:
-    """``BINS`` values of ``BITS`` bits; an empty array for a text without words."""
-    return densified(minima(shingle_hashes(text)))
+    """``BINS`` values of ``BITS`` bits; an empty array for a text without words.
+
+    The low-order bits are taken of the hash of a bin's value and its number:
+    two texts with few shingles would else agree in all bins at once where two
+    borrowed values agree by chance."""
+    return F.transform(densified(minima(shingle_hashes(text))), lambda v, i: F.xxhash64(v, i).bitwiseAND(
+        F.lit((1 << BITS) - 1).cast("bigint")).cast("tinyint"))
 
 
 def packed(values: Column) -> Column:

@@ -93,7 +93,7 @@ def frequent_buckets(sets: DataFrame, bits: int) -> np.ndarray:
     group holds more than a small share of the tasks.  The result has 2**bits
     bits, at most 8 MB, whatever the corpus."""
 
-    def add(_, rows: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(c), "<u4").astype(np.int64) for c in rows["counts"])
         return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "counts": [zlib.compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes(), 1)]})
 
@@ -102,8 +102,8 @@ def frequent_buckets(sets: DataFrame, bits: int) -> np.ndarray:
     total = sets.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     limit = max(32, 3 * total / (1 << bits) + 20)
 
-    def high(_, rows: pd.DataFrame) -> pd.DataFrame:
-        summed = np.frombuffer(zlib.decompress(add(None, rows)["counts"].iloc[0]), "<u4")
+    def high(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        summed = np.frombuffer(zlib.decompress(add((), rows)["counts"].iloc[0]), "<u4")
         return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "high": [np.packbits(summed > limit).tobytes()]})
 
     out = np.zeros(1 << bits, bool)
@@ -276,7 +276,7 @@ def links(found: DataFrame, check: DataFrame) -> DataFrame:
     rows = rows.join(found.select("node", "content"), "node") \
         .withColumn("bucket", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(buckets)))
 
-    def verify(_, part: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         for (hub, _, _, every), group in part.groupby(["hub", "i", "j", "all"], sort=True):
             if len(group) < 2:

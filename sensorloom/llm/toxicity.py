@@ -32,6 +32,8 @@ LOOKALIKES = {
 }
 SYMBOLS = 64  # 0: no letter; 1-26: a-z; the rest: other letters by code point
 
+THRESHOLD = 0.7  # texts with this score or more are predicted toxic
+
 # Costs in nats of the steps of the channel.
 READ_AS = -1.0  # a look-alike stands for a letter
 KEEP_MARK = -9.0  # a look-alike is no letter
@@ -261,11 +263,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_000, min_do
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every row with score, predicted (1 from 0.7 on) and the words restored.
+    """The columns ``keep`` of every row with __score and __restored, the words behind disguised stretches.
 
     Null and empty texts have no evidence.  Rows are treated one by one."""
+    # the added columns get their names last, so that kept columns may have any name but these three
     rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = StructType(rows.schema.fields[:-1]).add("score", DoubleType()).add("restored", ArrayType(StringType()))
+    schema = StructType(rows.schema.fields[:-1]).add("__score", DoubleType()).add("__restored", ArrayType(StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,9 +279,9 @@ def score_texts(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = (
                 restored.append(words)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(restored, pa.list_(pa.string()))],
-                names=[*batch.schema.names[:-1], "score", "restored"])
+                names=[*batch.schema.names[:-1], "__score", "__restored"])
 
-    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+    return rows.mapInArrow(run, schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_000) -> DataFrame:
@@ -290,9 +293,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_
     empty table gives no rows.
     """
     out = score_texts(docs.select(F.col("doc_id").cast("long"), "text"), fit(docs, labels, max_train_docs))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "restored")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+                      (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"), F.col("__restored").alias("restored"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The documents that are not predicted toxic, with ``columns``."""
-    return score_texts(docs, fit(docs, labels), columns).where("predicted = 0").select(*columns)
+    return score_texts(docs, fit(docs, labels), columns).where(F.col("__score") < THRESHOLD).select(*columns)
