@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm import oracles
 from sensorloom.llm.common import table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprint import fingerprints
@@ -34,7 +35,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": oracles.LINE_DEDUP,
+    "op4_decontamination": oracles.DECONTAMINATION,
+    "op10_ngram_join": oracles.NGRAM_JOIN,
+}
