@@ -117,6 +117,10 @@ def with_bucket(
     return joined.withColumn(out, bucket_of(F.col(time), freq, dtype, F.col("_origin"))).drop("_origin")
 
 
+# Buckets of one chunk of a gap.
+_CHUNK = 4096
+
+
 def fill_missing_buckets(
     df: DataFrame, freq: Freq | str, keys: list[str], time: str = "time", zero: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -137,13 +141,17 @@ def fill_missing_buckets(
         nxt = F.date_trunc("month", F.col("_next")).cast(dtype)
     else:
         start, nxt = F.col(time), F.col("_next")
-    labels = F.sequence(start, F.coalesce(nxt - step, start), step)
-    if freq.kind == "month_end":
-        labels = F.transform(labels, lambda x: F.last_day(x).cast(dtype))
+    # a long gap is expanded in chunks, so that no row holds more than one chunk of labels
+    chunk = F.expr(f"{freq.step} * {_CHUNK}")
+    last = F.coalesce(nxt - step, start)
     grown = df.withColumn("_next", F.lead(time).over(w)).select(
-        *keys, *values, F.posexplode(labels).alias("_pos", "_label")
+        *keys, *values, last.alias("_last"), F.posexplode(F.sequence(start, last, chunk)).alias("_chunk", "_from")
     )
-    here = F.col("_pos") == 0
+    labels = F.sequence(F.col("_from"), F.least(F.col("_last"), F.col("_from") + chunk - step), step)
+    if freq.kind == "month_end":
+        labels = F.transform(labels, lambda x: F.last_day(x).cast(dtype))
+    grown = grown.select(*keys, *values, "_chunk", F.posexplode(labels).alias("_pos", "_label"))
+    here = (F.col("_pos") == 0) & (F.col("_chunk") == 0)
     return grown.select(
         *keys,
         F.col("_label").cast(dtype).alias(time),

@@ -61,7 +61,14 @@ def autoregressive(
     value: str = "value",
 ) -> DataFrame:
     """AR model on first differences, fitted by least squares up to the split
-    and run forward over the holdout, with 95 % bounds."""
+    and run forward over the holdout, with 95 % bounds.
+
+    Differences are between consecutive calendar days, and the horizon of a
+    holdout day is its distance in days from the last train day; missing days
+    count.  The fit uses the differences that have all ``order`` differences
+    before them; a series with fewer than ``order + 2`` of those gets NULL
+    forecasts.  A missing one among the latest differences is taken as the mean.
+    """
     keys = list(keys)
     fields = [daily.schema[k] for k in keys] + [daily.schema[time]]
     fields += [T.StructField(c, T.DoubleType()) for c in ("actual", "forecast", "lower", "upper")]
@@ -69,37 +76,37 @@ def autoregressive(
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time)
-        when = pd.to_datetime(pdf[time])
-        train = pdf.loc[when <= at, value].to_numpy(dtype=float)
-        test = pdf.loc[when > at]
-        steps = len(test)
-        diffs = np.diff(train)
-        p = min(order, max(0, (len(diffs) - 1) // 2))
-        if steps == 0 or len(train) == 0:
-            forecast = width = np.full(steps, np.nan)
-        else:
-            lagged = [diffs[p - i - 1: len(diffs) - i - 1] for i in range(p)]
-            design = np.column_stack([np.ones(max(len(diffs) - p, 0)), *lagged])
-            if len(design):
-                coef = np.linalg.lstsq(design, diffs[p:], rcond=None)[0]
-                rest = diffs[p:] - design @ coef
-                sigma = np.sqrt(rest @ rest / max(len(rest) - p - 1, 1))
-            else:
-                coef, sigma = np.zeros(1), 0.0
-            history, impulse = list(diffs), [1.0]
-            change = []
-            for _ in range(steps):
-                recent = history[::-1][:p]
-                change.append(coef[0] + float(np.dot(coef[1:], recent)) if p else coef[0])
-                history.append(change[-1])
-                impulse.append(float(np.dot(coef[1:], impulse[::-1][:p] + [0.0] * max(0, p - len(impulse)))) if p else 0.0)
-            forecast = train[-1] + np.cumsum(change)
-            # error of the level: summed responses of the differences
-            response = np.cumsum(impulse[:steps])
-            width = 1.959963984540054 * sigma * np.sqrt(np.cumsum(response**2))
+        when = pd.to_datetime(pdf[time]).dt.normalize()
+        train = pd.Series(pdf.loc[when <= at, value].to_numpy(dtype=float), when[when <= at])
+        test, days = pdf.loc[when > at], when[when > at]
         out = test[[*keys, time]].copy()
         out["actual"] = test[value].to_numpy(dtype=float)
-        out["forecast"], out["lower"], out["upper"] = forecast, forecast - width, forecast + width
+        out[["forecast", "lower", "upper"]] = np.nan
+        if len(test) == 0 or len(train) == 0:
+            return out
+        diffs = train.resample("D").last().diff().to_numpy()[1:]
+        windows = np.lib.stride_tricks.sliding_window_view(diffs, order + 1) if len(diffs) > order else np.empty((0, order + 1))
+        windows = windows[~np.isnan(windows).any(axis=1)]
+        if len(windows) < order + 2:
+            return out
+        # the latest difference before the fitted one comes first
+        design = np.column_stack([np.ones(len(windows)), windows[:, -2::-1]])
+        coef = np.linalg.lstsq(design, windows[:, -1], rcond=None)[0]
+        rest = windows[:, -1] - design @ coef
+        sigma = np.sqrt(rest @ rest / max(len(rest) - order - 1, 1))
+        ahead = (days - train.index[-1]).dt.days.to_numpy()
+        history = list(np.where(np.isnan(diffs), np.nanmean(diffs), diffs)[-order:]) if order else []
+        change, impulse = [], [1.0]
+        for _ in range(int(ahead.max())):
+            change.append(coef[0] + float(np.dot(coef[1:], history[::-1][:order])))
+            history.append(change[-1])
+            recent = impulse[::-1][:order]
+            impulse.append(float(np.dot(coef[1:len(recent) + 1], recent)))
+        level = train.iloc[-1] + np.cumsum(change)
+        # error of the level: summed responses of the differences
+        width = 1.959963984540054 * sigma * np.sqrt(np.cumsum(np.cumsum(impulse[:len(change)]) ** 2))
+        out["forecast"] = level[ahead - 1]
+        out["lower"], out["upper"] = level[ahead - 1] - width[ahead - 1], level[ahead - 1] + width[ahead - 1]
         return out
 
     return daily.select(*keys, time, value).groupBy(*keys).applyInPandas(fit, T.StructType(fields))

@@ -830,7 +830,16 @@ def _(d):
     return risk.correlate(_exposure(d), rain, on=["device_id", "time"], keys=["device_id"], p_value=False)
 
 
-@query("correlation_p_value")
+# The density of r under independence is proportional to (1 - r^2)^((n - 4) / 2): Simpson's rule, both tails over the whole.
+P_VALUE = """(select sum(case when k in (0, 2000) then 1 when k % 2 = 1 then 4 else 2 end * pow(1 - pow(abs(c) + (1 - abs(c)) * k / 2000.0, 2), (n - 4) / 2.0)) * (1 - abs(c))
+  / sum(case when k in (0, 2000) then 1 when k % 2 = 1 then 4 else 2 end * pow(1 - pow(k / 2000.0, 2), (n - 4) / 2.0)) from range(0, 2001) x(k))"""
+
+
+@query("correlation_p_value", f"""
+with {EXPOSURE}{rain_sql(3_600_000_000, DAY)},
+j as (select e.device_id, e.total_exposure_hours as x, f.rainfall_peak as y from exposure e join rainfall f on e.device_id = f.device_id and e.time = f.time),
+s as (select device_id, count(*) as n, {corr_sql('x', 'y')} as c, regr_slope(y, x) as sl, regr_intercept(y, x) as ic from j group by 1)
+select device_id, {r('c')} as correlation, {r(P_VALUE)} as p_value, {r('sl')} as slope, {r('ic')} as intercept, {r('c * c')} as r_squared, n as n_samples from s""")
 def _(d):
     rain = risk.rainfall_intensity(d.rain, "rainfall", "1h", "D")
     return risk.correlate(_exposure(d), rain, on=["device_id", "time"], keys=["device_id"])
@@ -1096,6 +1105,27 @@ def _(d):
     return forecast.autoregressive(forecast.daily_mean(d.orders, "price"), "2001-03-01")
 
 
+# Order 1 in closed form: d[t] = a + b d[t-1], so the h-th change is m + b^h (d - m) with m = a / (1 - b).
+@query("forecast_ar_first_order", f"""
+with {ORDERS}, s as (select device_id, cast(time as date) as day, avg(price) as v from o group by 1, 2),
+train as (select * from s where day <= date '2001-03-01'),
+df as (select x.device_id, x.day, x.v - y.v as d from train x join train y on x.device_id = y.device_id and x.day = y.day + 1),
+p as (select x.device_id, x.d as y, y.d as x from df x join df y on x.device_id = y.device_id and x.day = y.day + 1),
+f as (select device_id, regr_slope(y, x) as b, regr_intercept(y, x) as a, count(*) as n from p group by 1),
+e as (select p.device_id, sqrt(sum(pow(y - a - b * x, 2)) / greatest(any_value(n) - 2, 1)) as sigma from p join f on p.device_id = f.device_id group by 1),
+l as (select device_id, max(day) as last_day, arg_max(v, day) as last_v from train group by 1),
+m as (select l.*, f.a, f.b, f.n, e.sigma, coalesce(df.d, g.d) as d from l join f on l.device_id = f.device_id join e on l.device_id = e.device_id
+  join (select device_id, avg(d) as d from df group by 1) g on l.device_id = g.device_id left join df on df.device_id = l.device_id and df.day = l.last_day),
+h as (select s.device_id, s.day, s.v, date_diff('day', m.last_day, s.day) as h, m.* exclude (device_id) from s join m on s.device_id = m.device_id where s.day > date '2001-03-01'),
+w as (select *, last_v + h * a / (1 - b) + (d - a / (1 - b)) * b * (1 - pow(b, h)) / (1 - b) as fc,
+  1.959963984540054 * sigma * sqrt(list_sum(list_transform(range(1, h + 1), lambda j: pow((1 - pow(b, j)) / (1 - b), 2)))) as width from h)
+select device_id, cast(day as timestamp) as time, {r('v')} as actual, {r('case when n >= 3 then round(fc, 3) end')} as forecast,
+  {r('case when n >= 3 then round(fc - width, 3) end')} as lower, {r('case when n >= 3 then round(fc + width, 3) end')} as upper from w""")
+def _(d):
+    out = forecast.autoregressive(forecast.daily_mean(d.orders, "price"), "2001-03-01", order=1)
+    return out.withColumns({c: F.round(c, 3) for c in ("forecast", "lower", "upper")})  # sums of hundreds of steps
+
+
 def describe_sql(source: str, columns) -> str:
     return " union all ".join(
         f"select '{c}' as column_name, count({c}) as count, {r(f'avg({c})')} as mean, {r(f'stddev_samp({c})')} as std, {r(f'min({c})')} as min, "
@@ -1224,6 +1254,33 @@ def _(d):
     return part.groupBy("yyyymm", "device_id").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
 
+@query("table_append_scan", f"""
+with {READINGS} select device_id, {DAY} as time, count(*) as n, {r('sum(humidity)')} as humidity from readings
+where time >= timestamp '2024-01-10' and time < timestamp '2024-02-20' group by 1, 2""")
+def _(d):
+    table = f"append_{uuid.uuid4().hex}"
+    rows = d.readings.select("device_id", "time", "humidity")
+    table_sinks.store_table(rows.filter("device_id < 'm'"), table, order=["device_id", "time"])
+    table_sinks.append_by_name(rows.filter("device_id >= 'm'"), table, order=["device_id", "time"])
+    part = tables.scan_table(table, "2024-01-10", "2024-02-20", spark=d.spark)
+    return part.groupBy("device_id", F.date_trunc("day", "time").alias("time")).agg(F.count(F.lit(1)).alias("n"), F.sum("humidity").alias("humidity"))
+
+
+@query("csv_folder_union", f"""
+with {ORDERS} select device_id, count(*) as n, {r('sum(case when year(time) % 2 = 0 then price end)')} as price,
+  count(case when year(time) % 2 = 1 then 1 end) as labelled from o group by 1""")
+def _(d):
+    path = d.folder("csv layouts")
+    stamped = d.orders.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    even = F.year("time") % 2 == 0
+    for name, rows in (("even years 50%20 a", stamped.filter(even).select("time", "device_id", "price")),
+                       ("odd years", stamped.filter(~even).select("device_id", F.lit("x").alias("label"), "time"))):
+        rows.write.option("header", "true").option("encoding", "GBK").csv(f"{path}/{name}")
+    got = file_sources.read_csv_folder(d.spark, path, time="time")
+    return got.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("double")).alias("price"),
+                                        F.count("label").alias("labelled"))
+
+
 @query("csv_export_roundtrip", f"""
 with {READINGS} select device_id, {DAY} as time, {r('avg(humidity)')} as mean from readings group by 1, 2""")
 def _(d):
