@@ -94,6 +94,12 @@ class Inputs:
         value = F.col("humidity")
         return self.readings.filter(F.hour("time") >= 5).withColumn("humidity", F.when(value <= 120, value))
 
+    @property
+    def holes(self) -> DataFrame:
+        """All readings, high values unknown."""
+        value = F.col("humidity")
+        return self.readings.withColumn("humidity", F.when(value <= 120, value))
+
     @property
     def rain(self) -> DataFrame:
         v = F.col("humidity")
@@ -143,6 +149,8 @@ READINGS = """readings as (
 GAPPY = READINGS + """, gappy as (
   select time, device_id, temple_id, temperature, case when humidity <= 120 then humidity end as humidity
   from readings where hour(time) >= 5)"""
+HOLES = READINGS + """, holes as (
+  select time, device_id, temple_id, temperature, case when humidity <= 120 then humidity end as humidity from readings)"""
 SHIPMENTS = """shipments as (
   select l_shipdate as time, l_returnflag as device_id, l_extendedprice as price, l_quantity as quantity
   from lineitem)"""
@@ -295,23 +303,23 @@ def _where(cond: str) -> str:
 
 
 @query("vol_lag1_autocorr", f"""
-with {GAPPY}, b as (select device_id, {DAY} as time, humidity as x,
-  lag(humidity) over (partition by device_id, {DAY} order by time) as y from gappy)
+with {HOLES}, b as (select device_id, {DAY} as time, humidity as x,
+  lag(humidity) over (partition by device_id, {DAY} order by time) as y from holes)
 select device_id, time, {r(corr_sql('x', 'y'))} as lag1_autocorr from b group by 1, 2""")
 def _(d):
-    return stats.statistical_features(d.gappy, "humidity", ["lag1_autocorr"], "D", fill=False)
+    return stats.statistical_features(d.holes, "humidity", ["lag1_autocorr"], "D", fill=False)
 
 
 @query("vol_job", f"""
-with {GAPPY}, b as (select device_id, {DAY} as time, humidity as v,
-  lag(humidity) over (partition by device_id, {DAY} order by time) as y from gappy), {MADS},
+with {HOLES}, b as (select device_id, {DAY} as time, humidity as v,
+  lag(humidity) over (partition by device_id, {DAY} order by time) as y from holes), {MADS},
 s as (select device_id, time, stddev_samp(v) as sd, {Q['cv']} as cv, {corr_sql('v', 'y')} as ac,
   avg(abs(v - mu)) as m1, avg(abs(v - md)) as m2 from m group by 1, 2)
 select device_id, time, {r('sd')} as std, {r('cv')} as cv, {r('ac')} as lag1_autocorr, {r('m1')} as mad_mean,
   {r('m2')} as mad_median from s
 where sd is not null and cv is not null and ac is not null and m1 is not null and m2 is not null""")
 def _(d):
-    return stats.volatility_features(d.gappy, "humidity")
+    return stats.volatility_features(d.holes, "humidity")
 
 
 @query("single_window", f"""
@@ -351,15 +359,15 @@ def _(d):
 
 
 @query("resample_first_last_std", f"""
-with {GAPPY} select device_id, time_bucket(interval 30 minutes, time) as time,
+with {HOLES} select device_id, time_bucket(interval 30 minutes, time) as time,
   {r('arg_min(humidity, time) filter (where humidity is not null)')} as opening,
   {r('arg_max(humidity, time) filter (where humidity is not null)')} as closing,
   {r('stddev_samp(humidity)')} as spread, {r('max(humidity)')} as top, {r('min(humidity)')} as low,
   {r('median(humidity)')} as middle
-from gappy group by 1, 2""")
+from holes group by 1, 2""")
 def _(d):
     v = F.col("humidity")
-    wide = d.gappy.select("device_id", "time", *[v.alias(a) for a in ("opening", "closing", "spread", "top", "low", "middle")])
+    wide = d.holes.select("device_id", "time", *[v.alias(a) for a in ("opening", "closing", "spread", "top", "low", "middle")])
     how = {"opening": "first", "closing": "last", "spread": "std", "top": "max", "low": "min", "middle": "median"}
     return stats.resample(wide, "30min", how, ["device_id"], fill=False)
 
@@ -795,9 +803,9 @@ def _(d):
 
 
 @query("rolling_sum_1h", f"""
-with {GAPPY} select device_id, time, {r('sum(humidity) over (partition by device_id order by time range between interval 3599999999 microseconds preceding and current row)')} as rolling_sum from gappy""")
+with {HOLES} select device_id, time, {r('sum(humidity) over (partition by device_id order by time range between interval 3599999999 microseconds preceding and current row)')} as rolling_sum from holes""")
 def _(d):
-    return risk.rolling_sum(d.gappy.select("device_id", "time", "humidity"), "humidity", "1h").drop("humidity")
+    return risk.rolling_sum(d.holes.select("device_id", "time", "humidity"), "humidity", "1h").drop("humidity")
 
 
 @query("rainfall_6h", f"""
