@@ -38,8 +38,8 @@ def device_features(
 ) -> DataFrame:
     """Long features of every device in one plan.
 
-    The device is a grouping key, not a loop: each processor and field adds
-    one branch, whatever the number of devices.  Each device carries the
+    Device and field are grouping keys, not loops: each processor adds one
+    branch with one scan, whatever the number of devices and fields.  Each device carries the
     temple of its first reading.  Unknown processors and absent fields are
     skipped.
     """
@@ -54,11 +54,15 @@ def device_features(
         if handler is None:
             logger.warning("unknown processor %r is skipped", pipe["processor"])
             continue
-        for field in pipe["fields"]:
-            if field not in df.columns:
-                continue
-            long = handler(df, field, dict(pipe.get("params", {})), ["device_id"])
-            parts.append(long.withColumn("field_name", F.lit(field)))
+        fields = [f for f in pipe["fields"] if f in df.columns]
+        if not fields:
+            continue
+        params = dict(pipe.get("params", {}))
+        ties = [c for c in params.get("tie", ()) if c not in ("device_id", "time")]
+        # one scan serves all fields of a processor: the field is a key too
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), names.col(f).cast("double").alias("_value")) for f in fields]))
+        rows = df.select("device_id", "time", *ties, each.alias("_f")).select("device_id", "time", *ties, "_f.field_name", "_f._value")
+        parts.append(handler(rows, "_value", params, ["device_id", "field_name"]))
     if not parts:
         raise ValueError("no processor applies to the given fields")
     features = union_by_name(parts)

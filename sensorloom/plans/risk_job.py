@@ -15,6 +15,8 @@ from sensorloom.sources.files import read_csv_series
 
 logger = logging.getLogger(__name__)
 
+SECTIONS = ("vapor_pressure_gradient", "high_humidity_exposure", "rainfall_intensity", "correlation_analysis")
+
 # The job's own defaults differ from the library's.
 JOB_DEFAULTS = {
     "high_humidity_exposure": {"threshold": 62.0, "freq": "D"},
@@ -101,12 +103,21 @@ def risk_features(
 
 def csv_loader(spark: SparkSession) -> Callable[[str, dict], DataFrame]:
     def load(path: str, cfg: dict) -> DataFrame:
-        df = read_csv_series(spark, path, cfg.get("time_column", "time"), cfg.get("encoding", "utf-8"))
-        return df.withColumnRenamed(cfg.get("time_column", "time"), "time")
+        stamp = cfg.get("time_column", "time")
+        df = read_csv_series(spark, path, stamp, cfg.get("encoding", "utf-8"), infer=False)
+        # readings are numbers; what is none becomes NULL
+        values = [names.col(c).try_cast("double").alias(c) for c in df.columns if c != stamp]
+        return df.select(names.col(stamp).alias("time"), *values)
 
     return load
 
 
+def job_status(spark: SparkSession, config: dict, results: dict[str, DataFrame]) -> DataFrame:
+    """One row per section: is it enabled, and is its result there?"""
+    rows = [(name, bool((config.get(name) or {}).get("enabled")), name in results) for name in SECTIONS]
+    return spark.createDataFrame(rows, "section string, enabled boolean, done boolean")
+
+
 def run_risk_job(spark: SparkSession, config: dict, output: str, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Compute, save each table and the summary; returns the tables as read
     back, so that the summary does not compute them again."""
@@ -120,6 +131,7 @@ def run_risk_job(spark: SparkSession, config: dict, output: str, keys: Sequence[
         except Exception:
             logger.exception("section %s failed and is left out", name)
     save_results(stored, output)
+    job_status(spark, config, stored).write.mode("overwrite").option("header", "true").csv(f"{output}/status")
     if stored:
         summary(stored).write.mode("overwrite").option("header", "true").csv(f"{output}/summary_report")
     return stored

@@ -93,13 +93,15 @@ def read_csv_series(
     encoding: str = "utf-8",
     schema: T.StructType | None = None,
     required: Sequence[str] = (),
+    infer: bool = True,
 ) -> DataFrame:
     """Time series CSV: checks columns, parses the time.
 
-    Pass ``schema`` for large inputs; inference costs an extra pass.
+    Pass ``schema`` for large inputs, or ``infer=False`` for text columns;
+    inference costs an extra pass.
     """
     reader = spark.read.option("header", "true").option("encoding", encoding)
-    df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", "true").csv(path)
+    df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", str(infer).lower()).csv(path)
     df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
     names.require_columns(df, [time, *required])
     if dict(df.dtypes)[time] not in ("timestamp", "timestamp_ntz"):
