@@ -30,6 +30,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A stored table of a few numbers per row, marked for a broadcast only if it has no more than ``max_rows``."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

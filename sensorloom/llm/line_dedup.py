@@ -8,7 +8,8 @@ hashes and n / BLOCK long ones.
 
 Almost no line has a near partner, so the variants are emitted late: a partner
 of a line agrees with it in the first or in the second half.  Lines whose
-halves occur in no other line are left out first, which loses no pair.
+halves occur in no other line are left out first, then blocks whose surroundings
+occur in no other line; neither loses a pair.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stored
+from sensorloom.llm.common import small, stored
 
 BLOCK = 64
 
@@ -53,13 +54,12 @@ def half_keys(line: Column, length: Column) -> Column:
         F.xxhash64(m, F.lit(0), _behind(line, r + 1, length)), F.xxhash64(m, F.lit(1), _left(line, r)))
 
 
-def variant_keys(lines: DataFrame) -> DataFrame:
-    """(key, kind, h1, h2, first) for all variants of the lines.
+def blocks_of(lines: DataFrame) -> DataFrame:
+    """The blocks of the lines that may hold the edit between two of them.
 
-    kind "s": one character left out, with its place and the line's length: the
-    lines that share such a key differ in that character alone.  kind "d": one
-    character left out, without its place; kind "w": the line itself, as the
-    shorter one of a pair.  "d" and "w" rows share keys."""
+    Each block j comes with hashes of what stands before and behind it.  Two
+    lines one edit apart agree in both around the block of the edit; blocks
+    whose surroundings occur in one line only are left out."""
     n = F.col("length")
     blocks = lines.select("h1", "h2", "first", "line", "length",
                           F.explode(F.sequence(F.lit(0), F.floor(n / BLOCK).cast("int"))).alias("j"))
@@ -69,6 +69,24 @@ def variant_keys(lines: DataFrame) -> DataFrame:
         F.xxhash64(_behind(F.col("line"), at + BLOCK, n)).alias("behind"),
         F.xxhash64(_behind(F.col("line"), at + BLOCK - 1, n)).alias("behind_short"),
         F.substring("line", at + 1, F.lit(BLOCK)).alias("inside"))
+    around = [F.xxhash64(n, "j", "before", "behind"),  # a partner of the same length
+              F.xxhash64(n - 1, F.lit(1), "j", "before", "behind"),  # a shorter partner
+              F.xxhash64(n, F.lit(1), "j", "before", "behind_short")]  # a longer partner
+    parts = stored(parts.withColumn("around", F.array(*around)), "blocks")
+    keys = parts.select("h1", F.explode("around").alias("key"))
+    shared = stored(keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key"), "surroundings")
+    alike = parts.select("h1", "h2", "j", F.explode("around").alias("key")).join(small(shared), "key").select("h1", "h2", "j").distinct()
+    return parts.drop("around").join(alike, ["h1", "h2", "j"])
+
+
+def variant_keys(lines: DataFrame) -> DataFrame:
+    """(key, kind, h1, h2, first) for the variants of the lines.
+
+    kind "s": one character left out, with its place and the line's length: the
+    lines that share such a key differ in that character alone.  kind "d": one
+    character left out, without its place; kind "w": the line itself, as the
+    shorter one of a pair.  "d" and "w" rows share keys."""
+    n, parts = F.col("length"), blocks_of(lines)
 
     def without(i: Column) -> Column:
         return F.concat(_left(F.col("inside"), i), F.substring(F.col("inside"), i + 2, F.lit(BLOCK)))
@@ -90,11 +108,11 @@ def near_lines(docs: DataFrame, distinct: DataFrame, edit_chars: int) -> DataFra
     """(h1, h2) of the distinct lines that have an earlier line one edit apart."""
     halves = distinct.where(F.col("length") >= edit_chars).select("h1", "h2", F.explode("halves").alias("half"))
     shared = stored(halves.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("half"), "halves")
-    some = stored(halves.join(shared, "half").select("h1", "h2").distinct().join(
+    some = stored(halves.join(small(shared), "half").select("h1", "h2").distinct().join(
         distinct.select("h1", "h2", "first"), ["h1", "h2"]), "near-candidates")
     lines = lines_of(docs).select("line", *_ids(F.col("line")))
     # every candidate once, with its text: all its occurrences have the same
-    texts = stored(lines.join(some, ["h1", "h2"]).groupBy("h1", "h2").agg(
+    texts = stored(lines.join(small(some), ["h1", "h2"]).groupBy("h1", "h2").agg(
         F.any_value("line").alias("line"), F.any_value("first").alias("first"))
         .withColumn("length", F.char_length("line")), "near-lines")
     # Lines are distinct, so a key holds at most one line for each character that
@@ -136,7 +154,7 @@ def duplicate_lines(docs: DataFrame, edit_chars: int = 20) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame, edit_chars: int = 20) -> DataFrame:
     """All rows and columns of ``docs``, with ``text`` reduced to its lines that repeat no earlier line.
 
-    Adds n_lines (all lines) and n_dropped.  A line is a repetition if an
+    Adds n_lines (all lines) and n_dropped, in the place of columns of these names.  A line is a repetition if an
     earlier line of the corpus, of this or another document, is equal or (from
     ``edit_chars`` characters on) one edit away, whether or not that one was
     dropped itself.  Blanks at both ends of a line don't count; blank lines are
@@ -151,6 +169,7 @@ def drop_repeated_lines(docs: DataFrame, edit_chars: int = 20) -> DataFrame:
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(F.col("__drops"), i))
     text = F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n", -1)))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in kept_columns],
                          n.cast("long").alias("n_lines"),
                          F.when(F.col("__drops").isNull(), F.lit(0)).otherwise(F.size("__drops")).cast("long").alias("n_dropped"))
