@@ -299,7 +299,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     a component only if no other doc_id does.  Rows with one doc_id are treated
     row by row.  An empty table gives no rows.
     """
-    bits = int(np.clip(np.ceil(np.log2(max(1, docs.count()) * 64)), 16, 26))
+    bits = int(np.clip(np.ceil(np.log2(max(1, docs.count()) * 16)), 16, 26))
     sets = set_table(docs, bits)
     rows = sets.where("kind = 0")
     classes = rows.where("n > 0").groupBy("h1", "h2").agg(
