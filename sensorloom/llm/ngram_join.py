@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stored
+from sensorloom.llm.common import small, stored
 from sensorloom.llm.components import connected_components
 from sensorloom.llm.shingles import set_name, shingle_sets
 
@@ -175,7 +175,7 @@ def candidates(docs: DataFrame, high, bits: int) -> DataFrame:
         kept = found.select("node", "n", F.explode("tokens").alias("token")).join(shared, "token") \
             .groupBy("node", "n").agg(F.sort_array(F.collect_set("token")).alias("tokens")) \
             .where(F.size("tokens") >= F.greatest(F.lit(1), F.floor(F.col("n") / 10)))
-        found = kept.join(found.select("node", "content"), "node").select(*names)
+        found = found.select("node", "content").join(small(stored(kept, "kept")), "node").select(*names)
     # rows that repeat a class leave one
     return stored(found.groupBy("node").agg(*[F.any_value(c).alias(c) for c in names[1:]]), "candidates")
 
