@@ -42,7 +42,7 @@ class _Words(dict):
 class Encoder:
     """Ids of texts as flat arrays.  ``max_words`` bounds the word table (about 250 bytes a word)."""
 
-    def __init__(self, path: str, max_words: int = 1_500_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 

@@ -63,6 +63,27 @@ def _symbols(text: str) -> np.ndarray:
     return np.where(_letters()[codes], np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % (SYMBOLS - 27)), 0)
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that only a part is ever held as Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _joined(texts: list[str | None], most: int = 1_000_000) -> Iterator[str]:
+    """Texts joined by blanks, up to about ``most`` characters at a time; a longer text comes alone."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t or "") > most:
+            yield "  ".join(part)
+            part, size = [], 0
+        if t:
+            part.append(t)
+            size += len(t)
+    if part:
+        yield "  ".join(part)
+
+
 def trigram_counts(docs: DataFrame) -> DataFrame:
     """(gram, n): how often each run of three symbols occurs in all texts.
 
@@ -71,10 +92,9 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS ** 3, np.int64)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 200):
-                s = _symbols("  ".join(t for t in texts[at:at + 200] if t))
+        for batch in _small(batches):
+            for text in _joined(batch.column(0).to_pylist()):
+                s = _symbols(text)
                 total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS ** 3) if len(s) > 2 else 0
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["gram", "n"])
@@ -213,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_000, min_do
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, every, n_toxic, n = Counter(), Counter(), 0, 0
-        for batch in batches:
+        for batch in _small(batches):
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 low = (text or "").lower()
                 own = {f for w in {*_WORD.findall(low), *restored_words(low, model.characters)} for f in word_features(w)}
@@ -238,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_000, min_do
     model.evidence = {r["feature"]: float(p) for r, p in zip(found, bound) if p > base[0] / base[1]}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             labels_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([bool(x) for x in labels_]), pa.array(
                 [math.floor(100 * model.strength(t)[0]) for t in texts], pa.int32())], names=["toxic", "strength"])
@@ -271,7 +291,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = (
     schema = StructType(rows.schema.fields[:-1]).add("__score", DoubleType()).add("__restored", ArrayType(StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             scores, restored = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 strength, words = model.strength(text)
