@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import stored
 from sensorloom.llm.tokens import default_tokenizer, encoder
 
 BATCH = 500
@@ -44,7 +45,8 @@ def length_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
     empty table gives no rows; repeated rows count each; other columns are
     ignored.
     """
-    counts = token_lengths(docs, tokenizer).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # stored, since it is read twice below: texts are encoded once
+    counts = stored(token_lengths(docs, tokenizer).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     counts = counts.withColumn("slice", F.floor(F.col("n_tokens") / SLICE)) \
         .withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     inside = Window.partitionBy("slice").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)
