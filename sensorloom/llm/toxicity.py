@@ -1,11 +1,13 @@
 """Toxicity of texts after noisy-channel restoration of disguised words.
 
 Writers hide words behind look-alike characters (1d10t), separators (i.d.i.o.t,
-i d i o t) and repetition (idiooot).  Stretches of text that may be disguised
-become lattices: each position offers the character itself, the letters it may
-stand for, or nothing.  Viterbi decoding finds the likeliest path under a
-character language model counted over the whole corpus.  Words of the text and
-of the restored stretches are then scored by features learned from labels.
+i d i o t, id-iot) and repetition (idiooot).  Stretches of text that may be
+disguised become lattices: each position offers the character itself, the
+letters it may stand for, or nothing; a separator also offers the edge of a
+word.  Viterbi decoding finds the likeliest path under a character language
+model counted over the whole corpus.  The same model tells which neighbouring
+short words are one word that was cut.  Words of the text, of the restored
+stretches and of the joins are then scored by features learned from labels.
 """
 
 from __future__ import annotations
@@ -37,18 +39,32 @@ THRESHOLD = 0.7  # texts with this score or more are predicted toxic
 # Costs in nats of the steps of the channel.
 READ_AS = -1.0  # a look-alike stands for a letter
 KEEP_MARK = -9.0  # a look-alike is no letter
+KEEP_END = -1.0  # a look-alike that is punctuation behind a word
 DROP_REPEAT = -0.5  # a repetition of the letter before
 DROP_MARK = -0.5  # a separator between letters
+EDGE = -2.5  # the commonest separator of a stretch is the edge of a word
+EDGE_OTHER = -0.5  # another separator of the stretch is
+# Gains in nats from which two neighbouring words are read as one.
+JOIN = 2.0  # words with a blank between
+JOIN_MARK = -3.0  # words with another separator between
+JOIN_KNOWN = -3.0  # words with a blank between that together are a learned word
+EDGE_KNOWN = -6.0  # an edge of a learned word among spaced letters
+PIECE = 7  # letters of each of the words, at most
+MEMO = 50_000  # short stretches whose restoration a worker remembers
+PART = 1 << 18  # characters that are looked at for joins at a time
 
 _MARKS = re.escape("".join(LOOKALIKES))
 _LETTER = r"[^\W\d_]"
-# A token with one or two look-alikes before a letter, a letter three times in a
-# row, or four or more single letters with separators between them.  Marks
-# behind the last letter of a token are punctuation.
-_TOKEN = re.compile(rf"[{_MARKS}]{{0,2}}{_LETTER}+(?:[{_MARKS}]+{_LETTER}+)*")
-_ODD = re.compile(rf"[{_MARKS}]{_LETTER}|({_LETTER})\1\1")
-_SPACED = re.compile(rf"(?<!\w)(?:(?:{_LETTER}|[{_MARKS}])(?:[ .\-_*~]{{1,2}})){{3,}}(?:{_LETTER}|[{_MARKS}])(?!\w)")
-_SPACED_HINT = re.compile(rf"(?<!\w){_LETTER}[ .\-_*~]{{1,2}}(?:{_LETTER}|[{_MARKS}])[ .\-_*~]")
+_PUNCTUATION = "!|(*"
+_SEPARATORS = " .-_*~"
+# A token with one or two look-alikes before a letter or up to four behind the
+# last one, a letter three times in a row, or three or more single letters with
+# separators between them.
+_TOKEN = re.compile(rf"[{_MARKS}]{{0,2}}{_LETTER}+(?:[{_MARKS}]+{_LETTER}+)*(?:[{_MARKS}]{{1,4}}(?!\w))?")
+_ODD = re.compile(rf"[{_MARKS}]{_LETTER}|{_LETTER}[{_MARKS}]|({_LETTER})\1\1")
+_SPACED = re.compile(rf"(?<!\w)(?:(?:{_LETTER}|[{_MARKS}])(?:[ .\-_*~]{{1,2}})){{2,}}(?:{_LETTER}|[{_MARKS}])(?!\w)")
+_SPACED_HINT = re.compile(rf"(?<!\w)(?:{_LETTER}|[{_MARKS}])[ .\-_*~]{{1,2}}(?:{_LETTER}|[{_MARKS}])[ .\-_*~]")
+_UNIT = re.compile(r"[ .\-_~]+|.", re.DOTALL)
 _WORD = re.compile(rf"{_LETTER}+")
 
 
@@ -107,6 +123,7 @@ class CharacterModel:
     """log P(symbol | the two before), from trigram counts backed off to bigrams and single symbols."""
 
     logp: np.ndarray
+    seen: dict[tuple[str, float], str] = field(default_factory=dict, repr=False)  # restored stretches, at most MEMO
 
     @classmethod
     def of(cls, grams: list[tuple[int, int]]) -> CharacterModel:
@@ -120,26 +137,35 @@ class CharacterModel:
         return cls(np.log((n3 + 20 * p2[None]) / (n3.sum(2, keepdims=True) + 20)).astype(np.float32))
 
 
-def restore(stretch: str, model: CharacterModel) -> str:
+def restore(stretch: str, model: CharacterModel, edge: float = EDGE) -> str:
     """The likeliest letters behind a stretch of text (lower case), by Viterbi decoding of its lattice.
 
+    ``edge`` is the cost of reading the commonest separator of the stretch as the edge of a word.
+
     A state is the last two symbols; its entry is the best log-probability and
     the path of output characters."""
+    if (stretch, edge) in model.seen:
+        return model.seen[stretch, edge]
     logp = model.logp
     states: dict[tuple[int, int], tuple[float, tuple | None, str]] = {(0, 0): (0.0, None, "")}
     before = ""
-    for c in stretch:
+    units = _UNIT.findall(stretch)
+    gaps = Counter(u for u in units if u[0] in _SEPARATORS and u not in LOOKALIKES).most_common(1)
+    end = max((i for i, u in enumerate(units) if u.isalpha()), default=-1)
+    for i, c in enumerate(units):
         options: list[tuple[str, float]] = []
         if c in LOOKALIKES:
-            options = [(x, READ_AS) for x in LOOKALIKES[c]] + [(c, KEEP_MARK)]
+            options = [(x, READ_AS) for x in LOOKALIKES[c]] + [(c, KEEP_END if i > end and c in _PUNCTUATION else KEEP_MARK)]
         elif c.isalpha():
             options = [(c, 0.0)]
         else:
-            options = [("", DROP_MARK)]
+            options = [("", DROP_MARK), (" ", edge if gaps and c == gaps[0][0] else EDGE_OTHER)]
         steps: dict[tuple[int, int], tuple[float, tuple | None, str]] = {}
         for (a, b), entry in states.items():
             score, last = entry[0], entry[2]
             choices = options
+            if end >= 0 and i > end and c in LOOKALIKES and last and not last.isalpha():
+                choices = [(c, KEEP_END)]  # behind the end of the word
             if c == before and last == c and c.isalpha():
                 choices = [*options, ("", DROP_REPEAT)]
             for out, cost in choices:
@@ -160,7 +186,12 @@ def restore(stretch: str, model: CharacterModel) -> str:
     while best is not None:
         out.append(best[2])
         best = best[1]
-    return "".join(reversed(out))
+    restored = "".join(reversed(out))
+    if len(stretch) <= 24:
+        if len(model.seen) >= MEMO:
+            model.seen.clear()
+        model.seen[stretch, edge] = restored
+    return restored
 
 
 def disguised(text: str) -> list[tuple[int, int]]:
@@ -173,14 +204,84 @@ def disguised(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def restored_words(text: str, model: CharacterModel) -> list[str]:
-    """Words behind the disguised stretches of a lower-case text."""
+def joins(text: str, model: CharacterModel) -> list[tuple[str, bool]]:
+    """(word, likely) of two or three neighbouring short words of a lower-case text with one separator between them.
+
+    The gain of a join is what the log-probability of the text changes by if
+    the separator goes; joins below JOIN that are not worse than JOIN_KNOWN
+    are not likely by themselves."""
     out = []
-    for a, b in disguised(text):
-        out += _WORD.findall(restore(text[a:b], model))
+    marks = np.array([ord(c) for c in _SEPARATORS])
+    for at in range(0, len(text), PART):
+        part = text[max(0, at - 4 * PIECE):at + PART]
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        x = np.concatenate(([0, 0], np.where(_letters()[codes], np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % (SYMBOLS - 27)), 0), [0, 0, 0]))
+        gaps = np.flatnonzero(x[1:-2] == 0) - 1  # from -1 to len(part): the ends count as gaps
+        left, right = gaps[1:-1] - gaps[:-2] - 1, gaps[2:] - gaps[1:-1] - 1
+        ok = (left > 0) & (right > 0) & (left <= PIECE) & (right <= PIECE) & (left + right > 2)
+        ok[ok] = np.isin(codes[gaps[1:-1][ok]], marks)
+        k = np.flatnonzero(ok)
+        place = gaps[1:-1][k] + 2
+        a, b, c, d = x[place - 2], x[place - 1], x[place + 1], x[place + 2]
+        p = model.logp
+        gain = p[a, b, c] + p[b, c, d] - p[a, b, 0] - p[b, 0, c] - p[0, c, d]
+        blank = codes[place - 2] == 32
+        likely = gain > np.where(blank, JOIN, JOIN_MARK)
+        some = likely | (blank & (gain > JOIN_KNOWN))
+        previous = (-2, False, "")
+        for j, sure in zip(k[some].tolist(), likely[some].tolist()):
+            g = int(gaps[j + 1])
+            first, second = part[int(gaps[j]) + 1:g], part[g + 1:int(gaps[j + 2])]
+            out.append((first + second, sure))
+            if previous[0] == j - 1:
+                out.append((previous[2] + second, sure and previous[1]))
+            previous = (j, sure, first + second)
     return out
 
 
+def _spaced_words(letters: str, model: CharacterModel, known: dict[str, float]) -> list[str]:
+    """The learned words of three letters or more among the letters of a spaced stretch, whose edges the model allows."""
+    p, out = model.logp, []
+    x = [0, 0, *(_symbol(c) for c in letters), 0, 0]
+    gain = [0.0] * (len(letters) + 1)
+    for k in range(1, len(letters)):
+        a, b, c, d = x[k:k + 4]
+        gain[k] = float(p[a, b, 0] + p[b, 0, c] + p[0, c, d] - p[a, b, c] - p[b, c, d])
+    edges = [k for k, g in enumerate(gain) if g >= EDGE_KNOWN]
+    for i in edges:
+        out += [letters[i:k] for k in edges if 3 <= k - i <= 20 and letters[i:k] in known]
+    return out
+
+
+def _decoded(text: str, model: CharacterModel, known: dict[str, float]) -> tuple[list[str], str]:
+    """Words behind the disguised stretches of a lower-case text, and the text with the stretches restored."""
+    out, plain, end = [], [], 0
+    for a, b in disguised(text):
+        stretch = text[a:b]
+        restored = restore(stretch, model)
+        own = set(_WORD.findall(stretch))
+        found = _WORD.findall(restored)
+        if known and _SPACED.fullmatch(stretch):
+            found += _spaced_words("".join(_WORD.findall(restore(stretch, model, math.inf))), model, known)
+        out += [w for w in dict.fromkeys(found) if w not in own]
+        if a >= end:  # stretches of both kinds may overlap
+            plain += [text[end:a], restored]
+            end = b
+    plain.append(text[end:])
+    return out, "".join(plain)
+
+
+def restored_words(text: str, model: CharacterModel) -> list[str]:
+    """Words behind the disguised stretches of a lower-case text."""
+    return _decoded(text, model, {})[0]
+
+
+def words_for_learning(text: str, model: CharacterModel) -> set[str]:
+    """Words of a lower-case text, those behind its disguised stretches, and the likely joins."""
+    restored, plain = _decoded(text, model, {})
+    return {*_WORD.findall(text), *restored, *(w for w, likely in joins(plain, model) if likely)}
+
+
 def word_features(word: str) -> list[str]:
     """The word and its beginnings of four to six letters (marked, so that they differ from words)."""
     return [word, *(word[:k] + "~" for k in (4, 5, 6) if len(word) > k)]
@@ -192,19 +293,30 @@ class ToxicityModel:
     evidence: dict[str, float] = field(default_factory=dict)  # feature -> lower bound of its share of toxic texts
     slope: float = 0.0
     bias: float = -3.0
+    seen: dict[str, float] = field(default_factory=dict, repr=False)  # strongest evidence of words, at most 4 MEMO
+
+    def of_word(self, word: str) -> float:
+        p = self.seen.get(word)
+        if p is None:
+            if len(self.seen) >= 4 * MEMO:
+                self.seen.clear()
+            p = self.seen[word] = max(self.evidence.get(f, 0.0) for f in word_features(word))
+        return p
 
     def strength(self, text: str | None) -> tuple[float, list[str]]:
-        """Strongest evidence in a text, and the words that its restoration added."""
+        """Strongest evidence in a text, and the words that its restoration added (joins only if there is evidence for them)."""
         low = (text or "").lower()
-        restored = restored_words(low, self.characters)
+        known = self.evidence
+        restored, plain = _decoded(low, self.characters, known)
         words = set(_WORD.findall(low))
         words.update(restored)
-        known, most = self.evidence, 0.0
-        for w in words:
-            for f in word_features(w):
-                p = known.get(f)
-                if p is not None and p > most:
-                    most = p
+        most = max(map(self.of_word, words), default=0.0)
+        for w, likely in joins(plain, self.characters) if known else ():
+            p = self.of_word(w) if likely else known.get(w, 0.0)
+            if p and w not in words:
+                restored.append(w)
+                words.add(w)
+                most = max(most, p)
         return most, restored
 
     def score(self, strength: float) -> float:
@@ -236,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = 20_000, min_do
         for batch in _small(batches):
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 low = (text or "").lower()
-                own = {f for w in {*_WORD.findall(low), *restored_words(low, model.characters)} for f in word_features(w)}
+                own = {f for w in words_for_learning(low, model.characters) for f in word_features(w)}
                 every.update(own)
                 n += 1
                 if label:

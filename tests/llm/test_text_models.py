@@ -90,3 +90,41 @@ def test_restore(corpus):
     text = "the m0r0n and i d i o t, or looooser"
     assert toxicity.restored_words(text, model) == ["idiot", "moron", "loser"]
     assert toxicity.restored_words("nothing odd here!!! $5 or 10%", model) == []
+
+
+@pytest.fixture(scope="module")
+def english(spark):
+    """A character model of plain sentences, and the evidence of two learned words."""
+    text = ("you are an idiot and that was a stupid riot. the patriot said it is a stupid idea of an idiot. "
+            "a pilot put a pivot there, but you did not do it. he is at home, or so it was said to me. an idiot is an idiot. "
+            "is it so? you and i go to it as if it is a day of no end. i am on my way up to it. die or be a fat cat. ")
+    docs = spark.createDataFrame([(i, text) for i in range(20)], "doc_id long, text string")
+    grams = [(r["gram"], r["n"]) for r in toxicity.trigram_counts(docs).collect()]
+    return toxicity.ToxicityModel(toxicity.CharacterModel.of(grams), {"idiot": 0.9, "stupid": 0.8, "moron": 0.9, "fat": 0.7}, 8.0, -5.0)
+
+
+@pytest.mark.parametrize("text, word", [
+    ("a i d i o t", "idiot"), ("you are a i d i o t there", "idiot"), ("a s.t.u.p.i.d idea", "stupid"), ("y o u i d i o t", "idiot"),
+    ("y o u  i d i o t", "idiot"), ("an id10+", "idiot"), ("you idio7!", "idiot"), ("idi0+", "idiot"), ("1d10+", "idiot"),
+    ("you id-iot", "idiot"), ("you id iot", "idiot"), ("the id.iot said", "idiot"), ("a stu pid day", "stupid"), ("mor on", "moron"),
+    ("id i ot", "idiot"), ("you id 10t", "idiot"), ("so f a t", "fat"), ("i.d.i.o.t", "idiot"), ("idiooot", "idiot"), ("1d10t", "idiot")])
+def test_disguises(english, text, word):
+    strength, restored = english.strength(text)
+    assert word in restored and strength == english.evidence[word]
+
+
+@pytest.mark.parametrize("text", ["he is at home, or so it was said to me", "you did not do it!!", "is it so? no (it is) a day!", "10 + 7 = 17"])
+def test_plain_text_is_no_disguise(english, text):
+    assert english.strength(text)[0] == 0
+
+
+def test_spaced_words_under_another_language(english):
+    """Learned words are found among spaced letters though the character model knows none of their letters' order."""
+    text = "ontion theand ing eren reing of the shwh tion ai an and diot wh ere ndea"
+    grams = {}
+    s = toxicity._symbols(text)
+    for g in ((s[:-2] * 64 + s[1:-1]) * 64 + s[2:]).tolist():
+        grams[g] = grams.get(g, 0) + 3
+    model = toxicity.ToxicityModel(toxicity.CharacterModel.of(list(grams.items())), english.evidence)
+    for disguise in ("a i d i o t", "y o u i d i o t", "a s.t.u.p.i.d", "i d i o t"):
+        assert set(model.strength(disguise)[1]) & {"idiot", "stupid"}
