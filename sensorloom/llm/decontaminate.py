@@ -62,7 +62,7 @@ def word_terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return terms, np.diff(np.searchsorted(starts, bounds), prepend=0) if len(parts) else np.zeros(0, np.int64)
 
 
-INDEX_SCHEMA = ("shard long, doc_ids array<long>, doc_words array<int>, terms binary, ends binary, positions binary")
+INDEX_SCHEMA = ("shard long, doc_ids array<long>, row_keys array<long>, doc_words array<int>, terms binary, ends binary, positions binary")
 
 
 def _shards(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -80,28 +80,28 @@ def _shards(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 def build_index(docs: DataFrame, name: str = "postings") -> DataFrame:
     """Write the index of all words of all texts to the shared folder and return it.
 
-    One row per shard: doc_ids and doc_words of its documents, then as packed
+    One row per shard: doc_ids, row_keys (hashes of the texts) and doc_words of its documents, then as packed
     little-endian arrays the sorted terms, where each one's positions end, and
     the sorted positions (counted in words over the shard) term after term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-        names = ["shard", "doc_ids", "doc_words", "terms", "ends", "positions"]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
+        names = ["shard", "doc_ids", "row_keys", "doc_words", "terms", "ends", "positions"]
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, keys, texts = (c.to_pylist() for c in batch.columns)
             for a, b in _shards(texts):
                 words, counts = word_terms(texts[a:b])
                 order = np.argsort(words, kind="stable").astype("<i4")
                 ordered = words[order]
                 ends = np.flatnonzero(np.diff(ordered, append=ordered[-1:] ^ 1)) + 1 if len(ordered) else np.zeros(0, int)
-                row = [[shard], [ids[a:b]], [counts.astype(np.int32)], [ordered[ends - 1].astype("<i8").tobytes()],
+                row = [[shard], [ids[a:b]], [keys[a:b]], [counts.astype(np.int32)], [ordered[ends - 1].astype("<i8").tobytes()],
                        [ends.astype("<i4").tobytes()], [order.tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
                 shard += 1
 
     path = scratch_path(docs.sparkSession, name)
-    index = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX_SCHEMA)
+    index = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row_key"), "text").mapInArrow(run, INDEX_SCHEMA)
     index.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(index.schema).parquet(path)
 
@@ -160,7 +160,7 @@ class Windows:
         return np.concatenate(windows), np.concatenate(starts)
 
 
-MATCH_SCHEMA = ("shard long, place int, doc_id long, n_words long, hits array<struct<from:int,to:int>>, items array<string>")
+MATCH_SCHEMA = ("shard long, place int, doc_id long, row_key long, n_words long, hits array<struct<from:int,to:int>>, items array<string>")
 
 
 def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
@@ -168,12 +168,12 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
 
     ``slop`` 0 finds exact phrases; above it, proximity matches: every term of
     the window lies within ``slop`` words of its place, seen from the rarest term."""
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(),
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
              pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])), pa.list_(pa.string())]
-    names = ["shard", "place", "doc_id", "n_words", "hits", "items"]
+    names = ["shard", "place", "doc_id", "row_key", "n_words", "hits", "items"]
     shared = index.sparkSession.sparkContext.broadcast(windows)
 
-    def one(shard, ids, counts, terms, ends, positions):
+    def one(shard, ids, keys, counts, terms, ends, positions):
         query = shared.value
         counts = np.asarray(counts, np.int64)
         stops = np.cumsum(counts)
@@ -203,7 +203,7 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                     a = stop
             for d, w in set(zip(doc.tolist(), which.tolist())):
                 items[d].update(str(query.items[k]) for k in query.owners[w] if query.items[k] is not None)
-        return [[shard] * len(ids), list(range(len(ids))), ids, counts, hits, [sorted(x) for x in items]]
+        return [[shard] * len(ids), list(range(len(ids))), ids, keys, counts, hits, [sorted(x) for x in items]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,6 +243,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, slop: i
     words and no hit.  Null item_ids hit words but name no item.  Rows with
     null or repeated doc_id come out row by row; an empty table gives no rows.
     """
+    return _of_rows(docs, benchmark, size, slop, max_chars).drop("row_key")
+
+
+def _of_rows(docs: DataFrame, benchmark: DataFrame, size: int = 13, slop: int = 0, max_chars: int = 4_000_000) -> DataFrame:
+    """The columns of ``contamination`` and row_key, the hash of the text."""
     index = build_index(docs)
     found = [search(index, w, slop) for w in benchmark_windows(benchmark, size, max_chars)]
     rows = found[0]
@@ -250,18 +255,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, slop: i
         for more in found[1:]:
             rows = rows.unionByName(more)
         rows = rows.groupBy("shard", "place").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.first("doc_id").alias("doc_id"), F.first("row_key").alias("row_key"), F.first("n_words").alias("n_words"),
             F.flatten(F.collect_list("hits")).alias("hits"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["from"], h["to"] - 1)))))
-    rows = rows.select("doc_id", "n_words", covered.cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
+    rows = rows.select("doc_id", "row_key", "n_words", covered.cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
     return rows.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "doc_id", "row_key", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without those that the rule of ``contamination`` names; all rows of a named doc_id go."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The documents without those that the rule of ``contamination`` names; all rows of a named doc_id
+    go.  Rows without a doc_id are decided one by one, by a hash of their text."""
+    key = F.when(F.col("doc_id").isNull(), F.col("row_key")).otherwise(F.lit(0)).alias("__key")
+    bad = _of_rows(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id"), key).distinct()
+    own = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"])).otherwise(F.lit(0))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (own == F.col("__key")), "left_anti")

@@ -299,11 +299,20 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     a component only if no other doc_id does.  Rows with one doc_id are treated
     row by row.  An empty table gives no rows.
     """
+    return _members(docs).select("doc_id", F.col("n").alias("n_shingles"),
+                                 F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"))
+
+
+def _members(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key, n of every row, how many rows have its set (k), and the least row of its component.
+
+    ``least`` (no_id, doc_id, row_key) has a null doc_id only if no row of the
+    component has one; ``k`` and ``least`` are null without shingles."""
     bits = int(np.clip(np.ceil(np.log2(max(1, docs.count()) * 16)), 16, 26))
     sets = set_table(docs, bits)
     rows = sets.where("kind = 0")
     classes = rows.where("n > 0").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_key")).alias("one"), F.count(F.lit(1)).alias("k"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("least"), F.min(F.struct("doc_id", "row_key")).alias("one"), F.count(F.lit(1)).alias("k"))
     # the rows that repeat a class under another id or text
     copies = rows.where("n > 0").join(classes.where("k > 1").select("h1", "h2", "one"), ["h1", "h2"]) \
         .where(F.struct("doc_id", "row_key") != F.col("one")).select("row_key").distinct()
@@ -314,18 +323,32 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     high = docs.sparkSession.sparkContext.broadcast(frequent_buckets(sets, bits))
     found = candidates(single, high, bits)
     labels = connected_components(links(found, to_verify(found)))
-    named = classes.select("h1", "h2", "least")
+    named = classes.select("h1", "h2", "least", "k")
     joined = named.join(labels.select(F.col("node").alias("h1"), "label"), "h1", "left") \
-        .select("h1", "h2", F.coalesce("label", "h1").alias("label"), "least")
-    least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = joined.join(least, "label").select("h1", "h2", "component_id")
-    out = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        .select("h1", "h2", F.coalesce("label", "h1").alias("label"), "least", "k")
+    least = joined.groupBy("label").agg(F.min("least").alias("least"))
+    of_class = joined.drop("least").join(least, "label").select("h1", "h2", "least", "k")
+    return rows.select("doc_id", "row_key", "n", "h1", "h2").join(of_class, ["h1", "h2"], "left").drop("h1", "h2")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that are the least doc_id of their component: one of each group stays."""
-    out = similarity_components(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(out, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    """One row of each component, all columns: the least doc_id, of several rows with it the least hash of the text.
+
+    Rows are told apart by doc_id and text, so null and repeated doc_ids are
+    decided row by row; a null doc_id is kept only if no row of the component
+    has an id.  Rows equal in both leave one, the least by its other columns.
+    Rows without words stand alone and all stay.
+    """
+    rows = _members(docs).where("n > 0")
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("row_key") == F.col("least.row_key"))
+    # rows that go, and rows kept of which there may be more than one
+    out = rows.withColumn("first", first).where("k > 1 or not first").groupBy("doc_id", "row_key") \
+        .agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1 or not first")
+    out = stored(out.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("first").alias("__first")), "left-out")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__key"))
+    kept = docs.join(out, same, "left_anti")
+    several = out.where("__first")
+    if several.isEmpty():
+        return kept
+    again = docs.join(small(several), same).groupBy("__id", "__key").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
+    return kept.unionByName(again.select("row.*"))

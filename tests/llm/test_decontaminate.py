@@ -82,3 +82,10 @@ def test_drop_and_empty(tables):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted((d for d, _ in docs if d not in bad), key=repr)
     assert dc.contamination(df.limit(0), bench).count() == 0
     assert dc.contamination(df, bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_rows_without_id_go_one_by_one(spark):
+    item = "the quick brown fox jumps over one lazy dog while nobody looks at it today"
+    docs = spark.createDataFrame([(None, item), (None, "clean and null"), (None, None), (7, "clean"), (8, item)], "doc_id long, text string")
+    kept = dc.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, "clean and null"), (None, None), (7, "clean")], key=repr)

@@ -95,3 +95,17 @@ def test_components(spark, edges):
         ra, rb = find(parent, a), find(parent, b)
         parent[max(ra, rb)] = min(ra, rb)
     assert got == {x: find(parent, x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_keep_first_by_row(spark):
+    """Null and repeated doc_ids: one row of each group stays, and clean rows that share an id with one that goes."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcde")
+    docs = [(1, a), (None, a + " tail"), (None, b), (2, c), (2, c + " tail"), (2, d), (3, d + " end"), (None, e), (None, e + " end"),
+            (4, b + " more words here"), (9, "x y z"), (9, "x y z"), (5, ""), (5, ""), (None, None), (None, None), (None, "alone here and now")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, least long")
+    kept = nj.keep_first(df)
+    rows = kept.collect()
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], (r["text"] or "")[:1]) for r in rows), key=repr)
+    assert got == sorted([(1, "a"), (4, "b"), (2, "c"), (2, "d"), (None, "e"), (9, "x"), (5, ""), (5, ""), (None, ""), (None, ""), (None, "a")], key=repr)
+    assert next(r["least"] for r in rows if r["doc_id"] == 9) == 10
