@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import let
+from sensorloom.llm.common import let, stored
 
 SLICE = 1024  # turns of one slice of a conversation
 
@@ -71,7 +71,8 @@ def quotation_links(messages: DataFrame) -> DataFrame:
     A passage is looked up among the earlier messages of its conversation
     first, then among all other conversations; the earliest message that has it
     outside quotations is its origin.  Origins are reduced to one row per hash
-    before the join, so a passage that many messages contain stays one row."""
+    before the join (the least origin, and the least one of another
+    conversation), so a passage that many messages contain stays one row."""
     # a message has a quotation mark at the head of a line, or it has nothing to look up
     quoting = messages.where(F.col("text").rlike(r"(?m)^\s{0,3}>"))
     quoted = _units(quoting.select("conv_id", "turn", parsed(F.col("text")).alias("lines"))
@@ -81,12 +82,16 @@ def quotation_links(messages: DataFrame) -> DataFrame:
     written = _units(messages.where(F.col("text").isNotNull()).select("conv_id", "turn", parsed(F.col("text")).alias("lines"))
                      .select("conv_id", "turn", F.explode(passages(F.col("lines"))).alias("p")).where("p.level = 0"))
     written = written.join(wanted, ["k1", "k2"], "left_semi")
-    here = written.groupBy("k1", "k2", F.col("conv_id").alias("here_conv")).agg(F.min("turn").alias("here_turn"))
-    anywhere = written.groupBy("k1", "k2").agg(F.min(F.struct("conv_id", "turn")).alias("there"))
+    here = stored(written.groupBy("k1", "k2", F.col("conv_id").alias("here_conv")).agg(F.min("turn").alias("here_turn")), "origins")
+    origin = F.min(F.struct(F.col("here_conv").alias("conv_id"), F.col("here_turn").alias("turn")))
+    least = here.groupBy("k1", "k2").agg(origin.alias("there"))
+    other = here.join(least, ["k1", "k2"]).where(~F.col("here_conv").eqNullSafe(F.col("there.conv_id"))) \
+        .groupBy("k1", "k2").agg(origin.alias("other"))
+    anywhere = least.join(other, ["k1", "k2"], "left")
     found = quoted.join(here, (quoted["k1"] == here["k1"]) & (quoted["k2"] == here["k2"]) & quoted["conv_id"].eqNullSafe(here["here_conv"])
                         & (here["here_turn"] < quoted["turn"]), "left").select(quoted["*"], "here_turn")
     found = found.join(anywhere, ["k1", "k2"], "left")
-    there = F.when(~F.col("there.conv_id").eqNullSafe(F.col("conv_id")), F.col("there"))
+    there = F.when(~F.col("there.conv_id").eqNullSafe(F.col("conv_id")), F.col("there")).otherwise(F.col("other"))
     return found.select(
         "conv_id", "turn", "level", "unit", "k1", "k2",
         F.when(F.col("here_turn").isNotNull(), F.col("conv_id")).otherwise(there["conv_id"]).alias("from_conv"),

@@ -59,3 +59,14 @@ def test_templates_name_themselves(spark):
     df = spark.createDataFrame([(i, f"d{i}/x", t) for i, (_, t) in enumerate(TEMPLATES)], "file_id long, path string, text string")
     for r in scan_licenses(df).collect():
         assert r["license"] == TEMPLATES[r["file_id"]][0] and r["cosine"] > 0.999
+
+
+def test_origin_in_another_conversation(spark):
+    """The quoting conversation has the least conv_id among the writers, but wrote the passage in the same or a later turn only."""
+    rows = [(1, 0, "user", "> shared words\n\nshared words"), (1, 3, "user", "shared words"), (7, 2, "user", "shared words"), (7, 1, "user", "x\n\nshared words"),
+            (5, 4, "user", "> shared words"), (9, 0, "user", "> only here"), (9, 1, "user", "only here"),
+            (None, 0, "user", "> null first"), (None, 1, "user", "null first"), (3, 6, "user", "null first"), (4, 0, "user", "> null first")]
+    got = {(r["conv_id"], r["turn"]): [tuple(o) for o in r["origins"]] for r in
+           reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[(1, 0)] == [(7, 1)] and got[(5, 4)] == [(1, 0)] and got[(9, 0)] == []
+    assert got[(None, 0)] == [(3, 6)] and got[(4, 0)] == [(None, 1)]
