@@ -59,3 +59,6 @@ reach as (select a, b from edges union select r.a, e.b from reach r join edges e
 lowest as (select a, min(b) as b from reach group by a)
 select dw.doc_id, coalesce(sizes.n, 0)::bigint as n_shingles, least(dw.doc_id, coalesce(l.b, dw.doc_id)) as component_id
 from dw left join sizes on dw.doc_id = sizes.doc_id left join lowest l on dw.doc_id = l.a"""
+
+MINHASH_DEDUP = f"""
+select *, doc_id = component_id as kept from ({NGRAM_JOIN.replace("w[k:k + 4]", "w[k:k + 1]").replace("len(w) - 4", "len(w) - 1")})"""

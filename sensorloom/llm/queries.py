@@ -15,6 +15,7 @@ from sensorloom.llm.language import predict_languages
 from sensorloom.llm.length_histogram import length_histogram
 from sensorloom.llm.licenses import scan_licenses
 from sensorloom.llm.line_dedup import drop_repeated_lines
+from sensorloom.llm.minhash_dedup import near_duplicates
 from sensorloom.llm.ngram_join import similarity_components
 from sensorloom.llm.packing import pack
 from sensorloom.llm.quotes import reply_ordered
@@ -65,6 +66,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -76,10 +81,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_license_scan": op9_license_scan,
     "op10_ngram_join": op10_ngram_join,
+    "op11_minhash_dedup": op11_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": oracles.LINE_DEDUP,
     "op4_decontamination": oracles.DECONTAMINATION,
     "op10_ngram_join": oracles.NGRAM_JOIN,
+    "op11_minhash_dedup": oracles.MINHASH_DEDUP,
 }

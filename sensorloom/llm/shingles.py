@@ -31,8 +31,8 @@ def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return _mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), counts
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """For each text the sorted distinct hashes of its runs of five words (A-Z lower-cased).
+def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of ``size`` words, at most five (A-Z lower-cased).
 
     A text of fewer words has one shingle, all its words; one without words has none."""
     hashes, counts = _word_hashes(texts)
@@ -40,10 +40,10 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     for n in counts.tolist():
         words = hashes[at:at + n]
         at += n
-        if n >= WORDS:
-            sums = words[:n - WORDS + 1] * _FACTORS[0]
-            for k in range(1, WORDS):
-                sums = sums + words[k:n - WORDS + 1 + k] * _FACTORS[k]
+        if n >= size:
+            sums = words[:n - size + 1] * _FACTORS[0]
+            for k in range(1, size):
+                sums = sums + words[k:n - size + 1 + k] * _FACTORS[k]
             out.append(np.unique(_mix(sums)))
         elif n:
             out.append(_mix((words * _FACTORS[:n]).sum(keepdims=True, dtype=np.uint64) + np.uint64(n)))
