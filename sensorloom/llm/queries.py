@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import oracles
 from sensorloom.llm.common import table
+from sensorloom.llm.conversation_repair import repair_damaged
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprint import fingerprints
 from sensorloom.llm.language import predict_languages
@@ -19,6 +20,7 @@ from sensorloom.llm.minhash_dedup import near_duplicates
 from sensorloom.llm.ngram_join import similarity_components
 from sensorloom.llm.packing import pack
 from sensorloom.llm.quotes import reply_ordered
+from sensorloom.llm.spelling import spelling_variants
 from sensorloom.llm.toxicity import score_toxicity
 
 
@@ -70,6 +72,14 @@ def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_ngram_join": op10_ngram_join,
     "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
