@@ -4,11 +4,13 @@ Two plans with the same result:
 
 * ordinary groups: one exchange on the group key, windows sorted by value
   (they spill), one aggregate on the same partitioning;
-* hot groups: rows are first combined to (group, value, count), the distinct
-  values are cut at approximate quantiles into slices of about equal size,
-  cumulative counts run per slice and are lifted by the totals of the slices
-  before, and the order statistics fall out of a combinable ``min``.  The
-  approximate cut points only balance the work, the result is exact.
+* hot groups: radix selection.  A histogram of each group's values, in 2**14
+  bins of equal width and combined map-side, tells in which bin each wanted
+  rank lies; the next round cuts only that bin, between the least and the
+  greatest value found in it, until a bin holds one value.  Rows are neither
+  sorted nor sent anywhere: what is exchanged are bins with their counts.
+  Two rounds are common, because a round divides a range by 2**14.  Each round
+  is stored, so the next one plans with a small table of ranks.
 
 Expressions are written as SQL text: the plans are wide, and text keeps the
 time to build them on the driver short.
@@ -22,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.names import quote
-from sensorloom.operators.slices import split_hot
+from sensorloom.operators.slices import MAX_BROADCAST_GROUPS, hot_groups, small_side
+from sensorloom.session import stored
 
 QUANTILES = {"median": 0.5, "q1": 0.25, "q3": 0.75, "p10": 0.10}
 ORDER_FEATURES = frozenset((*QUANTILES, "share_above_q3", "mad_mean", "mad_median"))
-MOMENT_FEATURES = frozenset(("mean", "max", "min", "std", "range", "cv"))
+MOMENT_FEATURES = frozenset(("count", "mean", "max", "min", "std", "range", "cv"))
 
 _MOMENTS = {
+    "count": "count({v})",
     "mean": "avg({v})",
     "max": "max({v})",
     "min": "min({v})",
@@ -37,8 +41,7 @@ _MOMENTS = {
     "cv": "case when avg({v}) <> 0 then stddev_samp({v}) / avg({v}) end",
 }
 
-_SLICE_BITS = 8
-_SLICES = 1 << _SLICE_BITS
+_BINS = 1 << 14
 
 
 def _moments(value: str, wanted: Iterable[str]) -> list[str]:
@@ -118,73 +121,65 @@ def _ordinary(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> D
     return _finish(_agg(rows, keys, aggs), keys, wanted)
 
 
-def _cuts_below(v: str) -> str:
-    """How many of the ``_SLICES - 1`` sorted cut points lie below ``v``, by
-    binary search."""
-    return (
-        f"aggregate(sequence({_SLICE_BITS - 1}, 0, -1), 0, (below, bit) -> "
-        f"if(get(_cuts, below + shiftleft(1, bit) - 1) < {v}, below + shiftleft(1, bit), below))"
-    )
-
-
-def _hot(df: DataFrame, keys: list[str], value: str, wanted: set[str]) -> DataFrame:
+def bin_of(v: str, lo: str, hi: str) -> str:
+    """SQL text of the bin of a value between two different finite bounds.
+
+    Every step keeps the order, the bounds fall in the first and the last bin;
+    a range that overflows is halved first."""
+    share = f"if({hi} - {lo} = double('inf'), ({v} / 2 - {lo} / 2) / ({hi} / 2 - {lo} / 2), ({v} - {lo}) / ({hi} - {lo}))"
+    return f"cast(floor({share} * {_BINS - 1}) as int)"
+
+
+def select_ranks(rows: DataFrame, keys: list[str], value: str, targets: DataFrame, groups: int = MAX_BROADCAST_GROUPS + 1) -> DataFrame:
+    """(keys, _pick, value) for ``targets`` (keys, _pick, _rank, _lo, _hi): the value with that 1-based rank among
+    the values of its group that lie between _lo and _hi, all finite.
+
+    ``groups`` is the counted number of groups; the wanted ranks of not too many are broadcast."""
+    key = [quote(k) for k in keys]
+    rows = rows.selectExpr(*key, f"{quote(value)} as _v")
+    done, targets = [], stored(targets.selectExpr(*key, "_pick", "_rank", "_lo", "_hi"), "ranks")
+    while True:
+        done.append(targets.filter("_lo = _hi"))
+        targets = targets.filter("_lo < _hi")
+        if targets.isEmpty():
+            break
+        ranges = small_side(targets.select(*keys, "_lo", "_hi").distinct(), groups)
+        binned = rows.join(ranges, keys).filter("_v >= _lo and _v <= _hi").selectExpr(*key, "_lo", "_hi", f"{bin_of('_v', '_lo', '_hi')} as _bin", "_v")
+        counts = _agg(binned, [*keys, "_lo", "_hi", "_bin"], ["count(1) as _c", "min(_v) as _least", "max(_v) as _most"]).selectExpr(
+            "*", f"sum(_c) over (partition by {', '.join(key)}, _lo, _hi order by _bin) as _upto")
+        found = counts.join(small_side(targets, groups), [*keys, "_lo", "_hi"]).filter("_upto >= _rank and _upto - _c < _rank")
+        targets = stored(found.selectExpr(*key, "_pick", "_rank - (_upto - _c) as _rank", "_least as _lo", "_most as _hi"), "ranks")
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.selectExpr(*key, "_pick", f"_lo as `{value}`")
+
+
+def _hot(df: DataFrame, keys: list[str], value: str, wanted: set[str], groups: int = MAX_BROADCAST_GROUPS + 1) -> DataFrame:
     v, key = quote(value), [quote(k) for k in keys]
-    group = f"partition by {', '.join(key)}"
-    # combined map-side and spread over value too
-    counted = df.groupBy(*keys, value).agg(F.expr("count(1) as _c"))
-    known = counted.filter(f"{v} is not null")
-    shares = ",".join(str(i / _SLICES) for i in range(1, _SLICES))
-    cut_at = f"cast(split('{shares}', ',') as array<double>)"  # one constant
-    totals = _agg(counted, keys, [
-        f"sum(case when {v} is not null then _c else 0 end) as _n",
-        "sum(_c) as _rows",
-        f"sum({v} * _c) / sum(case when {v} is not null then _c end) as mean",
-        f"min({v}) as min",
-        f"max({v}) as max",
-        f"percentile_approx({v}, {cut_at}, 10000) as _cuts",
-    ])
     quantiles = _quantiles_needed(wanted)
-    stats = totals.drop("_cuts")
+    moments = wanted & MOMENT_FEATURES | ({"mean"} if "mad_mean" in wanted else set())
+    finite = f"case when abs({v}) < double('inf') then {v} end"
+    stats = stored(_agg(df, keys, [
+        f"count({v}) as _n", "count(1) as _rows", f"count_if({v} = double('-inf')) as _below", f"count({finite}) as _finite",
+        f"min({finite}) as _lo", f"max({finite}) as _hi", *_moments(v, sorted(moments))]), "moments")
     if quantiles:
-        sliced = known.join(totals.select(*keys, "_cuts"), keys).selectExpr(
-            *key, v, "_c", f"{_cuts_below(v)} as _part"
-        )
-        # both uses below read the same exchange on (group, slice)
-        local = sliced.selectExpr(
-            *key, v, "_part",
-            f"sum(_c) over ({group}, _part order by {v} rows between unbounded preceding and current row) as _local",
-        )
-        lifted = _agg(local, [*keys, "_part"], ["max(_local) as _total"]).selectExpr(
-            *key, "_part",
-            f"sum(_total) over ({group} order by _part rows between unbounded preceding and 1 preceding) as _before",
-            f"sum(_total) over ({group} order by _part rows between unbounded preceding and unbounded following) as _n",
-        )
-        placed = local.join(lifted, [*keys, "_part"])
-        cumulated = "coalesce(_before, 0) + _local"
-        picks = []
-        for q, p in quantiles.items():
-            for name, rank in (("lo", _low_rank(p)), ("hi", _high_rank(p))):
-                picks.append(f"min(case when {cumulated} >= {rank} then {v} end) as _{name}_{q}")
-        stats = stats.join(_agg(placed, keys, picks), keys, "left").selectExpr(
-            "*", *[f"{_interpolate(f'_lo_{q}', f'_hi_{q}', p)} as _{q}" for q, p in quantiles.items()]
-        )
-    second = []
-    for feature, center in (("mad_mean", "mean"), ("mad_median", "_median")):
-        if feature in wanted:
-            second.append(f"sum(_c * abs({v} - {center})) / sum(_c) as {feature}")
+        ranks = ", ".join(f"struct('{side}_{q}' as _pick, cast({rank(p)} as bigint) as _rank)" for q, p in quantiles.items()
+                          for side, rank in (("_lo", _low_rank), ("_hi", _high_rank)))
+        targets = stats.filter("_n > 0").selectExpr(*key, "_below", "_finite", "_lo", "_hi", f"inline(array({ranks}))")
+        endless = targets.filter("_rank <= _below or _rank > _below + _finite").selectExpr(
+            *key, "_pick", f"if(_rank <= _below, double('-inf'), double('inf')) as {v}")
+        inner = targets.filter("_rank > _below and _rank <= _below + _finite").withColumn("_rank", F.expr("_rank - _below"))
+        picked = select_ranks(df, keys, value, inner, groups).unionByName(endless)
+        picked = _agg(picked, keys, [f"max(case when _pick = '{side}_{q}' then {v} end) as {side}_{q}" for q in quantiles for side in ("_lo", "_hi")])
+        stats = stats.drop("_lo", "_hi").join(small_side(picked, groups), keys, "left").selectExpr(
+            "*", *[f"{_interpolate(f'_lo_{q}', f'_hi_{q}', p)} as _{q}" for q, p in quantiles.items()])
+    second = [f"avg(abs({v} - {center})) as {feature}" for feature, center in (("mad_mean", "mean"), ("mad_median", "_median")) if feature in wanted]
     if "share_above_q3" in wanted:
-        second.append(f"sum(case when {v} > _q3 then _c else 0 end) as _over")
-    if wanted & {"std", "cv"}:
-        squares = f"sum(_c * ({v} - mean) * ({v} - mean))"
-        second.append(f"case when sum(_c) > 1 then sqrt({squares} / (sum(_c) - 1)) end as std")
+        second.append(f"count_if({v} > _q3) as _above")
     if second:
-        stats = stats.join(_agg(known.join(stats, keys), keys, second), keys, "left")
-    derived = {
-        "share_above_q3": "coalesce(_over, 0) as _above",
-        "range": "max - min as range",
-        "cv": "case when mean <> 0 then std / mean end as cv",
-    }
-    stats = stats.selectExpr("*", *[e for w, e in derived.items() if w in wanted])
+        centers = small_side(stats.selectExpr(*key, *[c for c in ("mean", "_median", "_q3") if c in stats.columns]), groups)
+        stats = stats.join(_agg(df.join(centers, keys), keys, second), keys, "left")
     return _finish(stats, keys, wanted)
 
 
@@ -206,5 +201,9 @@ def group_stats(
     df = df.select(*keys, value)
     if not wanted & ORDER_FEATURES:
         return moment_stats(df, keys, value, sorted(wanted))
-    ordinary, hot = split_hot(df, keys, hot_rows)
-    return _ordinary(ordinary, keys, value, wanted).unionByName(_hot(hot, keys, value, wanted))
+    found = hot_groups(df, keys, hot_rows)
+    if found is None:
+        return _ordinary(df, keys, value, wanted)
+    hot, groups = found
+    rest = _ordinary(df.join(small_side(hot, groups), keys, "left_anti"), keys, value, wanted)
+    return rest.unionByName(_hot(df.join(small_side(hot, groups), keys, "left_semi"), keys, value, wanted, groups))

@@ -26,9 +26,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, hot_rows: int
     long = df.select(*[number(names.col(c)).alias(c) for c in columns]).unpivot(
         [], [names.quote(c) for c in columns], "column_name", "_v"
     )
-    stats = group_stats(long, ["column_name"], "_v", ["mean", "std", "min", "q1", "median", "q3", "max"], hot_rows)
-    counts = long.groupBy("column_name").agg(F.count("_v").alias("count"))
-    return counts.join(stats, "column_name").select("column_name", *DESCRIBE)
+    stats = group_stats(long, ["column_name"], "_v", ["count", "mean", "std", "min", "q1", "median", "q3", "max"], hot_rows)
+    return stats.select("column_name", *DESCRIBE)
 
 
 def value_distribution(df: DataFrame, column: str, sort: bool = True) -> DataFrame:

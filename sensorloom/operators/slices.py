@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import names
 from sensorloom.functions.timebucket import micros
-from sensorloom.session import hot_group_rows, slice_micros
+from sensorloom.session import hot_group_rows, slice_micros, stored
 
 SLICE = "_slice"
 
@@ -188,3 +188,24 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> t
         .select(*keys)
     )
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+
+
+MAX_BROADCAST_GROUPS = 100_000
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> tuple[DataFrame, int] | None:
+    """The keys of groups with more than ``limit`` rows and how many they are (counted up to
+    MAX_BROADCAST_GROUPS + 1), or None without any.
+
+    One counting pass decides, so that plans of ordinary data have one branch.
+    """
+    limit = limit or hot_group_rows(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.filter(F.col("_rows") > limit).select(*keys)
+    n = hot.limit(MAX_BROADCAST_GROUPS + 1).count()
+    return (stored(hot, "hot-groups"), n) if n else None
+
+
+def small_side(df: DataFrame, groups: int) -> DataFrame:
+    """A table of a few rows for each of ``groups`` counted groups: marked for a broadcast if these are not too many."""
+    return F.broadcast(df) if groups <= MAX_BROADCAST_GROUPS else df

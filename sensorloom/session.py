@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so that they can also be applied to a session that
 # somebody else (spark-submit, a notebook, a test driver) created.
@@ -70,3 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="sensorloom-ckpt-", dir=os.environ.get("TMPDIR"))
     spark.sparkContext.setCheckpointDir(named)
     return named
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: the plan of what follows starts there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from sensorloom.functions import features as feat
-from sensorloom.operators import stats
+from sensorloom.operators import order_stats, stats
 
 
 def _share(s):
@@ -158,3 +158,33 @@ def test_resample_defaults_follow_names(spark):
     )
     got = stats.resample(df, "10min").collect()[0]
     assert got["device_id"] == "x" and got["temperature"] == 2.0 and got["total_rainfall(10min)"] == 7.0
+
+
+@pytest.mark.parametrize("values", [
+    [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308, 1.0, 1.0 + 2.0 ** -52],
+    [2.0 ** k for k in range(-60, 60, 7)], [0.1 * k for k in range(-50, 50)], [7.0], [3.5] * 20])
+def test_radix_selection_of_every_rank(spark, values):
+    rows = spark.createDataFrame([("a", v) for v in values] + [("b", 7.0), ("b", None), ("c", None)], "g string, v double")
+    lo, hi = min(values), max(values)
+    targets = spark.createDataFrame([("a", f"r{k}", k, lo, hi) for k in range(1, len(values) + 1)] + [("b", "r1", 1, 7.0, 7.0)],
+                                    "g string, _pick string, _rank long, _lo double, _hi double")
+    got = {(r["g"], r["_pick"]): r["v"] for r in order_stats.select_ranks(rows, ["g"], "v", targets).collect()}
+    assert got == {**{("a", f"r{k + 1}"): v for k, v in enumerate(sorted(values))}, ("b", "r1"): 7.0}
+
+
+def test_hot_infinite_values(spark):
+    values = [float("-inf")] * 3 + [1.0, 2.0, 5.0] + [float("inf")] * 2
+    rows = spark.createDataFrame([("a", v) for v in values], "g string, v double")
+    wanted = {"q1", "median", "q3", "p10"}
+    hot = order_stats._hot(rows, ["g"], "v", wanted).select("g", *sorted(wanted)).collect()
+    plain = order_stats._ordinary(rows, ["g"], "v", wanted).select("g", *sorted(wanted)).collect()
+    assert str(hot) == str(plain)
+
+
+def test_hot_single_row_and_missing_groups(spark):
+    rows = spark.createDataFrame([("one", 3.0), ("none", None), ("two", 1.0), ("two", 2.0)], "g string, v double")
+    wanted = sorted(order_stats.ORDER_FEATURES | order_stats.MOMENT_FEATURES)
+    hot = order_stats._hot(rows, ["g"], "v", set(wanted)).select("g", *wanted).orderBy("g").collect()
+    plain = order_stats.group_stats(rows, ["g"], "v", wanted).select("g", *wanted).orderBy("g").collect()
+    assert hot == plain
+    assert order_stats._hot(rows.limit(0), ["g"], "v", set(wanted)).collect() == []
