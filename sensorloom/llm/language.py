@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import held_out
+from sensorloom.llm.common import held_out, small, stored
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 13
@@ -108,23 +108,20 @@ def fit_bits(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 1
     return CodeModel(languages, code, weight / weight.sum(1, keepdims=True), w, b)
 
 
-def training_sample(docs: DataFrame, max_train_docs: int, max_languages: int) -> DataFrame:
-    """Labelled rows that may be learned from: at most ``max_train_docs``, evenly over the languages."""
+def training_sample(docs: DataFrame, max_train_docs: int) -> DataFrame:
+    """Labelled rows that may be learned from: about ``max_train_docs``, evenly over all languages, one of each at least."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
-    if not counts:
-        return rows.select("lang", "text").limit(0)
-    each = max(1, max_train_docs // len(counts))
-    chance = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 1.5 * each / n))) for k, n in counts.items()])
+    counts = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    each = max(1, max_train_docs // max(1, counts.count()))
     draw = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30))
+    chance = F.least(F.lit(1.0), (1.5 * each + 4) / F.col("n"))
     # about 1.5 times the wanted rows, then exactly the first of them in the order of the hash
-    some = rows.select("lang", "text", draw.alias("draw")).where(F.col("draw") < chance * (1 << 30))
+    some = rows.select("lang", "text", draw.alias("draw")).join(small(counts), "lang").where(F.col("draw") < chance * (1 << 30))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
     return some.withColumn("nth", nth).where(F.col("nth") <= each).select("lang", "text")
 
 
-def fit(docs: DataFrame, max_train_docs: int = 2000, max_languages: int = 400) -> CodeModel | None:
+def fit(docs: DataFrame, max_train_docs: int = 2000) -> CodeModel | None:
     """Learn the bits from a bounded sample of labelled rows; None without any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +136,7 @@ def fit(docs: DataFrame, max_train_docs: int = 2000, max_languages: int = 400) -
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(at, pa.list_(pa.int32())),
                                               pa.array(value, pa.list_(pa.float32()))], names=["lang", "at", "value"])
 
-    sample = training_sample(docs, max_train_docs, max_languages)
+    sample = training_sample(docs, max_train_docs)
     rows = sample.mapInArrow(run, "lang string, at array<int>, value array<float>").collect()
     if not rows:
         return None

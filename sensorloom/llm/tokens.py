@@ -24,6 +24,23 @@ _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _LATIN = re.compile(r"[\u0000-ÿ]*")
 # Separators that str.split cuts at and the tokenizer doesn't, and the start of a special token.
 _WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+# A closing mark that does not follow a letter, so that it may be part of a longer run of marks.
+_RUN = re.compile(r"(?<![a-zß-öø-ÿ])[,.](?=[ \n])")
+
+
+def _chunks(text: str) -> list[str]:
+    """The chunks of a text between white space; in Latin-1 texts lower-cased, closing marks being chunks of their own.
+
+    The tokenizer lower-cases as well, and splits marks from letters, so the ids
+    are the same, but there are far fewer distinct chunks."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split()
+    low = text.lower()
+    if _RUN.search(low):
+        return low.split()
+    return low.replace(", ", " , ").replace(". ", " . ").replace(",\n", " ,\n").replace(".\n", " .\n").split()
 
 
 class _Words(dict):
@@ -123,7 +140,7 @@ class Encoder:
         if len(self.words) > self.max_words:
             self._clear()
         row = self.words.__getitem__
-        out = [None if _WHOLE.search(t) else np.array(list(map(row, t.split())), np.int64) for t in texts]
+        out = [None if _WHOLE.search(t) else np.array(list(map(row, _chunks(t))), np.int64) for t in texts]
         self._learn()
         return out
 
