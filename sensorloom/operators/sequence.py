@@ -101,7 +101,7 @@ def detrend(
 _BLOCK = 2048
 
 
-def _lag_sums(left: np.ndarray, right: np.ndarray, offset: int, max_lag: int) -> pd.DataFrame:
+def lag_sums(left: np.ndarray, right: np.ndarray, offset: int, max_lag: int) -> pd.DataFrame:
     """Sums over all pairs (right[j], left[i]) by lag = offset + j - i."""
     known_l, known_r = ~np.isnan(left), ~np.isnan(right)
     l, r = np.where(known_l, left, 0.0), np.where(known_r, right, 0.0)
@@ -123,31 +123,11 @@ def _lag_sums(left: np.ndarray, right: np.ndarray, offset: int, max_lag: int) ->
     return pd.DataFrame({"lag": lags[keep], **{k: v[keep] for k, v in sums.items()}})
 
 
-def autocorrelation(
-    df: DataFrame,
-    value: str,
-    max_lag: int,
-    keys: Sequence[str] = ("device_id",),
-    time: str = "time",
-    tie: Sequence[str] = (),
-    block: int = _BLOCK,
-) -> DataFrame:
-    """Autocorrelation for lags 0..max_lag, ending before the first undefined
-    lag, as rows ``(keys, lag, autocorrelation)``.
-
-    The series is cut into blocks of consecutive rows; a task sees two blocks
-    at a time and emits partial sums per lag, so any series length and any
-    maximum lag work with bounded groups.  A lag never exceeds the length of
-    its series minus one.
-    """
-    keys = list(keys)
+def _blocked_sums(df: DataFrame, value: str, max_lag: int, keys: list[str], time: str, tie: Sequence[str], block: int, center: DataFrame) -> DataFrame:
+    """Sums per lag up to ``max_lag`` over pairs of blocks of consecutive rows."""
     rows = row_index(df, keys, time, "_i", tie).select(
         *keys, F.col("_i"), number(names.col(value)).alias("_v")
     )
-    plain = series_rows(df, keys, time)
-    center = plain.groupBy(*keys).agg(
-        F.avg(number(names.col(value))).alias("_mean"), F.count(F.lit(1)).alias("_len")
-    )
     centered = rows.join(center, keys) if keys else rows.crossJoin(F.broadcast(center))  # one row
     # a correlation does not change under a shift; centering keeps the sums small
     centered = centered.select(
@@ -184,20 +164,51 @@ def autocorrelation(
         if len(early) == 0 or len(late) == 0:
             sums = pd.DataFrame({f.name: [] for f in fields[len(keys):]})
         else:
-            sums = _lag_sums(early, late, gap * block, max_lag)
+            sums = lag_sums(early, late, gap * block, max_lag)
         for at, k in enumerate(keys):
             sums.insert(at, k, pdf[k].iloc[0])
         return sums
 
     partial = placed.groupBy(*keys, "_a", "_gap").applyInPandas(pair, schema)
-    by_lag = partial.groupBy(*keys, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    return partial.groupBy(*keys, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
+def autocorrelation(
+    df: DataFrame,
+    value: str,
+    max_lag: int | None = None,
+    keys: Sequence[str] = ("device_id",),
+    time: str = "time",
+    tie: Sequence[str] = (),
+    block: int = _BLOCK,
+) -> DataFrame:
+    """Autocorrelation for lags 0..max_lag, ending before the first undefined
+    lag, as rows ``(keys, lag, autocorrelation)``.
+
+    Without ``max_lag`` all lags of each series come from transforms, see
+    ``correlogram``.  With it, the series is cut into blocks of consecutive rows; a task sees two blocks
+    at a time and emits partial sums per lag, so any series length and any
+    maximum lag work with bounded groups.  A lag never exceeds the length of
+    its series minus one.
+    """
+    keys = list(keys)
+    plain = series_rows(df, keys, time)
+    center = plain.groupBy(*keys).agg(
+        F.avg(number(names.col(value))).alias("_mean"), F.count(F.lit(1)).alias("_len")
+    )
+    if max_lag is None:
+        from sensorloom.operators.correlogram import all_lag_sums
+
+        by_lag, noise = all_lag_sums(df, value, keys, time, tie), 1e-11
+    else:
+        by_lag, noise = _blocked_sums(df, value, max_lag, keys, time, tie, block, center), 1e-13
     n = F.col("n")
     some = F.when(n > 0, n)
     vx = F.col("sxx") / some - (F.col("sx") / some) * (F.col("sx") / some)
     vy = F.col("syy") / some - (F.col("sy") / some) * (F.col("sy") / some)
     cov = F.col("sxy") / some - (F.col("sx") / some) * (F.col("sy") / some)
     # relative guard: what cancellation leaves of a constant stretch is not variance
-    flat = (vx <= F.col("sxx") / some * 1e-13) | (vy <= F.col("syy") / some * 1e-13)
+    flat = (n < 2) | (vx <= F.col("sxx") / some * noise) | (vy <= F.col("syy") / some * noise)
     acf = by_lag.select(
         *keys, "lag", F.when(~flat, cov / F.sqrt(vx * vy)).alias("autocorrelation")
     )
@@ -210,10 +221,3 @@ def autocorrelation(
         *keys, F.lit(0).cast("long").alias("lag"), F.lit(1.0).alias("autocorrelation")
     )
     return zero.unionByName(kept)
-
-
-def value_span(df: DataFrame, time: str = "time", keys: Sequence[str] = ()) -> DataFrame:
-    """Row count, first and last time."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min(time).alias("first_time"), F.max(time).alias("last_time")
-    )

@@ -67,7 +67,7 @@ def _dense(pdf: pd.DataFrame, place: str, size: int, re: str, im: str) -> np.nda
     return out
 
 
-def _fft_passes(df: DataFrame, keys: list[str], arrays: int) -> DataFrame:
+def fft_passes(df: DataFrame, keys: list[str], arrays: int) -> DataFrame:
     """Forward transform of the sparse arrays ``re0, im0, ...`` at ``_pos``.
 
     With two arrays the product of both transforms is returned, conjugated and
@@ -144,7 +144,7 @@ def _long_spectrum(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
         *keys, *_META,
         F.explode(F.when(F.col("_i") == 0, F.array(here)).otherwise(F.array(here, mirrored))).alias("_e"),
     ).select(*keys, *_META, "_e.*")
-    convolved = _fft_passes(_fft_passes(placed, keys, 2), keys, 1)
+    convolved = fft_passes(fft_passes(placed, keys, 2), keys, 1)
     wanted = convolved.filter(F.col("_pos") < F.floor(F.col("_N") / 2))
     k, n = F.col("_pos"), F.col("_N")
     return wanted.join(meta.select(*keys, "_step"), keys).select(

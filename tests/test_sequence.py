@@ -4,7 +4,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from sensorloom.operators import forecast, interpolate, sequence, slices, spectral
+from sensorloom.operators import correlogram, forecast, interpolate, sequence, slices, spectral
 
 MINUTE = 60_000_000
 
@@ -142,3 +142,36 @@ def test_forecasts(spark):
     line = spark.createDataFrame(pd.DataFrame({"device_id": "a", "time": days, "value": np.arange(60) * 2.0}))
     exact = forecast.forecast_errors(forecast.autoregressive(line, "2024-02-10")).collect()[0]
     assert exact["mae"] < 1e-6 and exact["n_days"] == 60 - at - 1
+
+
+def _pairwise(x):
+    """Autocorrelation at every lag, pair by pair, up to the first undefined one."""
+    out = [1.0] if len(x) >= 2 else []
+    for lag in range(1, len(x)):
+        a, b = x[:-lag], x[lag:]
+        known = ~(np.isnan(a) | np.isnan(b))
+        a, b = a[known], b[known]
+        if len(a) < 2 or np.ptp(a) == 0 or np.ptp(b) == 0:
+            break
+        out.append(np.corrcoef(a, b)[0, 1])
+    return out
+
+
+@pytest.mark.parametrize("one_task", [10 ** 6, 3])
+def test_autocorrelation_at_all_lags(spark, monkeypatch, one_task):
+    """One-task and split transforms; missing values, an empty, a single and a constant series."""
+    monkeypatch.setattr(correlogram.all_lag_sums, "__defaults__", (("device_id",), "time", (), one_task))
+    monkeypatch.setattr(correlogram, "DIRECT", 16)
+    rng = np.random.default_rng(8)
+    walk = np.cumsum(rng.normal(0, 1, 300)) + 1e4
+    walk[rng.random(300) < .1] = np.nan
+    series = {"walk": walk, "few": np.array([1.0, 4.0, 2.0, 9.0, 3.0, 3.5]), "one": np.array([5.0]), "flat": np.full(40, 2.0), "none": np.full(20, np.nan)}
+    rows = [(k, pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=i), float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["device_id", "time", "v"]))
+    got = rows_of(sequence.autocorrelation(df, "v"), "device_id", "lag")
+    for name, x in series.items():
+        part = got[got["device_id"] == name]
+        want = _pairwise(x)
+        assert part["lag"].tolist() == list(range(len(want))), name
+        np.testing.assert_allclose(part["autocorrelation"], want, atol=1e-8)
+    assert sequence.autocorrelation(df.limit(0), "v").count() == 0

@@ -877,6 +877,18 @@ def _(d):
     return sequence.autocorrelation(d.readings, "humidity", 24)
 
 
+@query("acf_all_lags", f"""
+with {READINGS}, s as (select device_id, humidity as v, row_number() over (partition by device_id order by time) as rn from readings),
+p as (select a.device_id, a.rn - b.rn as lag, a.v as x, b.v as y from s a join s b on a.device_id = b.device_id and a.rn > b.rn),
+c as (select device_id, lag, {corr_sql('x', 'y')} as ac from p group by 1, 2),
+e as (select device_id, min(lag) as stop from c where ac is null group by 1)
+select c.device_id, lag, round(ac, 6) as autocorrelation from c left join e on c.device_id = e.device_id where stop is null or lag < stop
+union all select device_id, 0, 1.0 from s group by 1 having count(*) >= 2""")
+def _(d):
+    out = sequence.autocorrelation(d.readings, "humidity")
+    return out.withColumn("autocorrelation", F.round("autocorrelation", 6))
+
+
 @query("first_difference", f"""
 with {READINGS}, x as (select device_id, time, humidity - lag(humidity) over (partition by device_id order by time) as diff from readings)
 select device_id, time, {r('diff')} as diff from x where diff is not null""")
