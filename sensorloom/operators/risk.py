@@ -128,9 +128,11 @@ def rolling_sum(
     """Sum over ``(t - window, t]`` of each reading's series, NULL where the
     window holds no known value.
 
-    A series is cut into slices at least as long as the window; readings near
-    the end of a slice are copied into the next one (at most one copy each),
-    so one exchange serves any series length.
+    A series is cut into steps as long as the window.  A window is the end of
+    one step and the beginning of the next: running sums backwards through the
+    one and forwards through the other meet in it.  So the cost does not depend
+    on the number of readings in a window, nothing is subtracted, and each
+    reading sends one running sum to the next step.
     """
     return _rolled_slices(df, value, window, out, list(keys), time, slice_us).drop("_us", SLICE)
 
@@ -141,18 +143,19 @@ def _rolled_slices(
     width = parse_duration_micros(window)
     length = max(slice_us or slice_micros(df.sparkSession), width)
     rows = series_rows(df, keys, time).withColumn("_us", micros(F.col(time)))
-    own = F.col("_us") - F.pmod(F.col("_us"), F.lit(length))
-    reach = F.col("_us") + (width - 1)
-    rows = rows.withColumn("_own", own).withColumn(
-        SLICE,
-        F.explode(F.sequence(F.col("_own"), reach - F.pmod(reach, F.lit(length)), F.lit(length))),
-    )
-    span = Window.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-(width - 1), 0)
-    return (
-        rows.withColumn(out, F.sum(number(names.col(value))).over(span))
-        .filter(F.col(SLICE) == F.col("_own"))
-        .drop("_own")
-    )
+    rows = rows.withColumn("_step", F.col("_us") - F.pmod(F.col("_us"), F.lit(width)))
+    step = Window.partitionBy(*keys, "_step")
+    forwards = step.orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    backwards = step.orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
+    v = number(names.col(value))
+    rows = rows.withColumn("_head", F.sum(v).over(forwards)).withColumn("_tail", F.sum(v).over(backwards))
+    # what a window still holds of the step before: the running sum of its first reading there
+    passed = rows.select(*keys, (F.col("_step") + width).alias("_step"), (F.col("_us") + width).alias("_us"), F.col("_tail").alias("_passed"))
+    both = rows.drop("_tail").withColumn("_own", F.lit(True)).unionByName(passed, allowMissingColumns=True)
+    later = step.orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, -1)
+    both = both.withColumn("_passed", F.last("_passed", ignorenulls=True).over(later)).filter("_own")
+    total = F.coalesce(F.col("_head") + F.col("_passed"), "_head", "_passed")
+    return both.withColumn(out, total).withColumn(SLICE, F.col("_us") - F.pmod(F.col("_us"), F.lit(length))).drop("_step", "_head", "_passed", "_own")
 
 
 def rainfall_intensity(
@@ -174,8 +177,7 @@ def rainfall_intensity(
     rows = _rolled_slices(rows, "_rain", window, "_rolled", keys, time, slice_us)
     rows = with_bucket(rows, parse_freq(freq), keys, time, "_bucket")
     # within a slice the buckets follow each other, so the second reading of a
-    # bucket is the first one whose predecessor lies in the same bucket; same
-    # partitioning and order as the rolling sum
+    # bucket is the first one whose predecessor lies in the same bucket
     before = F.lag("_bucket").over(Window.partitionBy(*keys, SLICE).orderBy("_us"))
     rows = rows.withColumn("_again", F.when(before == F.col("_bucket"), F.col("_us")))
     positive = F.when(F.col("_rolled") > 0, F.col("_rolled"))

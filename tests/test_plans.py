@@ -9,7 +9,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from sensorloom.operators import report, stats
+from sensorloom.operators import merge, report, stats
 from sensorloom.plans import device_features, fetch, metrics, processors, requests, risk_job
 from sensorloom.streaming import windowed
 
@@ -151,3 +151,33 @@ def test_streaming_matches_batch(spark, readings, tmp_path):
     stored = spark.read.parquet(target)
     assert stored.count() == readings.count() + 1 and "yyyymm" in stored.columns and "batch" in stored.columns
     assert not math.isnan(stored.filter("yyyymm = 202401").count())
+
+
+def _sources(spark):
+    """Repeated times, a missing time, columns that clash, a source without own columns and an empty one."""
+    a = spark.createDataFrame([(1, 10), (1, 11), (2, 12), (None, 13)], "time int, x int")
+    b = spark.createDataFrame([(1, 20, 0), (1, 21, 0), (3, 22, 0), (None, 23, 0)], "time int, `y.z` int, x int")
+    c = spark.createDataFrame([(1,), (3,), (4,), (4,)], "time int")
+    d = spark.createDataFrame([(1, 40), (2, 41), (4, 42)], "time int, w int")
+    return [a, b, c, d, d.limit(0).withColumnRenamed("w", "e")]
+
+
+@pytest.mark.parametrize("how", merge.MERGE_TYPES)
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_merge_equals_a_fold_of_joins(spark, how, n):
+    frames = _sources(spark)[:n]
+    want = frames[0]
+    for frame in frames[1:]:
+        new = [c for c in frame.columns if c == "time" or c not in want.columns]
+        want = want.join(frame.select(*[f"`{c}`" for c in new]), ["time"], how)
+    got = merge.merge_on_time(frames, "time", how)
+    assert sorted(got.columns) == sorted(want.columns)
+    order = [f"`{c}`" for c in sorted(want.columns)]
+    assert sorted(map(tuple, got.select(*order).collect()), key=repr) == sorted(map(tuple, want.select(*order).collect()), key=repr)
+
+
+def test_merge_exchanges_once(spark):
+    frames = _sources(spark)[:4]
+    plan = merge.merge_on_time(frames, "time", "outer")._jdf.queryExecution().sparkPlan().toString()
+    text = merge.merge_on_time(frames, "time", "outer")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in plan

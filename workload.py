@@ -197,6 +197,8 @@ def spine_sql(ctes: str, inner: str, interval: str, cols: dict[str, str]) -> str
     )
 
 
+# The event types of the test tables, in order.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 DAY, HOUR = "date_trunc('day', time)", "date_trunc('hour', time)"
 
 # --- per-bucket statistics -------------------------------------------------
@@ -983,6 +985,14 @@ def _(d):
     return merge.merge_on_time([d.inside, d.outside.withColumn("humidity", F.lit(-1.0))], "time", "outer")
 
 
+@query("merge_five_sources", f"""
+with {READINGS}, h as (select device_id, {HOUR} as time, avg(humidity) as v from readings group by 1, 2)
+select time, {", ".join(r(f"max(case when device_id = '{t}' then v end)") + f" as {t}" for t in EVENT_TYPES)} from h group by time""")
+def _(d):
+    hourly = stats.resample(d.readings.select("device_id", "time", "humidity"), "h", keys=["device_id"], fill=False)
+    return merge.merge_on_time([hourly.filter(F.col("device_id") == t).select("time", F.col("humidity").alias(t)) for t in EVENT_TYPES], "time", "outer")
+
+
 @query("merge_inner", f"""
 with {INOUT}, e as (select {HOUR} as time, max(humidity) as top from readings where device_id = 'error' group by 1)
 select i.time, {r('i.temperature')} as temperature, {r('i.humidity')} as humidity, {r('o.avg_vapor_pressure')} as avg_vapor_pressure, {r('e.top')} as top
