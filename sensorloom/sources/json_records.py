@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,10 +36,14 @@ def parse_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Explode one JSON document per row into readings.
 
-    Returns (readings, rejects).  A document that is no JSON, is empty or
-    lacks a field becomes one reject row with ``type``, ``message`` and
-    ``details`` instead of failing the job.  All three layouts are accepted;
-    the time may also be called ``index``.
+    Returns (readings, rejects).  A document becomes one reject row with
+    ``type``, ``message`` and ``details`` instead of failing the job if it is no
+    JSON, is empty, lacks a field, has columns of different lengths, or holds a
+    time or a field value that can't be read.  ``details`` is JSON: the missing
+    fields, the lengths, or row (from 0), column and text of the first value
+    that can't be read and the number of such values.  NULL times and values,
+    and the spellings of infinities and NaN, are no errors.  All three layouts
+    are accepted; the time may also be called ``index``.
     """
     text = F.col(column)
     blank = text.isNull() | (F.trim(text) == "")
@@ -71,10 +75,25 @@ def parse_documents(
         absent.append(F.when(~present, F.lit(f)))
     docs = docs.withColumn("_absent", F.array_compact(F.array(*absent)))
     docs = docs.withColumn("_records", F.coalesce(from_rows, from_columns))
+    # texts are parsed once; what can't be read is noted beside the value
+    docs = _once(
+        docs, [*ids], "_blank", "_broken", "_absent",
+        F.coalesce(F.size("_rows"), F.size(stamps), F.lit(0)).alias("_n"),
+        F.when(F.col("_rows").isNull(), F.transform_values(columns, lambda _, v: F.size(v))).alias("_lengths"),
+        F.transform("_records", lambda r, i: _parsed(r, i, fields)).alias("_parsed"),
+    )
+    docs = docs.withColumn("_wrong", F.filter(F.flatten(F.transform("_parsed", lambda r: r["wrong"])), lambda w: w.isNotNull()))
     broken = F.col("_broken") | F.col("_blank")
-    no_rows = F.coalesce(F.size("_rows"), F.size(stamps), F.lit(0)) < 1
+    no_rows = F.col("_n") < 1
     lacking = F.size("_absent") > 0
-    rejected = broken | no_rows | lacking
+    ragged = F.coalesce(F.size(F.array_distinct(F.map_values("_lengths"))) > 1, F.lit(False))
+    unread = F.coalesce(F.size("_wrong") > 0, F.lit(False))
+    rejected = broken | no_rows | lacking | ragged | unread
+    first = F.get("_wrong", 0)
+    plain = ~(broken | no_rows)
+
+    def said(condition: Column, value: Column) -> Column:
+        return F.when(plain & condition, value)
 
     rejects = docs.filter(rejected).select(
         *ids,
@@ -83,19 +102,40 @@ def parse_documents(
         F.when(F.col("_blank"), "the document is empty")
         .when(broken, "the document is not JSON")
         .when(no_rows, "the document has no rows")
-        .otherwise(F.concat(F.lit("Field not found: "), F.array_join("_absent", ", ")))
+        .when(lacking, F.concat(F.lit("Field not found: "), F.array_join("_absent", ", ")))
+        .when(ragged, "columns differ in length")
+        .when(first["column"] == "time", "a time can't be read")
+        .otherwise(F.concat(F.lit("not a number in field: "), first["column"]))
         .alias("message"),
-        F.to_json(F.struct(F.col("_absent").alias("missing_fields"))).alias("details"),
-    )
-    good = docs.filter(~rejected).select(*ids, F.explode("_records").alias("_r"))
-    readings = good.select(
-        *ids,
-        F.try_to_timestamp(F.col("_r.time")).alias("time"),
-        *[special_number(F.col("_r")[f]).alias(f) for f in fields],
+        F.to_json(F.struct(
+            said(lacking, F.col("_absent")).alias("missing_fields"),
+            said(~lacking & ragged, F.col("_lengths")).alias("lengths"),
+            *[said(~lacking & ~ragged, first[c]).alias(c) for c in ("row", "column", "value")],
+            said(~lacking & ~ragged, F.size("_wrong")).alias("count"),
+        )).alias("details"),
     )
+    good = docs.filter(~rejected).select(*ids, F.explode("_parsed").alias("_r"))
+    readings = good.select(*ids, F.col("_r.time").alias("time"), *[F.col("_r.values")[at].alias(f) for at, f in enumerate(fields)])
     return readings, rejects
 
 
+def _parsed(record: Column, row: Column, fields: Sequence[str]) -> Column:
+    """Time and values of one record, and for each of them NULL or what can't be read."""
+
+    def wrong(column: str, text: Column, value: Column) -> Column:
+        nan = F.trim(text) == "NaN"
+        return F.when(text.isNotNull() & value.isNull() & ~nan, F.struct(
+            row.alias("row"), F.lit(column).alias("column"), text.alias("value")))
+
+    stamp = F.try_to_timestamp(record["time"])
+    values = [special_number(record[f]) for f in fields]
+    return F.struct(
+        stamp.alias("time"),
+        F.array(*values).alias("values"),
+        F.array(wrong("time", record["time"], stamp), *[wrong(f, record[f], v) for f, v in zip(fields, values)]).alias("wrong"),
+    )
+
+
 def read_json_series(
     spark: SparkSession, path: str, fields: Sequence[str], time: str = "time", one_per_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -137,6 +137,33 @@ def test_json_layouts_and_rejects(spark):
                         8: ("ValidationError", "the document has no rows")}
 
 
+def test_json_content_errors(spark):
+    docs = [
+        (0, '{"data": [{"time": "2024-01-01", "v": 1}, {"time": "nonsense", "v": 2}, {"time": "x", "v": "abc"}]}'),
+        (1, '{"data": [{"time": "2024-01-01", "v": "abc"}, {"time": null, "v": true}]}'),
+        (2, '{"data": {"time": ["2024-01-01", "2024-01-02"], "v": [1]}}'),
+        (3, '{"data": {"time": ["2024-01-01", "2024-01-02"], "v": [1, 2], "note": ["a"]}}'),
+        (4, '{"data": [{"time": null, "v": "NaN"}, {"time": "2024-01-01", "v": null}, {"time": "2024-01-02", "v": " 7 "}]}'),
+        (5, '{"data": [{"time": "2024-01-01", "v": {"a": 1}}]}'), (6, "{bad"), (7, '{"data": [{"time": "2024-01-01"}]}'), (8, "[]"), (9, "3"),
+    ]
+    good, bad = json_records.parse_documents(spark.createDataFrame(docs, "id int, data_json string"), ["v"], ids=["id"])
+    assert [(r["id"], r["v"]) for r in good.orderBy("id", F.asc_nulls_first("time")).collect()] == [(4, None), (4, None), (4, 7.0)]
+    got = {r["id"]: (r["type"], r["message"], json.loads(r["details"])) for r in bad.collect()}
+    assert got == {
+        0: ("ValidationError", "a time can't be read", {"row": 1, "column": "time", "value": "nonsense", "count": 3}),
+        1: ("ValidationError", "not a number in field: v", {"row": 0, "column": "v", "value": "abc", "count": 2}),
+        2: ("ValidationError", "columns differ in length", {"lengths": {"time": 2, "v": 1}}),
+        3: ("ValidationError", "columns differ in length", {"lengths": {"note": 1, "time": 2, "v": 2}}),
+        5: ("ValidationError", "not a number in field: v", {"row": 0, "column": "v", "value": '{"a":1}', "count": 1}),
+        6: ("JSONParseError", "the document is not JSON", {}),
+        7: ("ValidationError", "Field not found: v", {"missing_fields": ["v"]}),
+        8: ("ValidationError", "the document has no rows", {}),
+        9: ("ValidationError", "the document has no rows", {}),
+    }
+    none = spark.createDataFrame([], "id int, data_json string")
+    assert [df.count() for df in json_records.parse_documents(none, ["v"], ids=["id"])] == [0, 0]
+
+
 def test_json_files(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"data": [\n {"time": "2024-01-01T00:00:00", "v": 1}]}')
     good, _ = json_records.read_json_series(spark, str(tmp_path / "d.json"), ["v"])

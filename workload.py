@@ -657,10 +657,30 @@ def _(d):
 
 @query("json_rejects", """
 select event_id, false as success, case when value > 270 then 'JSONParseError' else 'ValidationError' end as type,
-  case when value > 270 then 'the document is not JSON' else 'Field not found: humidity' end as message from events where value > 250""")
+  case when value > 270 then 'the document is not JSON' else 'Field not found: humidity' end as message,
+  case when value > 270 then '{}' else '{"missing_fields":["humidity"]}' end as details from events where value > 250""")
 def _(d):
     _good, bad = json_records.parse_documents(_documents(d, False), ["humidity"], ids=["event_id"])
-    return bad.drop("details")
+    return bad
+
+
+@query("json_content_errors", """
+with k as (select event_id, event_id % 7 as kind, strftime(ts, '%Y-%m-%dT%H:%M:%S') as stamp, cast(value as varchar) as v from events)
+select event_id, false as success, case when kind in (0, 1) then 'JSONParseError' else 'ValidationError' end as type,
+  case kind when 0 then 'the document is not JSON' when 1 then 'the document is empty' when 2 then 'the document has no rows'
+    when 3 then 'Field not found: humidity' when 4 then 'columns differ in length' when 5 then 'a time can''t be read'
+    else 'not a number in field: humidity' end as message,
+  case kind when 3 then '{"missing_fields":["humidity"]}' when 4 then '{"lengths":{"humidity":1,"time":2}}'
+    when 5 then '{"row":1,"column":"time","value":"at ' || stamp || '","count":1}'
+    when 6 then '{"row":0,"column":"humidity","value":"about ' || v || '","count":2}' else '{}' end as details from k""")
+def _(d):
+    at, v = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.col("value").cast("string")
+    kinds = ['{"data": [', "", '{"data": []}', '{"data": [{"time": "%1$s"}]}', '{"data": {"time": ["%1$s", "%1$s"], "humidity": [%2$s]}}',
+             '[{"time": "%1$s", "humidity": %2$s}, {"time": "at %1$s", "humidity": null}]',
+             '{"time": ["%1$s", "%1$s"], "humidity": ["about %2$s", "%1$s"]}']
+    text = F.coalesce(*[F.when(F.col("event_id") % len(kinds) == k, F.format_string(body, at, v)) for k, body in enumerate(kinds)])
+    _good, bad = json_records.parse_documents(d.table("events").select("event_id", text.alias("data_json")), ["humidity"], ids=["event_id"])
+    return bad
 
 
 @query("json_columnar", f"""
@@ -682,13 +702,11 @@ def _(d):
 
 
 @query("request_documents", """
-select event_id, '{"features": [{"time": "' || strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00", "n": ' || '1.0' || '}]}' as features_json
+select event_id, '{"features": [{"time": "' || strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00", "mean": ' || cast(value as varchar) || '}]}' as features_json
 from events where value <= 250""")
 def _(d):
-    good, _bad = json_records.parse_documents(_documents(d, False), ["humidity"], ids=["event_id"])
-    ones = good.withColumn("n", F.when(F.col("humidity").isNotNull(), 1.0))
-    wide = stats.statistical_features(ones, "n", ["mean"], "h", ["event_id"]).withColumnRenamed("mean", "n")
-    return file_sinks.to_feature_documents(wide, ["event_id"])
+    answers, _rejects = requests.answer_documents(_documents(d, False), "humidity", ["mean"], "h", ids=["event_id"])
+    return answers
 
 
 # --- requests: one feature each ----------------------------------------------
