@@ -31,6 +31,23 @@ def test_gbk_folder_with_two_headers(spark, tmp_path):
         files.read_csv_folder(spark, str(tmp_path), pattern="*.none")
 
 
+def test_csv_folder_rejects(spark, tmp_path):
+    (tmp_path / "good.csv").write_bytes('time,"y,z",x\n2024-01-01 00:00:00,"1,5",a\n2024-01-02 00:00:00,2\n'.encode("gbk"))
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "one line.csv").write_bytes(b"time,x")
+    (tmp_path / "bad.csv").write_bytes(b"x,time\nb,2024-01-03 00:00:00\nc,when\nd,never\n\xff\xff,2024-01-04 00:00:00\ne,2024-01-05 00:00:00,9\n,\nx,time\n")
+    rows, rejects = files.read_csv_folder_checked(spark, str(tmp_path), "time")
+    got = {(r["file"].rsplit("/", 1)[1], r["reason"], r["n_lines"]) for r in rejects.collect()}
+    assert got == {("empty.csv", "no header", 0), ("bad.csv", "time can't be read", 3), ("bad.csv", "undecodable characters", 1),
+                   ("bad.csv", "more fields than the header", 1)}
+    out = [(r["time"].day, r["y,z"], r["x"]) for r in rows.orderBy("time").collect()]
+    assert out == [(1, "1,5", "a"), (2, "2", None), (3, None, "b")]
+    none, rejects = files.read_csv_folder_checked(spark, str(tmp_path), "time", pattern="empty.csv")
+    assert none.columns == ["_file"] and none.count() == 0 and rejects.count() == 1
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [line") == 1  # one scan of the lines for all layouts
+
+
 def test_csv_series(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text("﻿time,total_rainfall(10min)\n2024-01-01 00:10:00,1.5\n2024-01-01 00:00:00,\n", encoding="utf-8")

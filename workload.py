@@ -1329,6 +1329,29 @@ def _(d):
                                         F.count("label").alias("labelled"))
 
 
+@query("csv_folder_rejects", f"""
+with {ORDERS}, o2 as (select *, month(time) as m from o)
+select case when m % 3 = 0 then 'wide' when m % 3 = 1 then 'late' else 'good' end as folder,
+  count(case when m % 3 = 2 or day(time) > 10 then 1 end) as n_rows,
+  case when m % 3 = 0 then 'more fields than the header' when m % 3 = 1 then 'time can''t be read' end as reason,
+  count(case when m % 3 <> 2 and day(time) <= 10 then 1 end) as n_lines
+from o2 group by all""")
+def _(d):
+    path = d.folder("csv rejects")
+    lines = d.orders.withColumn("m", F.month("time") % 3).withColumn("stamp", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    early, stamp = F.dayofmonth("time") <= 10, F.col("stamp")
+    for k, (name, head, body) in enumerate((
+            ("wide", "time,device_id", F.concat_ws(",", "stamp", "device_id", F.when(early, "9"))),
+            ("late", "device_id,time,note", F.concat_ws(",", "device_id", F.when(early, F.concat(F.lit("about "), stamp)).otherwise(stamp), F.lit("n"))),
+            ("good", "time,note,device_id", F.concat_ws(",", "stamp", F.lit("g"), "device_id")))):
+        lines.filter(F.col("m") == k).select(body.alias(head)).write.option("header", "true").option("quote", "").option("sep", "\u0001").csv(f"{path}/{name}")
+    rows, rejects = file_sources.read_csv_folder_checked(d.spark, path, "time")
+    folder = F.regexp_extract(F.col("file"), r"csv[^/]*rejects[^/]*/(\w+)/", 1).alias("folder")
+    n = rows.select(F.col("_file").alias("file")).groupBy(folder).agg(F.count(F.lit(1)).alias("n_rows"))
+    wrong = rejects.groupBy(folder, "reason").agg(F.sum("n_lines").alias("n_lines"))
+    return n.join(wrong, "folder", "left").select("folder", "n_rows", "reason", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"))
+
+
 @query("csv_export_roundtrip", f"""
 with {READINGS} select device_id, {DAY} as time, {r('avg(humidity)')} as mean from readings group by 1, 2""")
 def _(d):
