@@ -82,6 +82,6 @@ def ingest_checkpoint_counts(spark: SparkSession, path: str, database: str, fmt:
 
 def ingest_reception_stats(spark: SparkSession, path: str, database: str,
                            table: str = "temple_reception_stats", fmt: str = "csv", encoding: str = "utf-8") -> None:
-    create_table_if_missing(spark, f"{database}.{table}", TABLES[table])
+    create_table_if_missing(spark, f"{database}.{table}", TABLES[table], by_month="time")
     sheets = read_sheets(spark, path, fmt, encoding, text_columns=["洞窟号"])
     append_by_name(reception_stats(sheets), f"{database}.{table}")

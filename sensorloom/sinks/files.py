@@ -12,10 +12,18 @@ from pyspark.sql import functions as F
 from sensorloom.functions import names
 
 
-def save_results(results: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
-    """One CSV folder per result table."""
+BOM = "\ufeff"
+
+
+def with_bom(df: DataFrame) -> DataFrame:
+    """The first column named with a byte order mark in front: every CSV file of the result then begins with it."""
+    return df.toDF(BOM + df.columns[0], *df.columns[1:]) if df.columns else df
+
+
+def save_results(results: Mapping[str, DataFrame], folder: str, mode: str = "overwrite", bom: bool = True) -> None:
+    """One CSV folder per result table, in UTF-8 with a byte order mark, by which spreadsheets know the encoding."""
     for feature, df in results.items():
-        df.write.mode(mode).option("header", "true").csv(f"{folder}/{feature}")
+        (with_bom(df) if bom else df).write.mode(mode).option("header", "true").csv(f"{folder}/{feature}")
 
 
 def feature_export_name(metrics: Sequence[str] | str | None, freq: str | None) -> str:

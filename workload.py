@@ -1302,6 +1302,131 @@ def _(d):
     return part.groupBy("yyyymm", "device_id").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
 
+@query("result_csv_bom", f"""
+with {ORDERS} select 'by_priority' as result, device_id, 'true' as marked, count(*) as n, {r('sum(price)')} as price from o group by device_id""")
+def _(d):
+    path = d.folder("results")
+    file_sinks.save_results({"by_priority": d.orders.select("device_id", "price", "time")}, path)
+    marked = d.spark.read.format("binaryFile").load(f"{path}/by_priority").select(
+        F.min(F.startswith(F.hex("content"), F.lit("EFBBBF"))).cast("string").alias("marked"))
+    schema = T.StructType([T.StructField("device_id", T.StringType()), T.StructField("price", T.DoubleType()), T.StructField("time", T.TimestampNTZType())])
+    rows = file_sources.read_csv_series(d.spark, f"{path}/by_priority", "time", schema=schema).groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
+    return rows.crossJoin(F.broadcast(marked)).select(F.lit("by_priority").alias("result"), "device_id", "marked", "n", "price")  # one row
+
+
+@query("merged_export", f"""
+with {ORDERS} select '045_19920101_19990101' as folder, device_id, count(*) as n, {r('sum(price)')} as price from o group by device_id""")
+def _(d):
+    path = file_sinks.save_merged(d.orders, d.folder("merged"), "1992-01-01", "1999-01-01", temple_id="045")
+    rows = d.spark.read.option("header", "true").schema("time timestamp_ntz, device_id string, price double").csv(path)
+    return rows.groupBy(F.lit(path.rsplit("/", 1)[1]).alias("folder"), "device_id").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
+
+
+@query("sheet_folder_read", f"""
+with {ORDERS} select cast(year(time) as varchar) as sheet, device_id, count(*) as n, count(case when price <= 200000 then 1 end) as priced,
+  {r('sum(case when price <= 200000 then price end)')} as price from o where year(time) >= 1994 group by 1, 2""")
+def _(d):
+    path = d.folder("sheets")
+    price = F.when(F.col("price") <= 200000, F.col("price"))
+    whole = d.orders.select("time", "device_id", price.alias("price"))
+    empty = whole.select(*[F.lit(None).cast(t).alias(c) for c, t in whole.dtypes])  # rows without any value are dropped
+    sheets = whole.withColumn("sheet", F.year("time").cast("string")).unionByName(empty.withColumn("sheet", F.lit("1995")))
+    sheets.unionByName(whole.withColumn("sheet", F.lit("说明"))).write.partitionBy("sheet").option("header", "true").csv(path)
+    read = file_sources.year_sheets(file_sources.read_sheets(d.spark, path), (1994, None))
+    price = F.col("price").cast("double")
+    return read.groupBy("sheet", "device_id").agg(F.count(F.lit(1)).alias("n"), F.count(price).alias("priced"), F.sum(price).alias("price"))
+
+
+@query("sheet_union_layouts", """
+select o_orderdate as time, """ + r("o_totalprice") + """ as price, cast(null as double) as quantity from orders
+union all select l_shipdate, """ + r("l_extendedprice") + """, """ + r("l_quantity") + """ from lineitem""")
+def _(d):
+    frames = []
+    for name, rows in (("orders", d.orders.select("time", "price")), ("shipments", d.shipments.select("quantity", "price", "time"))):
+        path = d.folder(f"union-{name}")
+        rows.withColumn("sheet", F.lit("2024")).write.partitionBy("sheet").option("header", "true").csv(path)
+        frames.append(file_sources.read_sheets(d.spark, path).drop("sheet", "_file"))
+    both = reshape.union_by_name(frames)
+    return both.select(F.col("time").cast("timestamp_ntz").alias("time"), *[F.col(c).cast("double").alias(c) for c in ("price", "quantity")])
+
+
+@query("parquet_series_slice", f"""
+with {ORDERS} select device_id, time, price from o where time between timestamp '1996-01-01' and timestamp '1997-12-31'""")
+def _(d):
+    path = d.folder("series")
+    d.orders.withColumn("note", F.lit("x")).write.parquet(path)
+    return file_sources.read_parquet_series(d.spark, path, "price", "1996-01-01", "1997-12-31")
+
+
+@query("table_definitions", """
+select * from (select 'order_key' as column_name, 'Int64' as kind, count(o_orderkey) as n from orders
+union all select 'total_10min', 'Float64', count(o_totalprice) from orders
+union all select 'status', 'String', count(o_orderstatus) from orders
+union all select 'time', 'DateTime', count(o_orderdate) from orders)""")
+def _(d):
+    rows = d.table("orders").select(F.col("o_orderkey").alias("order (key)"), F.col("o_totalprice").alias("total(10min)"),
+                                    F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("time"))
+    kinds = table_sinks.column_definitions(rows)
+    clean = names.sanitize_columns(rows)
+    table = f"defined_{uuid.uuid4().hex}"
+    table_sinks.create_table_if_missing(d.spark, f"default.{table}", clean.schema, by_month="time")
+    table_sinks.append_by_name(clean, f"default.{table}")
+    counts = d.spark.table(table).select(*[F.count(names.col(c)).alias(c) for c, _ in kinds])
+    kind = F.coalesce(*[F.when(F.col("column_name") == c, F.lit(k)) for c, k in kinds])
+    return counts.unpivot([], [names.quote(c) for c, _ in kinds], "column_name", "n").select("column_name", kind.alias("kind"), "n")
+
+
+@query("catalog_export", f"""
+with {ORDERS} select 'orders' as table_kind, device_id, true as defined, count(*) as n from o group by device_id""")
+def _(d):
+    table = f"catalog_{uuid.uuid4().hex}"
+    table_sinks.store_table(d.orders, table, order=["device_id", "time"])
+    listed = table_sinks.export_catalog(d.spark, ["default"]).filter(F.col("table") == table)
+    defined = listed.select((F.col("ddl").contains("device_id STRING") & F.col("ddl").contains("price DOUBLE")).alias("defined"))
+    counts = d.spark.table(table).groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.crossJoin(F.broadcast(defined)).select(F.lit("orders").alias("table_kind"), "device_id", "defined", "n")  # one row
+
+
+@query("flatten_struct_names", f"""
+with {SHIPMENTS} select device_id, {r('avg(price)')} as price_mean, {r('max(price)')} as price_max, {r('min(quantity)')} as quantity_min from shipments group by 1""")
+def _(d):
+    nested = d.shipments.groupBy("device_id").agg(
+        F.struct(F.avg("price").alias("mean"), F.max("price").alias("max")).alias("price"), F.struct(F.min("quantity").alias("min")).alias("quantity"))
+    return reshape.flatten_names(nested)
+
+
+@query("hourly_preview", f"""
+with {READINGS}, b as (select {HOUR} as time, temperature as v from readings)
+select time, {r('max(v)')} as max, {r('median(v)')} as median from b group by 1 order by 1 limit 48""")
+def _(d):
+    pts = points.to_points(d.readings, "cave", ["humidity", "temperature"], ["device_id"])
+    out = metrics.hourly_field_features(pts, "cave", "温度", {"temperature": ["温度"]}, ["max", "median"], preview=48)
+    return out.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+@query("reception_ingest", f"""
+with {READINGS} select strftime(time, '%Y%m') as yyyymm, temple_id, count(*) as n, sum(cast(floor(humidity) as integer)) as headcount,
+  count(distinct device_id) as kinds from readings group by 1, 2""")
+def _(d):
+    path, database = d.folder("reception"), f"visits_{uuid.uuid4().hex}"
+    d.readings.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("采集时间"), F.floor("humidity").cast("int").alias("实时人数"),
+                      F.col("device_id").alias("逗留时长"), F.col("temple_id").alias("洞窟号")).write.parquet(path)
+    ingest.ingest_reception_stats(d.spark, path, database, fmt="parquet")
+    return d.spark.table(f"{database}.temple_reception_stats").groupBy(F.col("yyyymm").cast("string").alias("yyyymm"), "temple_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("real_time_headcount").alias("headcount"), F.countDistinct("dwell_time_range").alias("kinds"))
+
+
+@query("checkpoint_counts", f"""
+with {READINGS} select time, cast(floor(humidity) as integer) as inspected, case when temperature > 50 then 0 else cast(floor(temperature) as integer) end as en_route from readings""")
+def _(d):
+    t = F.floor("temperature").cast("string")
+    sheet = d.readings.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("采集时间"), F.floor("humidity").cast("string").alias("已检票（人）"),
+                              F.when(F.col("temperature") <= 50, t).otherwise("缺").alias("在途中（人）"))
+    out = ingest.checkpoint_counts(sheet).select("time", "inspected", "en_route")
+    return out.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
 @query("table_append_scan", f"""
 with {READINGS} select device_id, {DAY} as time, count(*) as n, {r('sum(humidity)')} as humidity from readings
 where time >= timestamp '2024-01-10' and time < timestamp '2024-02-20' group by 1, 2""")
