@@ -267,9 +267,11 @@ def _of_rows(docs: DataFrame, benchmark: DataFrame, size: int = 13, slop: int =
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without those that the rule of ``contamination`` names; all rows of a named doc_id
-    go.  Rows without a doc_id are decided one by one, by a hash of their text."""
-    key = F.when(F.col("doc_id").isNull(), F.col("row_key")).otherwise(F.lit(0)).alias("__key")
-    bad = _of_rows(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id"), key).distinct()
-    own = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"])).otherwise(F.lit(0))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (own == F.col("__key")), "left_anti")
+    """The documents without those that the rule of ``contamination`` names.
+
+    Rows are told apart by doc_id and a hash of the text, so of rows that share
+    a doc_id, or have none, only the contaminated ones go.  All columns stay,
+    whatever their names.  An empty table gives no rows."""
+    bad = _of_rows(docs, benchmark).where("contaminated").select("doc_id", "row_key").distinct().alias("bad")
+    same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & (F.xxhash64("docs.text") == F.col("bad.row_key"))
+    return docs.alias("docs").join(bad, same, "left_anti")

@@ -78,8 +78,8 @@ def test_proximity(spark):
 def test_drop_and_empty(tables):
     docs, items, df, bench = tables
     kept = dc.drop_contaminated(df, bench)
-    bad = {d for d, *_, c in brute(docs, items) if c}
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted((d for d, _ in docs if d not in bad), key=repr)
+    clean = [d for d, *_, c in brute(docs, items) if not c]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(clean, key=repr)
     assert dc.contamination(df.limit(0), bench).count() == 0
     assert dc.contamination(df, bench.limit(0)).where("n_hit > 0").count() == 0
 
@@ -89,3 +89,11 @@ def test_rows_without_id_go_one_by_one(spark):
     docs = spark.createDataFrame([(None, item), (None, "clean and null"), (None, None), (7, "clean"), (8, item)], "doc_id long, text string")
     kept = dc.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, "clean and null"), (None, None), (7, "clean")], key=repr)
+
+
+def test_rows_that_share_an_id_are_decided_by_text(spark):
+    item = "the quick brown fox jumps over one lazy dog while nobody looks at it today"
+    docs = spark.createDataFrame([(5, item, 1, "a"), (5, "clean twin", 2, "b"), (6, item, 3, "c"), (6, item, 4, "d")],
+                                 "doc_id long, text string, row_key long, bad string")
+    kept = dc.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert list(map(tuple, kept.collect())) == [(5, "clean twin", 2, "b")] and kept.columns == docs.columns

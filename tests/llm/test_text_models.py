@@ -128,3 +128,13 @@ def test_spaced_words_under_another_language(english):
     model = toxicity.ToxicityModel(toxicity.CharacterModel.of(list(grams.items())), english.evidence)
     for disguise in ("a i d i o t", "y o u i d i o t", "a s.t.u.p.i.d", "i d i o t"):
         assert set(model.strength(disguise)[1]) & {"idiot", "stupid"}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than rows that are wanted: one row of each is learned at least."""
+    rows = [(3 * i + k, f"word{'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10] * 3}", f"l{i:02d}") for i in range(60) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.training_sample(docs, 20).collect()
+    free = {lang for d, _, lang in rows if zlib.crc32(str(d).encode()) % 3 != 1}
+    assert {r["lang"] for r in sample} == free and len(sample) == len(free)
+    assert language.training_sample(docs.limit(0), 20).count() == 0

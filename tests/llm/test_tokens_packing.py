@@ -31,6 +31,16 @@ def test_encoder_equals_tokenizer():
             assert got.tolist() == ids_of(text) and n == len(got)
 
 
+def test_marks_and_capitals_between_words():
+    """Closing marks and capitals are taken off words only where the tokenizer does so as well."""
+    texts = ["Word, word. WORD.\nÉté, été.", "a,, b., c.. d ,e .f ...", "x ., y", "it's, don't. we've, ", "3.5, 7. 1,000. a1, b2.", "µ, ª. ß. ÿ, ×, ÷.",
+             "naïve,\tword.\u00a0word, end.", ". , .", "œuf, Œuf. word, İ. I.", "(word), [word]. \"word.\" word", "word,\nword.\n\nword"]
+    encoder = Encoder(default_tokenizer(), max_words=20)
+    for _ in range(3):
+        assert [e.tolist() for e in encoder.encode(texts)] == [ids_of(t) for t in texts]
+        assert encoder.counts(texts).tolist() == [len(ids_of(t)) for t in texts]
+
+
 def test_pack_round_trip(docs):
     rows = pack(docs, group_documents=3, keep_ids=True).toPandas()
     want = sorted([*(ids_of(t) + [1] for t in TEXTS), ids_of(TEXTS[0]) + [1]])
