@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ LOOKALIKES = {
 }
 SYMBOLS = 64  # 0: no letter; 1-26: a-z; the rest: other letters by code point
 
+BEGINNINGS = (4, 5, 6)  # letters of the beginnings of words that count as features
 THRESHOLD = 0.7  # texts with this score or more are predicted toxic
 
 # Costs in nats of the steps of the channel.
@@ -51,7 +53,9 @@ JOIN_KNOWN = -3.0  # words with a blank between that together are a learned word
 EDGE_KNOWN = -6.0  # an edge of a learned word among spaced letters
 PIECE = 7  # letters of each of the words, at most
 MEMO = 50_000  # short stretches whose restoration a worker remembers
-PART = 1 << 18  # characters that are looked at for joins at a time
+PART = 1 << 18  # characters that are looked at at a time
+BASE = 0x9E3779B97F4A7C15  # of the hashes of words, odd
+CELLS = 19  # bits of the tables of hashed evidence
 
 _MARKS = re.escape("".join(LOOKALIKES))
 _LETTER = r"[^\W\d_]"
@@ -66,17 +70,85 @@ _SPACED = re.compile(rf"(?<!\w)(?:(?:{_LETTER}|[{_MARKS}])(?:[ .\-_*~]{{1,2}})){
 _SPACED_HINT = re.compile(rf"(?<!\w)(?:{_LETTER}|[{_MARKS}])[ .\-_*~]{{1,2}}(?:{_LETTER}|[{_MARKS}])[ .\-_*~]")
 _UNIT = re.compile(r"[ .\-_~]+|.", re.DOTALL)
 _WORD = re.compile(rf"{_LETTER}+")
+_EDGE = re.compile(rf"(?!{_LETTER}|[{_MARKS}]).", re.DOTALL)
+_SEPARATES = np.array([chr(i) in _SEPARATORS for i in range(129)])  # by code point; the last stands for all above
 
 
+@lru_cache(4096)
 def _symbol(c: str) -> int:
     if "a" <= c <= "z":
         return ord(c) - 96
     return 27 + ord(c) % (SYMBOLS - 27) if c.isalpha() else 0
 
 
+def _codes(text: str) -> np.ndarray:
+    """The code points of a text, as bytes where they fit."""
+    try:
+        return np.frombuffer(text.encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+_TABLES: list[np.ndarray] = []
+
+
+def _tables() -> list[np.ndarray]:
+    """Two numbers for each code point, built once per process: the symbol of a lower-case character, and
+    its kind: 1 for a letter of _WORD, 2 for a look-alike, 0 for all else."""
+    if not _TABLES:
+        codes = np.arange(0x110000)
+        symbols = np.where(_letters(), np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % (SYMBOLS - 27)), 0)
+        kinds = np.fromiter((chr(i).isalnum() and not chr(i).isdecimal() for i in range(0x110000)), np.uint8, 0x110000)
+        kinds[[ord(c) for c in LOOKALIKES]] = 2
+        _TABLES[:] = [symbols.astype(np.uint8), kinds]
+    return _TABLES
+
+
+def _taken(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    if codes.dtype == np.uint8:
+        return np.frombuffer(codes.tobytes().translate(table[:256].tobytes()), np.uint8)
+    return table[codes]
+
+
+def _symbols_of(codes: np.ndarray) -> np.ndarray:
+    """The symbol of each code point of a lower-case text."""
+    return _taken(_tables()[0], codes)
+
+
+def _kinds_of(codes: np.ndarray) -> np.ndarray:
+    return _taken(_tables()[1], codes)
+
+
 def _symbols(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    return np.where(_letters()[codes], np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % (SYMBOLS - 27)), 0)
+    return _symbols_of(_codes(text.lower())).astype(np.int32)
+
+
+_POWERS: list[np.ndarray] = []
+
+
+class _Hashed:
+    """Hashes of any stretches of a sequence of code points, from running sums of code x BASE^place."""
+
+    def __init__(self, codes: np.ndarray):
+        if not _POWERS or len(_POWERS[0]) <= len(codes):
+            n = max(PART + 1024, len(codes) + 1)
+            _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, base, np.uint64))))
+                          for base in (BASE, pow(BASE, -1, 1 << 64))]
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * _POWERS[0][:len(codes)], out=self.sums[1:])
+
+    def cells(self, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """The cell of each stretch in a table of 2^CELLS."""
+        h = (self.sums[to] - self.sums[at]) * _POWERS[1][at]
+        return (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - CELLS)
+
+
+def _table_of(words: list[str]) -> np.ndarray:
+    """The cells of some words."""
+    table = np.zeros(1 << CELLS, bool)
+    for w in words:
+        table[_Hashed(_codes(w)).cells(np.array([0]), np.array([len(w)]))] = True
+    return table
 
 
 def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -124,6 +196,7 @@ class CharacterModel:
 
     logp: np.ndarray
     seen: dict[tuple[str, float], str] = field(default_factory=dict, repr=False)  # restored stretches, at most MEMO
+    rows: list[list[list[float]]] = field(default_factory=list, repr=False)  # logp as plain numbers, for the decoder
 
     @classmethod
     def of(cls, grams: list[tuple[int, int]]) -> CharacterModel:
@@ -146,7 +219,9 @@ def restore(stretch: str, model: CharacterModel, edge: float = EDGE) -> str:
     the path of output characters."""
     if (stretch, edge) in model.seen:
         return model.seen[stretch, edge]
-    logp = model.logp
+    if not model.rows:
+        model.rows[:] = model.logp.tolist()
+    logp = model.rows
     states: dict[tuple[int, int], tuple[float, tuple | None, str]] = {(0, 0): (0.0, None, "")}
     before = ""
     units = _UNIT.findall(stretch)
@@ -162,7 +237,7 @@ def restore(stretch: str, model: CharacterModel, edge: float = EDGE) -> str:
             options = [("", DROP_MARK), (" ", edge if gaps and c == gaps[0][0] else EDGE_OTHER)]
         steps: dict[tuple[int, int], tuple[float, tuple | None, str]] = {}
         for (a, b), entry in states.items():
-            score, last = entry[0], entry[2]
+            score, last, row = entry[0], entry[2], logp[a][b]
             choices = options
             if end >= 0 and i > end and c in LOOKALIKES and last and not last.isalpha():
                 choices = [(c, KEEP_END)]  # behind the end of the word
@@ -171,7 +246,7 @@ def restore(stretch: str, model: CharacterModel, edge: float = EDGE) -> str:
             for out, cost in choices:
                 if out:
                     s = _symbol(out)
-                    state, new = (b, s), (score + cost + float(logp[a, b, s]), entry, out)
+                    state, new = (b, s), (score + cost + row[s], entry, out)
                 else:
                     state, new = (a, b), (score + cost, entry[1], entry[2])
                 if state not in steps or new[0] > steps[state][0]:
@@ -179,7 +254,7 @@ def restore(stretch: str, model: CharacterModel, edge: float = EDGE) -> str:
         states, before = steps, c
     best, best_score = None, -math.inf
     for (a, b), entry in states.items():
-        total = entry[0] + float(logp[a, b, 0])
+        total = entry[0] + logp[a][b][0]
         if total > best_score:
             best, best_score = entry, total
     out = []
@@ -199,43 +274,95 @@ def disguised(text: str) -> list[tuple[int, int]]:
     found = []
     if _SPACED_HINT.search(text):
         found += [m.span() for m in _SPACED.finditer(text)]
-    if _ODD.search(text):
-        found += [m.span() for m in _TOKEN.finditer(text) if _ODD.search(m.group())]
+    for at, to in _parts(text):
+        codes = _codes(text[at:to])
+        kinds = _kinds_of(codes)
+        letter = kinds == 1
+        odd = np.zeros(len(codes) + 1, bool)
+        odd[1:-1] = kinds[:-1] + kinds[1:] == 3  # a letter and a look-alike
+        if len(codes) > 2:
+            odd[2:-1] |= letter[2:] & (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2])
+        places = np.flatnonzero(odd)
+        if not len(places):
+            continue
+        # runs of letters and look-alikes with an odd place: tokens do not cross their ends
+        others = np.concatenate(([-1], np.flatnonzero(kinds == 0), [len(codes)]))
+        for k in np.unique(np.searchsorted(others, places)).tolist():
+            end = at + int(others[k])
+            for m in _TOKEN.finditer(text, at + int(others[k - 1]) + 1):
+                if m.start() >= end:
+                    break
+                if _ODD.search(m.group()):
+                    found.append(m.span())
     return found
 
 
-def joins(text: str, model: CharacterModel) -> list[tuple[str, bool]]:
+def _parts(text: str) -> Iterator[tuple[int, int]]:
+    """(from, to) of parts of about PART characters that end where neither a letter nor a look-alike follows."""
+    at = 0
+    while at < len(text):
+        to = len(text)
+        if to - at > PART:
+            edge = _EDGE.search(text, at + PART)
+            to = edge.start() if edge else to
+        yield at, to
+        at = to
+
+
+def _join_places(part: str, model: CharacterModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where neighbouring short words of a part may be one word: the places without a letter (from -1 to the
+    part's length), the numbers of those places at which words join, whether each is likely, and the symbols."""
+    codes = _codes(part)
+    x = np.zeros(len(codes) + 5, np.int32)
+    x[2:-3] = _symbols_of(codes)
+    gaps = np.flatnonzero(x[1:-2] == 0) - 1
+    left, right = gaps[1:-1] - gaps[:-2] - 1, gaps[2:] - gaps[1:-1] - 1
+    k = np.flatnonzero((left > 0) & (right > 0) & (left <= PIECE) & (right <= PIECE) & (left + right > 2))
+    k = k[_SEPARATES[np.minimum(codes[gaps[k + 1]], len(_SEPARATES) - 1)]]
+    place = gaps[k + 1] + 2
+    a, b, c, d = x[place - 2], x[place - 1], x[place + 1], x[place + 2]
+    p = model.logp.reshape(-1)
+    ab, bc, cd = a * SYMBOLS + b, b * SYMBOLS + c, c * SYMBOLS + d
+    gain = p[ab * SYMBOLS + c] + p[bc * SYMBOLS + d] - p[ab * SYMBOLS] - p[b * SYMBOLS ** 2 + c] - p[cd]
+    blank = codes[place - 2] == 32
+    likely = gain > np.where(blank, JOIN, JOIN_MARK)
+    some = likely | (blank & (gain > JOIN_KNOWN))
+    return gaps, k[some], likely[some], codes
+
+
+def joins(text: str, model: CharacterModel, whole: np.ndarray | None = None, begins: np.ndarray | None = None) -> list[tuple[str, bool]]:
     """(word, likely) of two or three neighbouring short words of a lower-case text with one separator between them.
 
     The gain of a join is what the log-probability of the text changes by if
     the separator goes; joins below JOIN that are not worse than JOIN_KNOWN
-    are not likely by themselves."""
+    are not likely by themselves.  With tables of hashed words, and of their
+    beginnings, only the joins that the tables hold are cut out of the text: a
+    likely one by its word or beginning, another by its word."""
     out = []
-    marks = np.array([ord(c) for c in _SEPARATORS])
     for at in range(0, len(text), PART):
         part = text[max(0, at - 4 * PIECE):at + PART]
-        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        x = np.concatenate(([0, 0], np.where(_letters()[codes], np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % (SYMBOLS - 27)), 0), [0, 0, 0]))
-        gaps = np.flatnonzero(x[1:-2] == 0) - 1  # from -1 to len(part): the ends count as gaps
-        left, right = gaps[1:-1] - gaps[:-2] - 1, gaps[2:] - gaps[1:-1] - 1
-        ok = (left > 0) & (right > 0) & (left <= PIECE) & (right <= PIECE) & (left + right > 2)
-        ok[ok] = np.isin(codes[gaps[1:-1][ok]], marks)
-        k = np.flatnonzero(ok)
-        place = gaps[1:-1][k] + 2
-        a, b, c, d = x[place - 2], x[place - 1], x[place + 1], x[place + 2]
-        p = model.logp
-        gain = p[a, b, c] + p[b, c, d] - p[a, b, 0] - p[b, 0, c] - p[0, c, d]
-        blank = codes[place - 2] == 32
-        likely = gain > np.where(blank, JOIN, JOIN_MARK)
-        some = likely | (blank & (gain > JOIN_KNOWN))
-        previous = (-2, False, "")
-        for j, sure in zip(k[some].tolist(), likely[some].tolist()):
-            g = int(gaps[j + 1])
-            first, second = part[int(gaps[j]) + 1:g], part[g + 1:int(gaps[j + 2])]
-            out.append((first + second, sure))
-            if previous[0] == j - 1:
-                out.append((previous[2] + second, sure and previous[1]))
-            previous = (j, sure, first + second)
+        gaps, k, likely, codes = _join_places(part, model)
+        if not len(k):
+            continue
+        # a join of three words follows on one of two at the gap before
+        after = np.flatnonzero(k[1:] == k[:-1] + 1) + 1
+        first = np.concatenate((k, k[after] - 1))
+        last = np.concatenate((k + 2, k[after] + 2))
+        sure = np.concatenate((likely, likely[after] & likely[after - 1]))
+        if whole is not None:
+            # without the other characters, the letters of a join are one stretch
+            letters = np.ones(len(codes), bool)
+            letters[gaps[1:-1]] = False
+            hashed = _Hashed(codes[letters].astype(np.uint64))
+            start, end = gaps[first] + 1 - first, gaps[last] - last + 1
+            hit = whole[hashed.cells(start, end)]
+            for n in BEGINNINGS:
+                longer = np.flatnonzero(sure & ~hit & (end - start > n))
+                hit[longer] = begins[hashed.cells(start[longer], start[longer] + n)]
+            first, last, sure = first[hit], last[hit], sure[hit]
+        for i, j, likely_ in zip(first.tolist(), last.tolist(), sure.tolist()):
+            pieces = [part[int(gaps[g]) + 1:int(gaps[g + 1])] for g in range(i, j)]
+            out.append(("".join(pieces), likely_))
     return out
 
 
@@ -284,7 +411,7 @@ def words_for_learning(text: str, model: CharacterModel) -> set[str]:
 
 def word_features(word: str) -> list[str]:
     """The word and its beginnings of four to six letters (marked, so that they differ from words)."""
-    return [word, *(word[:k] + "~" for k in (4, 5, 6) if len(word) > k)]
+    return [word, *(word[:k] + "~" for k in BEGINNINGS if len(word) > k)]
 
 
 @dataclass
@@ -294,6 +421,7 @@ class ToxicityModel:
     slope: float = 0.0
     bias: float = -3.0
     seen: dict[str, float] = field(default_factory=dict, repr=False)  # strongest evidence of words, at most 4 MEMO
+    cells: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)  # hashed evidence
 
     def of_word(self, word: str) -> float:
         p = self.seen.get(word)
@@ -303,15 +431,37 @@ class ToxicityModel:
             p = self.seen[word] = max(self.evidence.get(f, 0.0) for f in word_features(word))
         return p
 
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """The cells of the words and of the beginnings for which there is evidence."""
+        if self.cells is None:
+            self.cells = (_table_of([f for f in self.evidence if not f.endswith("~")]),
+                          _table_of([f[:-1] for f in self.evidence if f.endswith("~")]))
+        return self.cells
+
+    def telling(self, text: str) -> set[str]:
+        """The words of a lower-case text for which there is evidence; only words whose hash has it are cut out."""
+        whole, begins = self.tables()
+        found: set[str] = set()
+        for at, to in _parts(text):
+            codes = _codes(text[at:to])
+            edges = np.flatnonzero(np.diff(_kinds_of(codes) == 1, prepend=False, append=False))
+            start, end = edges[::2], edges[1::2]
+            hashed = _Hashed(codes.astype(np.uint64))
+            hit = whole[hashed.cells(start, end)]
+            for n in BEGINNINGS:
+                longer = np.flatnonzero(~hit & (end - start > n))
+                hit[longer] = begins[hashed.cells(start[longer], start[longer] + n)]
+            found.update(text[at + a:at + b] for a, b in zip(start[hit].tolist(), end[hit].tolist()))
+        return {w for w in found if self.of_word(w)}
+
     def strength(self, text: str | None) -> tuple[float, list[str]]:
         """Strongest evidence in a text, and the words that its restoration added (joins only if there is evidence for them)."""
         low = (text or "").lower()
         known = self.evidence
         restored, plain = _decoded(low, self.characters, known)
-        words = set(_WORD.findall(low))
-        words.update(restored)
+        words = {*restored, *(self.telling(low) if known else ())}
         most = max(map(self.of_word, words), default=0.0)
-        for w, likely in joins(plain, self.characters) if known else ():
+        for w, likely in joins(plain, self.characters, *self.tables()) if known else ():
             p = self.of_word(w) if likely else known.get(w, 0.0)
             if p and w not in words:
                 restored.append(w)
