@@ -144,6 +144,64 @@ def test_forecasts(spark):
     assert exact["mae"] < 1e-6 and exact["n_days"] == 60 - at - 1
 
 
+def _least_squares(days, v, at, order):
+    """Forecast of every day after ``at`` (a number of days) by least squares on lagged differences, by plain loops."""
+    level = dict(zip(days, v))
+    diff = {d: level[d] - level[d - 1] for d in level if d <= at and d - 1 in level}
+    rows = [(diff[d], [diff[d - i] for i in range(1, order + 1)]) for d in sorted(diff) if all(d - i in diff for i in range(1, order + 1))]
+    if len(rows) < order + 2:  # also without a train day
+        return {d: None for d in level if d > at}
+    coef = np.linalg.lstsq(np.array([[1.0, *x] for _, x in rows]), np.array([y for y, _ in rows]), rcond=None)[0]
+    last = max(d for d in level if d <= at)
+    mean = np.mean(list(diff.values()))
+    recent = [diff.get(last - i, mean) for i in range(order)]
+    out, now = {}, level[last]
+    for d in range(last + 1, max(level) + 1):
+        recent.insert(0, coef[0] + sum(c * x for c, x in zip(coef[1:], recent)))
+        now += recent[0]
+        out[d] = now
+    return {d: out[d] for d in level if d > at}
+
+
+@pytest.mark.parametrize("order", [0, 1, 3, 5])
+def test_autoregression_by_normal_equations(spark, order):
+    """Gaps, a series that ends before the holdout, one that begins in it, a short, a flat and a missing one."""
+    rng = np.random.default_rng(order)
+    walk = np.cumsum(rng.normal(0.2, 1, 120)) + 500
+    series = {
+        "walk": dict(enumerate(walk)), "gaps": {i: x for i, x in enumerate(walk * 2) if i % 29 not in (3, 4, 17)},
+        "ends": {i: walk[i] for i in range(60)}, "late": {i: walk[i] for i in range(105, 120)},
+        "short": {i: walk[i] for i in (97, 98, 101, 102)}, "flat": dict.fromkeys(range(120), 7.0),
+        "one": {100: 1.0}, "none": dict.fromkeys(range(95, 110), float("nan")),
+    }
+    start = pd.Timestamp("2024-01-01")
+    rows = [(k, start + pd.Timedelta(days=i), float(x)) for k, s in series.items() for i, x in s.items()]
+    rows.append((None, start, 1.0))
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["device_id", "time", "value"]))
+    out = forecast.autoregressive(df, start + pd.Timedelta(days=100), order=order)
+    got = {(r["device_id"], (r["time"] - start).days): r for r in out.collect()}
+    want = {(k, d): f for k, s in series.items() if k not in ("none", "flat")
+            for d, f in _least_squares(list(s), list(s.values()), 100, order).items()}
+    assert {k for k in got if k[0] not in ("none", "flat")} == set(want)
+    for key, f in want.items():
+        if f is None:
+            assert got[key]["forecast"] is None and got[key]["lower"] is None, key
+        else:
+            assert got[key]["forecast"] == pytest.approx(f, rel=1e-6), key
+            assert got[key]["lower"] <= got[key]["forecast"] <= got[key]["upper"], key
+    flat = [r for (k, _), r in got.items() if k == "flat"]
+    assert len(flat) == 19 and all(r["forecast"] == r["lower"] == r["upper"] == 7.0 for r in flat)
+    none = [r for (k, _), r in got.items() if k == "none"]
+    assert len(none) == 9 and all(r["forecast"] is None and r["actual"] is None for r in none)
+    assert forecast.autoregressive(df.limit(0), "2024-02-01", order=order).count() == 0
+
+
+def test_autoregression_runs_without_python(spark):
+    df = spark.createDataFrame(pd.DataFrame({"device_id": ["a"], "time": [pd.Timestamp("2024-01-01")], "value": [1.0]}))
+    plan = forecast.autoregressive(df, "2024-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+
+
 def _pairwise(x):
     """Autocorrelation at every lag, pair by pair, up to the first undefined one."""
     out = [1.0] if len(x) >= 2 else []

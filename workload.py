@@ -1148,9 +1148,41 @@ def _(d):
     return forecast.forecast_errors(forecast.seasonal_naive(forecast.daily_mean(d.orders, "price"), "2001-03-01"))
 
 
-@query("forecast_autoregressive")
-def _(d):
-    return forecast.autoregressive(forecast.daily_mean(d.orders, "price"), "2001-03-01")
+# Normal equations by sums of products, elimination and forecast as recursive steps over one list per device.
+AR_SUMS = ", ".join(f"sum({x} * {y})" for x in ("1", *(f"x{i}" for i in range(1, 6))) for y in ("1", *(f"x{i}" for i in range(1, 6)), "y"))
+
+
+@query("forecast_autoregressive", f"""
+with recursive {ORDERS}, s as (select device_id, cast(time as date) as day, avg(price) as v from o group by 1, 2),
+train as (select * from s where day <= date '2001-03-01'),
+df as (select x.device_id, x.day, x.v - y.v as d from train x join train y on x.device_id = y.device_id and x.day = y.day + 1),
+p as (select a.device_id, a.d as y, b.d as x1, c.d as x2, e.d as x3, f.d as x4, g.d as x5 from df a
+  join df b on b.device_id = a.device_id and b.day = a.day - 1 join df c on c.device_id = a.device_id and c.day = a.day - 2
+  join df e on e.device_id = a.device_id and e.day = a.day - 3 join df f on f.device_id = a.device_id and f.day = a.day - 4
+  join df g on g.device_id = a.device_id and g.day = a.day - 5),
+el as (select device_id, 0 as k, [{AR_SUMS}] as m, count(*) as n from p group by 1 having count(*) >= 7
+  union all select device_id, k + 1, list_transform(range(0, 42), lambda i: case
+    when i // 7 = k then m[i + 1] / m[k * 8 + 1]
+    else m[i + 1] - m[(i // 7) * 7 + k + 1] / m[k * 8 + 1] * m[k * 7 + i % 7 + 1] end), n from el where k < 6),
+f as (select device_id, list_transform(range(0, 6), lambda i: m[i * 7 + 7]) as c, n from el where k = 6),
+e as (select p.device_id, sqrt(sum(pow(y - c[1] - c[2] * x1 - c[3] * x2 - c[4] * x3 - c[5] * x4 - c[6] * x5, 2)) / (any_value(n) - 6)) as sigma
+  from p join f on p.device_id = f.device_id group by 1),
+l as (select device_id, max(day) as last_day, arg_max(v, day) as last_v from train group by 1),
+g as (select device_id, avg(d) as d from df group by 1),
+b as (select l.device_id, i, coalesce(df.d, g.d) as d from l cross join range(0, 5) t(i) join g on g.device_id = l.device_id
+  left join df on df.device_id = l.device_id and df.day = l.last_day - cast(i as integer)),
+path as (select f.device_id, 0 as h, f.c, e.sigma, l.last_day, l.last_v as level, (select list(b.d order by i) from b where b.device_id = f.device_id) as x,
+    [1.0::double, 0, 0, 0, 0] as r, 0.0::double as response, 0.0::double as variance
+    from f join e on e.device_id = f.device_id join l on l.device_id = f.device_id
+  union all select device_id, h + 1, c, sigma, last_day, level + c[1] + list_dot_product(c[2:6], x),
+    [c[1] + list_dot_product(c[2:6], x), x[1], x[2], x[3], x[4]], [list_dot_product(c[2:6], r), r[1], r[2], r[3], r[4]],
+    response + r[1], variance + pow(response + r[1], 2) from path where h < 400)
+select s.device_id, cast(s.day as timestamp) as time, {r('s.v')} as actual, {r('round(level, 3)')} as forecast,
+  {r('round(level - 1.959963984540054 * sigma * sqrt(variance), 3)')} as lower, {r('round(level + 1.959963984540054 * sigma * sqrt(variance), 3)')} as upper
+from s left join path on path.device_id = s.device_id and s.day = last_day + cast(h as integer) where s.day > date '2001-03-01'""")
+def _(d):
+    out = forecast.autoregressive(forecast.daily_mean(d.orders, "price"), "2001-03-01")
+    return out.withColumns({c: F.round(c, 3) for c in ("forecast", "lower", "upper")})
 
 
 # Order 1 in closed form: d[t] = a + b d[t-1], so the h-th change is m + b^h (d - m) with m = a / (1 - b).
