@@ -117,8 +117,42 @@ def with_bucket(
     return joined.withColumn(out, bucket_of(F.col(time), freq, dtype, F.col("_origin"))).drop("_origin")
 
 
-# Buckets of one chunk of a gap.
+# Buckets of one chunk of a gap, and of one slice of a finely bucketed series.
 _CHUNK = 4096
+# Shorter buckets are looked at slice by slice: a year of one device has millions of them.
+FINE_US = 600_000_000
+
+
+def slice_length(freq: Freq) -> int | None:
+    """Microseconds of a slice of a series of short buckets; None where a series is worked on as a whole."""
+    return freq.micros * _CHUNK if freq.kind == "fixed" and freq.micros < FINE_US else None
+
+
+def neighbour(
+    df: DataFrame, keys: list[str], column: str, out: str, time: str = "time", slice_us: int | None = None, ahead: bool = True
+) -> DataFrame:
+    """Add ``column`` of the next (``ahead``) or previous row of the series; times are unique per key.
+
+    With ``slice_us`` a window holds one slice of a series: each slice gets the
+    first row of the one after it (or the last row of the one before it) as an
+    extra row, which one row per slice decides and which is left out again.
+    """
+    step = F.lead if ahead else F.lag
+    if not slice_us:
+        return df.withColumn(out, step(column).over(Window.partitionBy(*keys).orderBy(time)))
+    us = micros(F.col(time))
+    base = df.withColumns({"_part": us - F.pmod(us, F.lit(slice_us)), "_guest": F.lit(False)})
+    # a plain number as order keeps the aggregation hash-based
+    edge = F.min_by if ahead else F.max_by
+    row = F.struct(F.col(time), F.col(column).alias("_value"))
+    edges = base.groupBy(*keys, "_part").agg(edge(row, us).alias("_edge"))
+    carried = step("_edge").over(Window.partitionBy(*keys).orderBy("_part"))
+    guests = edges.select(*keys, "_part", F.lit(True).alias("_guest"), carried.alias("_edge")).filter("_edge is not null")
+    at, value = F.col("_edge").getField(time), F.col("_edge").getField("_value")
+    guests = guests.select(*keys, "_part", "_guest", at.alias(time), *([] if column == time else [value.alias(column)]))
+    both = base.unionByName(guests, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_part").orderBy(time)
+    return both.withColumn(out, step(column).over(inside)).filter(~F.col("_guest")).drop("_part", "_guest")
 
 
 def fill_missing_buckets(
@@ -128,13 +162,16 @@ def fill_missing_buckets(
 
     ``df`` has one row per key and bucket, so a key holds at most as many rows
     as the calendar has buckets.  Every row is expanded up to its successor,
-    which needs one exchange of the aggregated rows and no join.  ``zero``
-    names columns that are 0 instead of NULL in an empty bucket.
+    which needs one exchange of the aggregated rows and no join.  Series of
+    short buckets are looked at in slices, and their gaps are dealt anew in
+    chunks before they are expanded, so that neither a series nor a gap lies in
+    one task.  ``zero`` names columns that are 0 instead of NULL in an empty
+    bucket.
     """
     freq = parse_freq(freq) if isinstance(freq, str) else freq
     values = [c for c in df.columns if c not in (*keys, time)]
     dtype = df.schema[time].dataType
-    w = Window.partitionBy(*keys).orderBy(time)
+    fine = slice_length(freq)
     step = F.expr(freq.step)
     if freq.kind == "month_end":
         start = F.date_trunc("month", F.col(time)).cast(dtype)
@@ -144,9 +181,12 @@ def fill_missing_buckets(
     # a long gap is expanded in chunks, so that no row holds more than one chunk of labels
     chunk = F.expr(f"{freq.step} * {_CHUNK}")
     last = F.coalesce(nxt - step, start)
-    grown = df.withColumn("_next", F.lead(time).over(w)).select(
+    grown = neighbour(df, keys, time, "_next", time, fine).select(
         *keys, *values, last.alias("_last"), F.posexplode(F.sequence(start, last, chunk)).alias("_chunk", "_from")
     )
+    if fine:
+        # a stated number of partitions: few bytes become many rows, so they must not be coalesced by size
+        grown = grown.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_from")
     labels = F.sequence(F.col("_from"), F.least(F.col("_last"), F.col("_from") + chunk - step), step)
     if freq.kind == "month_end":
         labels = F.transform(labels, lambda x: F.last_day(x).cast(dtype))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions import features as feat
 from sensorloom.functions import names
-from sensorloom.functions.timebucket import Freq, fill_missing_buckets, micros, parse_freq, with_bucket
+from sensorloom.functions.timebucket import Freq, fill_missing_buckets, micros, neighbour, parse_freq, slice_length, with_bucket
 from sensorloom.operators.order_stats import MOMENT_FEATURES, ORDER_FEATURES, group_stats
 from sensorloom.operators.slices import nan_to_null, number, pearson, series_rows, successive_pairs
 
@@ -82,19 +82,20 @@ def bucket_features(
 
 
 def with_percent_change(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, time: str = "time"
+    df: DataFrame, keys: Sequence[str], value: str, out: str, time: str = "time", slice_us: int | None = None
 ) -> DataFrame:
     """Relative change against the previous row, 0 where undefined.  Meant for
-    bucketed rows (the calendar bounds the rows per key)."""
-    prev = F.lag(value).over(Window.partitionBy(*keys).orderBy(time))
-    cur = F.col(value)
+    bucketed rows (the calendar bounds the rows per key); ``slice_us`` cuts
+    series of short buckets into slices."""
+    rows = neighbour(df, list(keys), value, "_prev", time, slice_us, ahead=False)
+    prev, cur = F.col("_prev"), F.col(value)
     change = (
         F.when(cur.isNull() | prev.isNull(), 0.0)
         .when((prev == 0) & (cur == 0), 0.0)
         .when(prev == 0, F.when(cur > 0, float("inf")).otherwise(float("-inf")))
         .otherwise(cur / F.when(prev != 0, prev) - 1.0)
     )
-    return df.withColumn(out, change)
+    return rows.withColumn(out, change).drop("_prev")
 
 
 def statistical_features(
@@ -131,7 +132,7 @@ def statistical_features(
     labels = {canon: asked for asked, canon in requested.items()}
     if ranged:
         labels.setdefault("range", "极差" if localized else "range")
-        wide = with_percent_change(wide, keys, "range", feat.RANGE_RATE, time)
+        wide = with_percent_change(wide, keys, "range", feat.RANGE_RATE, time, slice_length(parsed))
         labels[feat.RANGE_RATE] = feat.RANGE_RATE_ALIAS if localized else feat.RANGE_RATE
     return wide.select(*keys, time, *[F.col(c).alias(a) for c, a in labels.items()])
 

@@ -4,7 +4,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sensorloom.functions import timebucket
 from sensorloom.functions.timebucket import bucket_of, month_range, parse_duration_micros, parse_freq
+from sensorloom.operators import stats
 
 
 @pytest.mark.parametrize("text,kind,micros", [
@@ -50,3 +52,37 @@ def test_month_range(spark):
     assert utc == ["2023-11-01", "2023-12-01", "2024-01-01", "2024-02-01"]
     local = [str(r[0]) for r in month_range(df, tz="Asia/Shanghai").collect()]
     assert local[0] == "2023-12-01"
+
+
+@pytest.mark.parametrize("freq", ["1s", "7s", "5min"])
+def test_short_buckets_in_slices(spark, monkeypatch, freq):
+    """Slices give what one window gives: gaps over several slices, one row, a NULL key, a NULL value, no row."""
+    start = pd.Timestamp("2024-01-01")
+    step = pd.Timedelta(freq)
+    places = {"a": [0, 1, 2, 5, 6, 40, 41, 90], "b": [7], None: [3, 4, 9], "c": list(range(8, 33))}
+    rows = [(k, start + i * step, None if i == 41 else float(i % 5)) for k, at in places.items() for i in at]
+    schema = "device_id string, time timestamp_ntz, v double"
+    df = spark.createDataFrame([(k, t.to_pydatetime(), v) for k, t, v in rows], schema)
+
+    def run(rows):
+        parsed = timebucket.parse_freq(freq)
+        filled = timebucket.fill_missing_buckets(rows, parsed, ["device_id"], "time")
+        changed = stats.with_percent_change(filled, ["device_id"], "v", "rate", "time", timebucket.slice_length(parsed))
+        return sorted(map(tuple, changed.collect()), key=repr)
+
+    monkeypatch.setattr(timebucket, "_CHUNK", 8)
+    sliced = run(df)
+    assert run(df.limit(0)) == []
+    monkeypatch.setattr(timebucket, "FINE_US", 0)
+    assert sliced == run(df)
+    assert len(sliced) == 91 + 1 + 7 + 25
+
+
+def test_year_of_seconds_of_one_device(spark):
+    """A gap of a year between two seconds is expanded by many tasks."""
+    rows = [("a", pd.Timestamp("2023-01-01").to_pydatetime(), 1.0), ("a", pd.Timestamp("2023-12-31 23:59:59").to_pydatetime(), 2.0)]
+    df = spark.createDataFrame(rows, "device_id string, time timestamp_ntz, v double")
+    filled = timebucket.fill_missing_buckets(df, "1s", ["device_id"])
+    parts = filled.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 365 * 86_400
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 365 * 86_400 / 2

@@ -278,6 +278,20 @@ def _(d):
     return stats.statistical_features(d.gappy, "humidity", ["mean", "median", "std"], "h")
 
 
+# Buckets of five minutes are worked on in slices.  An infinite rate (after a range of 0) is given as unknown.
+@query("stat_short_buckets", f"""
+with {READINGS}, agg as (select device_id, time_bucket(interval 5 minutes, time) as time, avg(humidity) as mean, max(humidity) as mx, min(humidity) as mn
+  from readings group by 1, 2), span as (select device_id, min(time) lo, max(time) hi from agg group by 1),
+spine as (select device_id, unnest(generate_series(lo, hi, interval 5 minutes)) as time from span),
+g as (select s.device_id, s.time, mean, mx, mn, mx - mn as rg, lag(mx - mn) over (partition by s.device_id order by s.time) as pr
+  from spine s left join agg a on a.device_id = s.device_id and a.time = s.time)
+select device_id, time, {r('mean')} as mean, {r('mx')} as max, {r('mn')} as min, {r('rg')} as range,
+  {r('case when pr is null or rg is null or (pr = 0 and rg = 0) then 0 when pr <> 0 then rg / pr - 1 end')} as range_rate from g""")
+def _(d):
+    out = stats.statistical_features(d.readings, "humidity", ["mean", "max", "min"], "5min")
+    return out.withColumn("range_rate", F.when(F.abs("range_rate") < float("inf"), F.col("range_rate")))
+
+
 @query("vol_daily_std_cv", agg_sql(READINGS, "readings", "humidity", DAY, ["std", "cv"]))
 def _(d):
     return stats.volatility_features(d.readings, "humidity", ["std", "cv"], "D")
