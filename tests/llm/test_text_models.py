@@ -138,3 +138,35 @@ def test_every_language_is_learned(spark):
     free = {lang for d, _, lang in rows if zlib.crc32(str(d).encode()) % 3 != 1}
     assert {r["lang"] for r in sample} == free and len(sample) == len(free)
     assert language.training_sample(docs.limit(0), 20).count() == 0
+
+
+def _plain_disguised(text):
+    out = [m.span() for m in toxicity._SPACED.finditer(text)]
+    return out + [m.span() for m in toxicity._TOKEN.finditer(text) if toxicity._ODD.search(m.group())]
+
+
+@pytest.mark.parametrize("part", [64, 1 << 18])
+def test_hashed_lookups_find_what_plain_ones_find(monkeypatch, part):
+    """Words, joins and stretches against plain loops: parts, letters beyond Latin-1, no word, one long word."""
+    monkeypatch.setattr(toxicity, "PART", part)
+    rng = np.random.default_rng(11)
+    pieces = ["idiot", "id", "iot", "mo", "ron", "moronic", "straße", "слово", "сло", "во", "x", "1d10t", "looooser", "²", "٣a", "a4", "end!!"]
+    marks = [" ", "-", ".", "  ", "\n", "_", "; ", "*"]
+    texts = ["", " ", "!!!", "a", "q" * 700] + [
+        "".join(rng.choice(pieces) + rng.choice(marks) for _ in range(int(rng.integers(1, 120)))) for _ in range(60)]
+    grams = {}
+    for t in texts:
+        s = toxicity._symbols(t)
+        for g in ((s[:-2] * 64 + s[1:-1]) * 64 + s[2:] if len(s) > 2 else []):
+            grams[int(g)] = grams.get(int(g), 0) + 1
+    evidence = {"idiot": 0.9, "moro~": 0.5, "слово": 0.7, "straß~": 0.6, "qqqq~": 0.2, "x": 0.1}
+    model = toxicity.ToxicityModel(toxicity.CharacterModel.of(list(grams.items())), evidence)
+    whole, begins = model.tables()
+    for text in texts:
+        assert model.telling(text) == {w for w in toxicity._WORD.findall(text) if model.of_word(w)}
+        every = toxicity.joins(text, model.characters)
+        some = toxicity.joins(text, model.characters, whole, begins)
+        assert set(some) <= set(every)
+        telling = {(w, likely) for w, likely in every if (model.of_word(w) if likely else evidence.get(w))}
+        assert telling <= set(some)
+        assert toxicity.disguised(text) == _plain_disguised(text)
