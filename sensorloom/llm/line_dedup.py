@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import small, stored
+from sensorloom.functions import names
+from sensorloom.llm.common import let, small, stored
 
 BLOCK = 64
 
@@ -33,7 +34,9 @@ def _behind(s: Column, n: Column, length: Column) -> Column:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, tie (hash of the text), pos, line (without blanks at its ends) of all lines but blank ones."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
+    # the hash below the generator: above it, every line would hash its whole text again
+    whole = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.split("text", "\n", -1).alias("lines"))
+    lines = whole.select("doc_id", "tie", F.posexplode("lines").alias("pos", "raw"))
     return lines.select("doc_id", "tie", "pos", F.trim("raw").alias("line")).where(F.col("line") != "")
 
 
@@ -160,16 +163,27 @@ def drop_repeated_lines(docs: DataFrame, edit_chars: int = 20) -> DataFrame:
     dropped itself.  Blanks at both ends of a line don't count; blank lines are
     kept.  A null text stays null, with 0 lines; an empty text is one blank
     line.  Rows equal in doc_id and text are one document to this operator:
-    they all keep its first lines.  Null doc_ids come before all others.  An
-    empty table gives no rows.
+    they all keep its first lines.  Null doc_ids come before all others.  Other
+    columns stay, whatever their names.  Time and memory grow with the length
+    of a text, however many of its lines go.  An empty table gives no rows.
     """
     drops = duplicate_lines(docs.select("doc_id", "text"), edit_chars).groupBy(
         F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(F.sort_array(F.collect_list("pos")).alias("__drops"))
-    joined = docs.join(drops, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__tie")), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(F.col("__drops"), i))
-    text = F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n", -1)))
+    joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__id"]) & (F.xxhash64(docs["text"]) == drops["__tie"]), "left")
+    lines, dropped = F.split(docs["text"], "\n", -1), drops["__drops"]
+    text = F.when(dropped.isNull(), docs["text"]).otherwise(F.array_join(let(lines, lambda all_lines: without(all_lines, dropped)), "\n"))
+    n = F.when(docs["text"].isNull(), F.lit(0)).otherwise(F.size(lines))
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in kept_columns],
+    return joined.select(*[text.alias("text") if c == "text" else docs[names.quote(c)] for c in kept_columns],
                          n.cast("long").alias("n_lines"),
-                         F.when(F.col("__drops").isNull(), F.lit(0)).otherwise(F.size("__drops")).cast("long").alias("n_dropped"))
+                         F.when(dropped.isNull(), F.lit(0)).otherwise(F.size(dropped)).cast("long").alias("n_dropped"))
+
+
+def without(values: Column, places: Column) -> Column:
+    """``values`` without those at ``places`` (ascending, from 0): the stretches between them, in one pass over both."""
+    before = F.concat(F.array(F.lit(-1)), places)
+
+    def stretches(ends: Column) -> Column:
+        return F.flatten(F.transform(before, lambda at, i: F.slice(values, at + 2, F.greatest(F.get(ends, i) - at - 1, F.lit(0)))))
+
+    return let(F.concat(places, F.array(F.size(values))), stretches)

@@ -65,6 +65,25 @@ def test_lines(spark):
     assert drop_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_lines_of_very_long_texts(spark):
+    """200,000 lines, of which every second one repeats an earlier one: time grows with the lines, not with their square."""
+    head = "\n".join(f"{k} {k * 7919 % 100_003} first" for k in range(100_000))
+    mixed = "\n".join(f"{k} {k * 7919 % 100_003} first\n{chr(97 + k % 26) * 3}{k * 104_729 % 1_299_709} second {k}" for k in range(100_000))
+    df = spark.createDataFrame([(1, head), (2, mixed)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in drop_repeated_lines(df, edit_chars=10_000).collect()}
+    assert rows[1]["text"] == head and rows[1]["n_dropped"] == 0
+    assert rows[2]["n_lines"] == 200_000 and rows[2]["n_dropped"] == 100_000
+    assert rows[2]["text"] == "\n".join(mixed.split("\n")[1::2])
+
+
+def test_lines_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a line\nb", 5, 6, 7, 8.0), (2, "a line\nc", 5, 6, 7, None)],
+                               "doc_id long, text string, __id int, __tie int, __drops int, `a.b` double")
+    out = drop_repeated_lines(df)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a line\nb", 5, 6, 7, 8.0, 2, 0), (2, "c", 5, 6, 7, None, 2, 1)]
+
+
 def shingles(text):
     w = [x for x in re.split(r"[\x09-\x0D\x20]+", text.lower()) if x]
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
