@@ -38,13 +38,17 @@ def passages(lines: Column) -> Column:
         line = F.get(lines, i)
         return F.when(F.trim(line["body"]) == "", F.lit(-1)).otherwise(line["level"])
 
+    def of_runs(starts: Column, n: Column) -> Column:
+        """A run ends where the next one starts, so every line is looked at a fixed number of times."""
+        runs = F.transform(starts, lambda at, k: F.struct(
+            kind(at).alias("level"), at.alias("at"), (F.coalesce(F.get(starts, k + 1), n) - at).alias("length")))
+        return F.transform(F.filter(runs, lambda run: run["level"] >= 0), lambda run: F.struct(
+            run["level"].alias("level"),
+            F.array_join(F.transform(F.slice(lines, run["at"] + 1, run["length"]), lambda x: x["body"]), "\n").alias("body")))
+
     def from_starts(n: Column) -> Column:
-        places = F.sequence(F.lit(0), n - 1)
-        starts = F.filter(places, lambda i: (kind(i) >= 0) & ((i == 0) | (kind(i) != kind(i - 1))))
-        return F.transform(starts, lambda i: F.struct(
-            kind(i).alias("level"),
-            let(F.coalesce(F.array_min(F.filter(F.sequence(i, n - 1), lambda k: kind(k) != kind(i))), n),
-                lambda end: F.array_join(F.transform(F.slice(lines, i + 1, end - i), lambda x: x["body"]), "\n")).alias("body")))
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (kind(i) != kind(i - 1)))
+        return let(starts, lambda found: of_runs(found, n))
 
     return let(F.size(lines), from_starts)
 

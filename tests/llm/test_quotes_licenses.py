@@ -1,7 +1,10 @@
 """Quotation links and license scans on small fixtures with known results."""
 
+import random
+import re
+
 from sensorloom.llm.licenses import TEMPLATES, scan_licenses
-from sensorloom.llm.quotes import reply_ordered
+from sensorloom.llm.quotes import quotation_links, reply_ordered
 
 MESSAGES = [
     (1, 0, "user", "Hello there.\nHow are you?"), (1, 1, "assistant", "> How are you?\n\nFine, thanks."),
@@ -29,6 +32,66 @@ def test_replies(spark):
     assert [r["turn"] for r in sorted((r for r in rows if r["conv_id"] == 3), key=lambda r: r["position"])] == [2, 1030, 5000]
 
 
+def plain_passages(text):
+    """The paragraphs of a message, line by line."""
+    found, last = [], None
+    for line in text.split("\n"):
+        mark = re.match(r"\s{0,3}(?:>\s?)+", line)
+        level, body = (mark.group().count(">"), line[mark.end():]) if mark else (0, line)
+        kind = level if body.strip(" ") else -1
+        if kind >= 0:
+            if kind == last:
+                found[-1] = (level, found[-1][1] + "\n" + body)
+            else:
+                found.append((level, body))
+        last = kind
+    return found
+
+
+def plain_norm(body):
+    return re.sub(r"\s+", " ", body.lower()).strip(" ")
+
+
+def test_links_by_brute_force(spark):
+    """Every quoted paragraph or line, looked up among all messages by plain loops."""
+    rnd = random.Random(11)
+    said = [f"{rnd.choice(['yes', 'no', 'well', 'then'])} number {k}" for k in range(25)]
+    messages = []
+    for conv in range(12):
+        for turn in range(8):
+            lines = []
+            for _ in range(rnd.randint(0, 7)):
+                lines.append(rnd.choice(["", "> ", ">> ", "> > > ", "", " "]) + rnd.choice([*said, "", said[0].upper()]))
+            messages.append((conv, turn, "user", "\n".join(lines)))
+    written, quoted = {}, set()
+    for conv, turn, _, text in messages:
+        for level, body in plain_passages(text):
+            units = [("paragraph", plain_norm(body))] + [("line", plain_norm(x)) for x in body.split("\n") if "\n" in body]
+            for unit, key in units:
+                if key and level:
+                    quoted.add((conv, turn, level, unit, key))
+                elif key:
+                    written.setdefault(key, set()).add((conv, turn))
+    want = set()
+    for conv, turn, level, unit, key in quoted:
+        here = [p for p in written.get(key, ()) if p[0] == conv and p[1] < turn]
+        there = [p for p in written.get(key, ()) if p[0] != conv]
+        want.add((conv, turn, level, unit, key, *min(here or there or [(None, None)])))
+    df = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    keys = {r[1]: r[0] for r in spark.createDataFrame([(k,) for k in {q[4] for q in quoted}], "body string").selectExpr("body", "xxhash64(body)").collect()}
+    got = [(r["conv_id"], r["turn"], r["level"], r["unit"], keys[r["k1"]], r["from_conv"], r["from_turn"]) for r in quotation_links(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and sum(w[5] is not None for w in want) > 50
+
+
+def test_long_message(spark):
+    """50,000 paragraphs, half of them quoted: time grows with the paragraphs, not with their square."""
+    first = "\n\n".join(f"passage {k}" for k in range(25_000))
+    second = "\n\n".join(f"> passage {k}\n\nanswer {k}" for k in range(25_000))
+    df = spark.createDataFrame([(1, 0, "user", first), (1, 1, "assistant", second)], "conv_id long, turn long, role string, text string")
+    row = next(r for r in reply_ordered(df).collect() if r["turn"] == 1)
+    assert row["n_quoted"] == row["n_linked"] == 25_000 and row["reply_to"] == 0 and ">" not in row["text"]
+
+
 def test_no_messages(spark):
     assert reply_ordered(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
