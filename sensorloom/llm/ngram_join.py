@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.functions import names
 from sensorloom.llm.common import small, stored
 from sensorloom.llm.components import connected_components
 from sensorloom.llm.shingles import set_name, shingle_sets
@@ -345,10 +346,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
     out = rows.withColumn("first", first).where("k > 1 or not first").groupBy("doc_id", "row_key") \
         .agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1 or not first")
     out = stored(out.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("first").alias("__first")), "left-out")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__key"))
-    kept = docs.join(out, same, "left_anti")
+    # columns of documents are told from the others by their frame, so that their names are free
+    whole = docs.select(F.struct(*[F.col(names.quote(c)) for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("row.doc_id", "row.text") == F.col("__key"))
+    kept = whole.join(out, same, "left_anti")
     several = out.where("__first")
-    if several.isEmpty():
-        return kept
-    again = docs.join(small(several), same).groupBy("__id", "__key").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
-    return kept.unionByName(again.select("row.*"))
+    if not several.isEmpty():
+        again = whole.join(small(several), same).groupBy("__id", "__key").agg(F.min("row").alias("row"))
+        kept = kept.unionByName(again.select("row"))
+    return kept.select("row.*")

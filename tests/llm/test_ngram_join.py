@@ -109,3 +109,12 @@ def test_keep_first_by_row(spark):
     got = sorted(((r["doc_id"], (r["text"] or "")[:1]) for r in rows), key=repr)
     assert got == sorted([(1, "a"), (4, "b"), (2, "c"), (2, "d"), (None, "e"), (9, "x"), (5, ""), (5, ""), (None, ""), (None, ""), (None, "a")], key=repr)
     assert next(r["least"] for r in rows if r["doc_id"] == 9) == 10
+
+
+def test_keep_first_with_clashing_columns(spark):
+    a = " ".join(f"a{k}" for k in range(40))
+    df = spark.createDataFrame([(1, a, 1, 2, 3, 4), (2, a + " end", 5, 6, 7, 8), (3, "x y z", 9, 9, 9, 9), (3, "x y z", 9, 9, 9, 9)],
+                               "doc_id long, text string, __id int, __key int, row int, row_key int")
+    kept = nj.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, a, 1, 2, 3, 4), (3, "x y z", 9, 9, 9, 9)]
