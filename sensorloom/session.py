@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     # split a skewed join side even if the following aggregate then has to
     # exchange (its map side is already combined, so that exchange is small)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # switched off for joins of bucketed tables only (sinks/bucketed.py)
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # GBK encoded CSV exports
     "spark.sql.legacy.javaCharsets": "true",
 }
