@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.functions import names
 from sensorloom.operators import risk
-from sensorloom.operators.report import summary
+from sensorloom.operators.report import observe_results, summary
 from sensorloom.sinks.files import save_results
 from sensorloom.sources.files import read_csv_series
 
@@ -118,20 +118,29 @@ def job_status(spark: SparkSession, config: dict, results: dict[str, DataFrame])
     return spark.createDataFrame(rows, "section string, enabled boolean, done boolean")
 
 
-def run_risk_job(spark: SparkSession, config: dict, output: str, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Compute, save each table and the summary; returns the tables as read
-    back, so that the summary does not compute them again."""
-    results = risk_features(config, csv_loader(spark), keys)
+def store_results(spark: SparkSession, results: dict[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """Each table written once, its summary metrics observed on the way; the tables as read back, and the summary.
+
+    A table that cannot be computed is logged and left out."""
     stored: dict[str, DataFrame] = {}
+    observed = {}
     for name, df in results.items():
-        path = f"{output}/tables/{name}"
+        path = f"{folder}/{name}"
         try:
-            df.write.mode("overwrite").parquet(path)
-            stored[name] = spark.read.parquet(path)
+            watched, watch = observe_results(df)
+            watched.write.mode("overwrite").parquet(path)
+            stored[name], observed[name] = spark.read.schema(df.schema).parquet(path), watch
         except Exception:
             logger.exception("section %s failed and is left out", name)
+    return stored, summary(stored, observed=observed) if stored else None
+
+
+def run_risk_job(spark: SparkSession, config: dict, output: str, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Compute, save each table and the summary; returns the tables as read
+    back, so that nothing is computed twice."""
+    stored, lines = store_results(spark, risk_features(config, csv_loader(spark), keys), f"{output}/tables")
     save_results(stored, output)
     job_status(spark, config, stored).write.mode("overwrite").option("header", "true").csv(f"{output}/status")
     if stored:
-        summary(stored).write.mode("overwrite").option("header", "true").csv(f"{output}/summary_report")
+        lines.write.mode("overwrite").option("header", "true").csv(f"{output}/summary_report")
     return stored
