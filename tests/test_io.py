@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows_of
@@ -11,6 +12,7 @@ from sensorloom.functions import names
 from sensorloom.operators import cleaning, reshape
 from sensorloom.plans import ingest
 from sensorloom.schemas import TABLES
+from sensorloom.session import configure
 from sensorloom.sinks import facts, files as file_sinks, tables as table_sinks
 from sensorloom.sources import files, json_records, points, tables
 
@@ -247,3 +249,48 @@ def test_skipped_sheets_are_counted(spark, tmp_path):
     left = {(r["sheet"], r["reason"].split()[0]): r["rows"] for r in ingest.skipped_rows(sheets).collect()}
     assert left == {("2019", "sheet"): 1, ("说明", "sheet"): 1, ("2023", "file"): 1}
     assert ingest.skipped_rows(sheets, (2024, None)).agg(F.sum("rows")).first()[0] == 5
+
+
+def test_tables_by_device_join_without_exchange(spark, readings, readings_pdf):
+    from sensorloom.sinks import bucketed
+
+    left, right = "by_device_left", "by_device_right"
+    rows = readings.select("device_id", "time", "humidity")
+    assert bucketed.store_by_device(rows.filter("device_id < 'C'"), left, rows_per_bucket=300) == 4
+    assert bucketed.store_by_device(rows.filter("device_id >= 'C'").select("time", "humidity", "device_id"), left, buckets=9) == 4
+    bucketed.store_by_device(readings.select("device_id", "time", "temperature"), right, buckets=4)
+    joined = bucketed.join_stored(spark.table(left), spark.table(right))
+    bucketed.join_by_buckets(spark)
+    out = bucketed.daily(joined, {"n": F.count(F.lit(1)), "humidity": F.avg("humidity"), "temperature": F.max("temperature")})
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    configure(spark)
+    got = out.toPandas().set_index(["device_id", "time"]).sort_index()
+    want = readings_pdf.groupby(["device_id", readings_pdf.time.dt.floor("D")]).agg(n=("time", "size"), humidity=("humidity", "mean"), temperature=("temperature", "max"))
+    assert (got.index == want.index).all() and (got.n == want.n).all() and np.allclose(got.temperature, want.temperature)
+    # an unplanned table, rows without time or device, no rows
+    odd = spark.createDataFrame([(None, None, 1.0), ("D", None, 2.0)], "device_id string, time timestamp_ntz, humidity double")
+    bucketed.store_by_device(odd, left)
+    bucketed.store_by_device(odd.limit(0), left)
+    assert spark.table(left).count() == len(readings_pdf) + 2
+    assert bucketed.join_stored(spark.table(left), spark.table(right)).count() == len(readings_pdf)
+    assert bucketed.store_by_device(odd.limit(0), "by_device_empty") == 1 and spark.table("by_device_empty").count() == 0
+    with pytest.raises(ValueError):
+        bucketed.store_by_device(odd.withColumn(bucketed.DAY, F.lit(1)), left)
+
+
+def test_observed_summary_equals_the_computed_one(spark, tmp_path):
+    from sensorloom.operators.report import summary
+    from sensorloom.plans.risk_job import store_results
+
+    schema = "time timestamp_ntz, VP_in double, n int, diffusion_direction string, `odd.name` double"
+    some = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) as time, if(id % 7 = 0, double('nan'), id / 3) as VP_in, "
+                     "cast(id as int) as n, if(id % 4 = 0, '向内', if(id % 4 = 1, null, '向外')) as diffusion_direction, cast(null as double) as `odd.name` from range(50)")
+    results = {"some": some, "single": some.limit(1), "empty": spark.createDataFrame([], schema)}
+    stored, lines = store_results(spark, results, str(tmp_path))
+    got = {tuple(x)[:4]: x["value"] for x in lines.collect()}
+    assert got == {tuple(x)[:4]: x["value"] for x in summary(stored).collect()}
+    assert got["some", "extent", "", "n_rows"] == "50" and got["empty", "extent", "", "n_rows"] == "0" and got["empty", "describe", "n", "mean"] is None
+    assert got["some", "distribution", "向内", "n_rows"] == "13" and ("some", "distribution", "平衡", "n_rows") not in got
+    assert got["some", "describe", "VP_in", "count"] == "42" and got["some", "describe", "n", "median"] == "24.5"
+    assert float(got["some", "kpi", "", "inward_share"]) == 0.26 and got["empty", "kpi", "", "inward_share"] is None
+    assert got["single", "describe", "n", "q1"] == "0.0" and got["some", "describe", "odd.name", "mean"] is None

@@ -33,7 +33,7 @@ from sensorloom.operators import (
 )
 from sensorloom.plans import device_features, fetch, ingest, interpolation, metrics, requests, risk_job
 from sensorloom.session import configure, ensure_checkpoint_dir
-from sensorloom.sinks import facts, files as file_sinks, tables as table_sinks
+from sensorloom.sinks import bucketed, facts, files as file_sinks, tables as table_sinks
 from sensorloom.sources import files as file_sources
 from sensorloom.sources import json_records, points, tables
 
@@ -107,13 +107,13 @@ class Inputs:
 
     @property
     def inside(self) -> DataFrame:
-        part = self.readings.filter(F.col("device_id") == "click")
-        return stats.resample(part.select("time", "temperature", "humidity"), "h", fill=False)
+        return stats.resample(self.readings.select("time", "temperature", "humidity"), "h", fill=False)
 
     @property
     def outside(self) -> DataFrame:
-        part = self.readings.filter(F.col("device_id") == "view")
-        part = part.select("time", (F.col("humidity") / 10).alias("avg_vapor_pressure"))
+        """All readings again, as of a station that reports five hours later."""
+        part = self.readings.select(
+            (F.col("time") + F.expr("interval 5 hours")).alias("time"), (F.col("humidity") / 10).alias("avg_vapor_pressure"))
         return stats.resample(part, "h", fill=False)
 
     @property
@@ -158,10 +158,10 @@ ORDERS = """o as (
   select o_orderdate as time, o_orderpriority as device_id, o_totalprice as price from orders)"""
 INOUT = READINGS + """, inside as (
   select date_trunc('hour', time) as time, avg(temperature) as temperature, avg(humidity) as humidity
-  from readings where device_id = 'click' group by 1),
+  from readings group by 1),
 outside as (
-  select date_trunc('hour', time) as time, avg(humidity / 10) as avg_vapor_pressure
-  from readings where device_id = 'view' group by 1)"""
+  select date_trunc('hour', time + interval 5 hours) as time, avg(humidity / 10) as avg_vapor_pressure
+  from readings group by 1)"""
 HOURLY = READINGS + """, hourly as (
   select device_id, date_trunc('hour', time) as time, avg(humidity) as mean from readings group by 1, 2)"""
 
@@ -1026,12 +1026,12 @@ def _(d):
 
 
 @query("merge_inner", f"""
-with {INOUT}, e as (select {HOUR} as time, max(humidity) as top from readings where device_id = 'error' group by 1)
+with {INOUT}, e as (select {HOUR} as time, max(humidity) as top from readings group by 1)
 select i.time, {r('i.temperature')} as temperature, {r('i.humidity')} as humidity, {r('o.avg_vapor_pressure')} as avg_vapor_pressure, {r('e.top')} as top
 from inside i join outside o on i.time = o.time join e on e.time = i.time""")
 def _(d):
-    errors = d.readings.filter(F.col("device_id") == "error").select("time", F.col("humidity").alias("top"))
-    return merge.merge_on_time([d.inside, d.outside, stats.resample(errors, "h", {"top": "max"}, fill=False)], "time", "inner")
+    tops = d.readings.select("time", F.col("humidity").alias("top"))
+    return merge.merge_on_time([d.inside, d.outside, stats.resample(tops, "h", {"top": "max"}, fill=False)], "time", "inner")
 
 
 @query("intersect_times", f"""
@@ -1325,13 +1325,40 @@ def _(d):
     return _risk(d)["correlation_analysis"].drop("p_value")
 
 
+def summary_sql(feature: str, source: str, columns: str, values, kpis: dict[str, str]) -> str:
+    """All lines of the summary of one result table."""
+    head = f"select '{feature}' as feature"
+    lines = [f"{head}, 'columns' as section, '' as item, 'columns' as metric, cast(null as double) as number, '{columns}' as text",
+             f"{head}, 'extent', '', 'n_rows', count(*), null from {source}"]
+    lines += [f"{head}, 'extent', '', '{m}_time', null, cast({f}(time) as varchar) from {source}" for m, f in (("first", "min"), ("last", "max"))]
+    for c in values:
+        spread = {"count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})", "max": f"max({c})",
+                  "q1": f"quantile_cont({c}, 0.25)", "median": f"median({c})", "q3": f"quantile_cont({c}, 0.75)"}
+        lines += [f"{head}, 'describe', '{c}', '{m}', {r(e)}, null from {source}" for m, e in spread.items()]
+    lines += [f"{head}, 'kpi', '', '{m}', {r(e)}, null from {source}" for m, e in kpis.items()]
+    return " union all ".join(lines)
+
+
 @query("risk_job_summary", f"""
-with {GRADIENT}, s as (select dir as item, count(*) as n_rows from gr where dir is not null group by 1)
-select 'vapor_pressure_gradient' as feature, 'distribution' as section, item, 'n_rows' as metric, cast(n_rows as varchar) as value from s
-union all select 'vapor_pressure_gradient', 'extent', '', 'n_rows', cast(count(*) as varchar) from gr""")
-def _(d):
-    out = report.summary({"vapor_pressure_gradient": _risk(d)["vapor_pressure_gradient"]})
-    return out.filter(F.col("metric") == "n_rows")
+with {EXPOSURE}{rain_sql(3_600_000_000, "time_bucket(interval 6 hours, time)")}{GRADIENT[len(READINGS):]},
+named as (select time, vi as VP_in, vo as VP_out, dv as delta_VP, dir from gr), shares as (select dir, count(*) as n from gr where dir is not null group by 1)
+{summary_sql("vapor_pressure_gradient", "named", "time, VP_in, VP_out, delta_VP, diffusion_direction", ["VP_in", "VP_out", "delta_VP"],
+             {"inward_share": "count(*) filter (dir = '向内') / count(*)"})}
+union all select 'vapor_pressure_gradient', 'distribution', dir, 'n_rows', n, null from shares
+union all select 'vapor_pressure_gradient', 'distribution', dir, 'share', {r("n / (select count(*) from gr)")}, null from shares
+union all {summary_sql("high_humidity_exposure", "exposure", "device_id, time, total_exposure_hours, max_continuous_hours, exposure_episodes, exposure_ratio",
+                       ["total_exposure_hours", "max_continuous_hours", "exposure_episodes", "exposure_ratio"],
+                       {"mean_exposure_hours": "avg(total_exposure_hours)", "max_exposure_hours": "max(total_exposure_hours)",
+                        "high_risk_periods": "count(*) filter (exposure_ratio > 0.5)"})}
+union all {summary_sql("rainfall_intensity", "rainfall", "device_id, time, rainfall_peak, rainfall_mean, rainfall_total, rainfall_hours", RAIN_COLS,
+                       {"total_rainfall": "sum(rainfall_total)", "mean_rainfall": "avg(rainfall_total)", "max_peak": "max(rainfall_peak)"})}""")
+def _(d):
+    results = _risk(d)
+    del results["correlation_analysis"]  # checked by risk_job_correlation
+    _, lines = risk_job.store_results(d.spark, results, d.folder("risk-job"))
+    number = ~F.col("metric").isin("columns", "first_time", "last_time")
+    return lines.select("feature", "section", "item", "metric", F.when(number, F.col("value").cast("double")).alias("number"),
+                        F.when(~number, F.col("value")).alias("text"))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -1485,6 +1512,18 @@ def _(d):
     return part.groupBy("device_id", F.date_trunc("day", "time").alias("time")).agg(F.count(F.lit(1)).alias("n"), F.sum("humidity").alias("humidity"))
 
 
+@query("stored_by_device", f"""
+with {READINGS}, j as (select a.device_id, a.time, a.humidity, b.temperature from readings a join readings b on a.device_id = b.device_id and a.time = b.time)
+select device_id, {DAY} as time, count(*) as n, {r('avg(humidity)')} as humidity, {r('max(temperature)')} as temperature from j group by 1, 2""")
+def _(d):
+    left, right = (f"by_device_{uuid.uuid4().hex}" for _ in range(2))
+    n = bucketed.store_by_device(d.readings.select("device_id", "time", "humidity"), left)
+    bucketed.store_by_device(d.readings.select("device_id", "time", "temperature"), right, buckets=n)
+    bucketed.join_by_buckets(d.spark)
+    both = bucketed.join_stored(d.spark.table(left), d.spark.table(right))
+    return bucketed.daily(both, {"n": F.count(F.lit(1)), "humidity": F.avg("humidity"), "temperature": F.max("temperature")})
+
+
 @query("csv_folder_union", f"""
 with {ORDERS} select device_id, count(*) as n, {r('sum(case when year(time) % 2 = 0 then price end)')} as price,
   count(case when year(time) % 2 = 1 then 1 end) as labelled from o group by 1""")
