@@ -7,9 +7,9 @@ each sum is a correlation of two arrays at that lag, and all lags come from one
 product of transforms.  Two sums share a transform as real and imaginary part.
 
 Series of ordinary length are transformed in one task each.  Longer ones go
-through the split transform of the spectrum, whose groups hold about the square
-root of the length; a reading is placed eight times, whatever the number of
-lags.  Lags that only the first and last readings reach have few pairs, where
+through split transforms, whose groups are bounded whatever the length of the
+series; a reading is placed once, and what joins a series by its key is one
+row.  Lags that only the first and last readings reach have few pairs, where
 rounding of a transform would show; they are summed directly.
 """
 
@@ -25,11 +25,12 @@ from pyspark.sql import types as T
 
 from sensorloom.functions import names
 from sensorloom.operators.sequence import lag_sums
-from sensorloom.operators.slices import number, row_index, series_rows, split_hot
-from sensorloom.operators.spectral import fft_passes
+from sensorloom.operators.slices import number, row_index, small_side
+from sensorloom.operators.transforms import partitions_for, transform_products, with_sizes
 
 SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 ONE_TASK_READINGS = 1_048_576
+PARTITION_READINGS = 262_144  # of series that take one task each
 DIRECT = 256  # the last lags, summed pair by pair
 
 
@@ -58,7 +59,7 @@ def _with_keys(sums: pd.DataFrame, pdf: pd.DataFrame, keys: list[str]) -> pd.Dat
     return sums
 
 
-def _short(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _short(rows: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values("_i")["_v"].to_numpy(float)
         direct = min(DIRECT, len(x))
@@ -67,39 +68,26 @@ def _short(rows: DataFrame, keys: list[str]) -> DataFrame:
         last = lag_sums(x[:direct], x[len(x) - direct:], len(x) - direct, len(x) - 1)
         return _with_keys(pd.concat([sums, last[last["lag"] > len(x) - direct]], ignore_index=True), pdf, keys)
 
-    return rows.groupBy(*keys).applyInPandas(run, _schema(rows, keys))
+    return rows.repartition(partitions, *keys).groupBy(*keys).applyInPandas(run, _schema(rows, keys))
 
 
-def _long(rows: DataFrame, keys: list[str]) -> DataFrame:
-    length = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_N"))
-    bits = F.ceil(F.log2((F.col("_N") * 2).cast("double")))
-    length = length.withColumn("_M", F.pow(F.lit(2.0), bits).cast("long")).withColumn("_R", F.pow(F.lit(2.0), F.ceil(bits / 2)).cast("long"))
-    points = rows.join(length, keys)
+def _long(rows: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     known = ~F.isnan("_v")
-    v, m, zero = F.when(known, F.col("_v")).otherwise(0.0), F.when(known, 1.0).otherwise(0.0), F.lit(0.0)
-    early = F.pmod(F.col("_M") - F.col("_i"), F.col("_M"))  # mirrored, so that a product of transforms correlates
-
-    def place(part: int, pos, first, second):
-        return F.struct(F.lit(part).alias("_part"), pos.alias("_pos"), *[c.alias(a) for a, c in zip(("re0", "im0", "re1", "im1"), (*first, *second))])
-
-    nothing, value, mask = (zero, zero), (v, v * v), (m, zero)
-    entries = []
-    for part, (a, b) in enumerate(((value, mask), (mask, value), (mask, mask), ((v, zero), (v, zero)))):
-        entries += [place(part, early, a, nothing), place(part, F.col("_i"), nothing, b)]
-    placed = points.select(*keys, "_N", "_M", "_R", F.explode(F.array(*entries)).alias("_e")).select(*keys, "_N", "_M", "_R", "_e.*")
-    placed = placed.groupBy(*keys, "_part", "_N", "_M", "_R", "_pos").agg(*[F.sum(c).alias(c) for c in ("re0", "im0", "re1", "im1")])
-    both = [*keys, "_part"]
-    sums = fft_passes(fft_passes(placed, both, 2), both, 1)
-    # the second pass runs on conjugates, so the imaginary part comes back with its sign turned
-    sums = sums.filter((F.col("_pos") >= 1) & (F.col("_pos") <= F.col("_N") - DIRECT))
+    points = rows.withColumn("_pos", F.col("_i")).withColumn("_known", F.when(known, 1.0).otherwise(0.0))
+
+    def load(v: np.ndarray, mask: np.ndarray) -> list[np.ndarray]:
+        return [v, v * v, mask]
 
-    def of(part: int, column: str):
-        return F.max(F.when(F.col("_part") == part, F.col(column)))
+    def multiply(v: np.ndarray, q: np.ndarray, m: np.ndarray) -> list[np.ndarray]:
+        # two real sums share a transform
+        return [np.conj(v) * m + 1j * np.conj(q) * m, np.conj(m) * v + 1j * np.conj(m) * q, np.conj(m) * m + 1j * np.conj(v) * v]
 
-    wide = sums.groupBy(*keys, F.col("_pos").alias("lag")).agg(
-        F.round(of(2, "re0")).alias("n"), of(0, "re0").alias("sx"), of(1, "re0").alias("sy"),
-        (-of(0, "im0")).alias("sxx"), (-of(1, "im0")).alias("syy"), of(3, "re0").alias("sxy"))
-    ends = points.filter((F.col("_i") < DIRECT) | (F.col("_i") >= F.col("_N") - DIRECT))
+    sums = transform_products(points.withColumn("_v", F.when(known, F.col("_v")).otherwise(0.0)), keys, ["_v", "_known"], load, multiply, 3, partitions)
+    sums = sums.filter((F.col("_pos") >= 1) & (F.col("_pos") <= F.col("_N") - DIRECT))
+    wide = sums.select(
+        *keys, F.col("_pos").alias("lag"), F.round("re2").alias("n"), F.col("re0").alias("sx"), F.col("re1").alias("sy"),
+        F.col("im0").alias("sxx"), F.col("im1").alias("syy"), F.col("im2").alias("sxy"))
+    ends = rows.filter((F.col("_i") < DIRECT) | (F.col("_i") >= F.col("_N") - DIRECT))
 
     def last(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, n = pdf.sort_values("_i"), int(pdf["_N"].iloc[0])
@@ -112,20 +100,27 @@ def _long(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def all_lag_sums(
-    df: DataFrame, value: str, keys: Sequence[str] = ("device_id",), time: str = "time", tie: Sequence[str] = (),
-    one_task_readings: int = ONE_TASK_READINGS,
+    df: DataFrame, value: str, series: DataFrame, n_series: int, keys: Sequence[str] = ("device_id",), time: str = "time",
+    tie: Sequence[str] = (), one_task_readings: int = ONE_TASK_READINGS,
 ) -> DataFrame:
     """(keys, lag, n, sx, sy, sxx, syy, sxy) at all lags from 1 to the length of each series less one.
 
-    Values are centred and scaled by the deviation of their series, which a
-    correlation does not notice."""
+    ``series`` has one row for each of ``n_series`` series, with its ``_len``, ``_mean`` and ``_sd``.  Values are
+    centred and scaled by the deviation of their series, which a correlation does not notice."""
     keys = list(keys)
     by = keys or ["_all"]
     rows = row_index(df, keys, time, "_i", tie).select(*keys, "_i", number(names.col(value)).alias("_v"))
-    rows = rows if keys else rows.withColumn("_all", F.lit(1))
-    scale = rows.groupBy(*by).agg(F.avg("_v").alias("_mean"), F.stddev_pop("_v").alias("_sd"))
+    if not keys:
+        rows, series = rows.withColumn("_all", F.lit(1)), series.withColumn("_all", F.lit(1))
+    series = with_sizes(series.filter(F.col("_len") > 0).withColumnRenamed("_len", "_N"))
+    hot = F.col("_N") > one_task_readings
+    # two numbers: readings in series of ordinary length, points of the transforms of the others
+    few, many = series.agg(F.sum(F.when(~hot, F.col("_N"))), F.sum(F.when(hot, F.col("_M")))).first()
     unit = F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(1.0)
-    rows = rows.join(scale, by).select(*by, "_i", F.coalesce((F.col("_v") - F.col("_mean")) / unit, F.lit(float("nan"))).alias("_v"))
-    short, long = split_hot(rows, by, one_task_readings)
-    out = _short(short, by).unionByName(_long(long, by))
+    rows = rows.join(small_side(series, n_series), by).select(
+        *by, "_N", "_M", "_R", "_i", F.coalesce((F.col("_v") - F.col("_mean")) / unit, F.lit(float("nan"))).alias("_v"))
+    out = _short(rows.filter(~hot).select(*by, "_i", "_v"), by, -(-(few or 1) // PARTITION_READINGS))
+    if many:
+        long = _long(rows.filter(hot), by, partitions_for(many))
+        out = out.unionByName(long) if few else long
     return out if keys else out.drop("_all")

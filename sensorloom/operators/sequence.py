@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions import names
-from sensorloom.operators.slices import number, previous_values, row_index, series_rows
+from sensorloom.operators.slices import number, previous_values, row_index, series_rows, small_side
+from sensorloom.session import stored
 
 
 def stable_periods(
@@ -193,15 +194,18 @@ def autocorrelation(
     """
     keys = list(keys)
     plain = series_rows(df, keys, time)
-    center = plain.groupBy(*keys).agg(
-        F.avg(number(names.col(value))).alias("_mean"), F.count(F.lit(1)).alias("_len")
+    v = number(names.col(value))
+    center = stored(
+        plain.groupBy(*keys).agg(F.avg(v).alias("_mean"), F.stddev_pop(v).alias("_sd"), F.count(F.lit(1)).alias("_len")),
+        "series",
     )
+    n_series = center.count()
     if max_lag is None:
         from sensorloom.operators.correlogram import all_lag_sums
 
-        by_lag, noise = all_lag_sums(df, value, keys, time, tie), 1e-11
+        by_lag, noise = all_lag_sums(df, value, center, n_series, keys, time, tie), 1e-11
     else:
-        by_lag, noise = _blocked_sums(df, value, max_lag, keys, time, tie, block, center), 1e-13
+        by_lag, noise = _blocked_sums(df, value, max_lag, keys, time, tie, block, small_side(center.select(*keys, "_mean"), n_series)), 1e-13
     n = F.col("n")
     some = F.when(n > 0, n)
     vx = F.col("sxx") / some - (F.col("sx") / some) * (F.col("sx") / some)
@@ -213,7 +217,7 @@ def autocorrelation(
         *keys, "lag", F.when(~flat, cov / F.sqrt(vx * vy)).alias("autocorrelation")
     )
     undefined = acf.filter(F.col("autocorrelation").isNull()).groupBy(*keys).agg(F.min("lag").alias("_stop"))
-    kept = acf.join(undefined, keys, "left") if keys else acf.crossJoin(F.broadcast(undefined))
+    kept = acf.join(small_side(undefined, n_series), keys, "left") if keys else acf.crossJoin(F.broadcast(undefined))
     kept = kept.filter(F.col("_stop").isNull() | (F.col("lag") < F.col("_stop"))).select(
         *keys, "lag", "autocorrelation"
     )

@@ -15,6 +15,7 @@ from sensorloom.functions import names
 from sensorloom.functions.timebucket import micros
 from sensorloom.operators.sequence import detrend
 from sensorloom.operators.slices import number, series_rows, split_hot
+from sensorloom.operators.transforms import transform_products, with_sizes
 
 # Series up to this many points are transformed in one task each (32 MB).
 ONE_TASK_POINTS = 4_194_304
@@ -54,61 +55,7 @@ def _short_spectrum(rows: DataFrame, keys: list[str]) -> DataFrame:
 # --- series too long for one task -----------------------------------------
 #
 # The transform of length N becomes a convolution with a chirp, done with
-# transforms of a power-of-two length M >= 2N - 1.  Each of those is split into
-# R columns of C points and C rows of R points (R * C = M), so that no group
-# holds more than about sqrt(M) points.
-
-_META = ("_N", "_M", "_R")
-
-
-def _dense(pdf: pd.DataFrame, place: str, size: int, re: str, im: str) -> np.ndarray:
-    out = np.zeros(size, dtype=complex)
-    out[pdf[place].to_numpy()] = pdf[re].to_numpy() + 1j * pdf[im].to_numpy()
-    return out
-
-
-def fft_passes(df: DataFrame, keys: list[str], arrays: int) -> DataFrame:
-    """Forward transform of the sparse arrays ``re0, im0, ...`` at ``_pos``.
-
-    With two arrays the product of both transforms is returned, conjugated and
-    scaled, ready for the inverse; with one array its transform.
-    """
-    parts = [f"{p}{a}" for a in range(arrays) for p in ("re", "im")]
-    base = [df.schema[k] for k in keys] + [T.StructField(m, T.LongType()) for m in _META]
-    longs = [T.StructField(c, T.LongType()) for c in ("_outer", "_inner")]
-    doubles = [T.StructField(p, T.DoubleType()) for p in parts]
-
-    def head(pdf: pd.DataFrame, size: int) -> dict:
-        return {c: np.repeat(pdf[c].iloc[:1].to_numpy(), size) for c in (*keys, *_META)}
-
-    def columns(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, r = int(pdf["_M"].iloc[0]), int(pdf["_R"].iloc[0])
-        n2 = int(pdf["_inner"].iloc[0])
-        k1 = np.arange(r)
-        twiddle = np.exp(-2j * math.pi * ((n2 * k1) % m) / m)
-        out = head(pdf, r) | {"_outer": k1, "_inner": np.full(r, n2)}
-        for a in range(arrays):
-            z = np.fft.fft(_dense(pdf, "_outer", r, f"re{a}", f"im{a}")) * twiddle
-            out |= {f"re{a}": z.real, f"im{a}": z.imag}
-        return pd.DataFrame(out)
-
-    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, r = int(pdf["_M"].iloc[0]), int(pdf["_R"].iloc[0])
-        c = m // r
-        z = [np.fft.fft(_dense(pdf, "_inner", c, f"re{a}", f"im{a}")) for a in range(arrays)]
-        result = np.conj(z[0] * z[1]) / m if arrays == 2 else z[0]
-        pos = int(pdf["_outer"].iloc[0]) + r * np.arange(c)
-        return pd.DataFrame(head(pdf, c) | {"_pos": pos, "re0": result.real, "im0": result.imag})
-
-    width = F.floor(F.col("_M") / F.col("_R"))
-    split = df.withColumn("_outer", F.floor(F.col("_pos") / width)).withColumn(
-        "_inner", F.pmod(F.col("_pos"), width)
-    ).select(*keys, *_META, "_outer", "_inner", *parts)
-    first = split.groupBy(*keys, "_inner").applyInPandas(columns, T.StructType(base + longs + doubles))
-    out_schema = T.StructType(
-        base + [T.StructField("_pos", T.LongType()), T.StructField("re0", T.DoubleType()), T.StructField("im0", T.DoubleType())]
-    )
-    return first.groupBy(*keys, "_outer").applyInPandas(rows, out_schema)
+# split transforms of a power-of-two length M >= 2N.
 
 
 def _chirp_phase(n: Column, length: Column) -> Column:
@@ -120,16 +67,13 @@ def _chirp_phase(n: Column, length: Column) -> Column:
 
 def _long_spectrum(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
     flat = detrend(rows, "_v", keys, time, "_x").withColumnRenamed("row_index", "_i")
-    bits = F.ceil(F.log2((F.col("_N") * 2 - 1).cast("double")))
     meta = flat.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_N"),
         (F.max(F.when(F.col("_i") == 1, F.col("_us"))) - F.max(F.when(F.col("_i") == 0, F.col("_us")))).alias("_step"),
     )
-    meta = meta.withColumn("_M", F.expr("1L").cast("long") * F.pow(F.lit(2.0), bits).cast("long"))
-    meta = meta.withColumn("_R", F.pow(F.lit(2.0), F.ceil(bits / 2)).cast("long"))
-    points = flat.join(meta, keys)
+    points = flat.join(with_sizes(meta), keys)
     phase = _chirp_phase(F.col("_i"), F.col("_N"))
-    points = points.select(*keys, *_META, "_i", "_x", F.cos(phase).alias("_c"), F.sin(phase).alias("_s"))
+    points = points.select(*keys, "_N", "_M", "_R", "_i", "_x", F.cos(phase).alias("_c"), F.sin(phase).alias("_s"))
     zero = F.lit(0.0)
     here = F.struct(
         F.col("_i").alias("_pos"),
@@ -141,10 +85,17 @@ def _long_spectrum(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
         F.col("_c").alias("re1"), F.col("_s").alias("im1"),
     )
     placed = points.select(
-        *keys, *_META,
+        *keys, "_N", "_M", "_R",
         F.explode(F.when(F.col("_i") == 0, F.array(here)).otherwise(F.array(here, mirrored))).alias("_e"),
-    ).select(*keys, *_META, "_e.*")
-    convolved = fft_passes(fft_passes(placed, keys, 2), keys, 1)
+    ).select(*keys, "_N", "_M", "_R", "_e.*")
+
+    def load(*parts: np.ndarray) -> list[np.ndarray]:
+        return [parts[0] + 1j * parts[1], parts[2] + 1j * parts[3]]
+
+    def multiply(signal: np.ndarray, chirp: np.ndarray) -> list[np.ndarray]:
+        return [signal * chirp]
+
+    convolved = transform_products(placed, keys, ["re0", "im0", "re1", "im1"], load, multiply, 1)
     wanted = convolved.filter(F.col("_pos") < F.floor(F.col("_N") / 2))
     k, n = F.col("_pos"), F.col("_N")
     return wanted.join(meta.select(*keys, "_step"), keys).select(

@@ -1,10 +1,12 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from sensorloom.operators import correlogram, forecast, interpolate, sequence, slices, spectral
+from sensorloom.operators import correlogram, forecast, interpolate, sequence, slices, spectral, transforms
 
 MINUTE = 60_000_000
 
@@ -233,3 +235,38 @@ def test_autocorrelation_at_all_lags(spark, monkeypatch, one_task):
         assert part["lag"].tolist() == list(range(len(want))), name
         np.testing.assert_allclose(part["autocorrelation"], want, atol=1e-8)
     assert sequence.autocorrelation(df.limit(0), "v").count() == 0
+
+
+def test_split_transforms_in_bundles(spark, monkeypatch):
+    """Tiles of several columns and rows; a series of a length beside a power of two, one of two readings, readings of an unknown key."""
+    monkeypatch.setattr(correlogram.all_lag_sums, "__defaults__", (("device_id",), "time", (), 1))
+    monkeypatch.setattr(correlogram, "DIRECT", 4)
+    monkeypatch.setattr(transforms, "BUNDLE", 64)
+    rng = np.random.default_rng(9)
+    series = {"long": np.cumsum(rng.normal(0, 1, 513)), "gaps": np.where(rng.random(200) < .3, np.nan, rng.normal(0, 1, 200)), "two": np.array([1.0, 2.0]), None: np.arange(9.0)}
+    rows = [(k, pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=i), float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["device_id", "time", "v"]))
+    got = rows_of(sequence.autocorrelation(df, "v"), "device_id", "lag")
+    assert set(got["device_id"]) == {"long", "gaps", "two"}
+    for name, part in got.groupby("device_id"):
+        want = _pairwise(series[name])
+        assert part["lag"].tolist() == list(range(len(want))), name
+        np.testing.assert_allclose(part["autocorrelation"], want, atol=1e-8)
+    whole = sequence.autocorrelation(df.filter("device_id = 'long'").drop("device_id"), "v", keys=[])
+    np.testing.assert_allclose(rows_of(whole, "lag")["autocorrelation"], _pairwise(series["long"]), atol=1e-8)
+
+
+@pytest.mark.parametrize("max_lag", [None, 5])
+def test_autocorrelation_sorts_no_whole_series(spark, monkeypatch, max_lag):
+    """Rows of a long series meet what is known of the series without being sorted or dealt by its key; no reading is copied."""
+    monkeypatch.setattr(correlogram.all_lag_sums, "__defaults__", (("device_id",), "time", (), 3))
+    df = spark.range(50).select(F.lit("a").alias("device_id"), F.timestamp_seconds(F.col("id") * 60).alias("time"), F.sin("id").alias("v"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with tables whose size is not known
+    try:
+        plan = sequence.autocorrelation(df, "v", max_lag)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin [device_id" in plan
+    assert not re.findall(r"SortMergeJoin \[device_id#\w+\],", plan)
+    assert max_lag or "Generate" not in plan
