@@ -29,6 +29,8 @@ from sensorloom.llm.shingles import set_name, shingle_sets
 
 BATCH = 400
 CHUNK = 1 << 16  # counters of one row of the sketch
+HELD = 1 << 23  # tokens that a task counts at a time
+SUMS = 1 << 13  # groups of the first level of sums, about
 RARE = 16  # longest list of a token that is indexed alone
 BLOCK = 1000  # documents of one block of a long list
 MAX_SHARED = 8_000_000  # tokens sent to every task: 64 MB; above, they are joined
@@ -63,61 +65,113 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def set_table(docs: DataFrame, bits: int) -> DataFrame:
     """Rows with kind 0: doc_id, row_key, n, h1, h2 (name of the set) of each document.
-    Rows with kind 1: a chunk of each task's counts of tokens by their first ``bits`` bits."""
+    Rows with kind 1: a chunk of a task's counts of tokens by their first ``bits`` bits, those above zero."""
     schema = "kind int, doc_id long, row_key long, n long, h1 long, h2 long, chunk int, task int, counts binary"
     types = [pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bucket, times = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.searchsorted(bucket, np.arange(0, (1 << bits) + 1, CHUNK))
+        full, task = np.flatnonzero(np.diff(edges)), TaskContext.get().partitionId()
+        for at in range(0, len(full), 64):
+            chunks = full[at:at + 64].tolist()
+            k = len(chunks)
+            packed = [_counts(bucket[edges[c]:edges[c + 1]] % CHUNK, times[edges[c]:edges[c + 1]]) for c in chunks]
+            columns = [[1] * k, *[[None] * k] * 5, chunks, [task] * k, packed]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int32)
+        held: list[np.ndarray] = []
         for ids, keys, sets in _pieces(batches):
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            np.add.at(counts, (every >> np.uint64(64 - bits)).astype(np.int64), 1)
+            held += [(np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.uint32)] if sets else []
             named = [set_name(s) for s in sets]
             k = len(ids)
             columns = [[0] * k, ids, keys, [len(s) for s in sets], [h for h, _ in named], [h for _, h in named], *[[None] * k] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-        task = TaskContext.get().partitionId()
-        for chunk, at in enumerate(range(0, len(counts), CHUNK)):
-            part = counts[at:at + CHUNK]
-            if part.any():
-                row = [1, None, None, None, None, None, chunk, task, zlib.compress(part.astype("<u4").tobytes(), 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+            if sum(len(h) for h in held) >= HELD:
+                yield from counted(held)
+                held = []
+        if held:
+            yield from counted(held)
 
     return stored(keyed(docs).mapInArrow(run, schema), "sets")
 
 
+def _counts(at: np.ndarray, times: np.ndarray) -> bytes:
+    """Counts above zero of a chunk: the steps between their places, then the counts."""
+    steps = np.diff(at.astype(np.int64), prepend=0).astype("<u2")
+    return zlib.compress(steps.tobytes() + np.minimum(times, 2**32 - 1).astype("<u4").tobytes(), 1)
+
+
+def _summed(rows: pd.Series) -> np.ndarray:
+    """The CHUNK sums of what ``_counts`` has packed."""
+    total = np.zeros(CHUNK, np.int64)
+    for packed in rows:
+        data = zlib.decompress(packed)
+        k = len(data) // 6
+        total[np.cumsum(np.frombuffer(data, "<u2", k), dtype=np.int64)] += np.frombuffer(data, "<u4", k, 2 * k)
+    return total
+
+
+def _gathered(chunks: DataFrame, bits: int) -> np.ndarray:
+    """2**bits bits, packed, of rows (chunk, its bits packed); chunks without a row are zero."""
+    out = np.zeros(1 << bits >> 3, np.uint8)
+    for chunk, packed in chunks.collect():
+        out[chunk * CHUNK >> 3:(chunk + 1) * CHUNK >> 3] = np.frombuffer(packed, np.uint8)
+    return out
+
+
 def frequent_buckets(sets: DataFrame, bits: int) -> np.ndarray:
     """For each bucket of tokens: is its count over all documents high?
 
-    Counts are summed in two levels (64 groups of tasks, then all), so that no
-    group holds more than a small share of the tasks.  The result has 2**bits
+    Counts are summed in two levels (up to 64 groups of tasks, then all), so that
+    no group holds more than a small share of the tasks.  The result has 2**bits
     bits, at most 8 MB, whatever the corpus."""
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), "<u4").astype(np.int64) for c in rows["counts"])
-        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "counts": [zlib.compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes(), 1)]})
+        total = _summed(rows["counts"])
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "counts": [_counts(at, total[at])]})
 
-    parts = sets.where("kind = 1").select("chunk", F.pmod("task", F.lit(64)).alias("part"), "counts") \
+    groups = int(np.clip(SUMS * CHUNK >> bits, 4, 64))
+    parts = sets.where("kind = 1").select("chunk", F.pmod("task", F.lit(groups)).alias("part"), "counts") \
         .groupBy("chunk", "part").applyInPandas(add, "chunk int, counts binary")
     total = sets.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     limit = max(32, 3 * total / (1 << bits) + 20)
 
     def high(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        summed = np.frombuffer(zlib.decompress(add((), rows)["counts"].iloc[0]), "<u4")
-        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "high": [np.packbits(summed > limit).tobytes()]})
+        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "high": [np.packbits(_summed(rows["counts"]) > limit).tobytes()]})
+
+    return _gathered(parts.groupBy("chunk").applyInPandas(high, "chunk int, high binary"), bits)
 
-    out = np.zeros(1 << bits, bool)
-    for row in parts.groupBy("chunk").applyInPandas(high, "chunk int, high binary").collect():
-        part = np.unpackbits(np.frombuffer(row["high"], np.uint8)).astype(bool)
-        out[row["chunk"] * CHUNK:row["chunk"] * CHUNK + len(part)] = part[:len(out)]
-    return np.packbits(out)
+
+def marks(hashes: DataFrame) -> tuple[np.ndarray, int]:
+    """(packed bits, number k of leading bits): which values of the first k bits a column of hashes has.
+
+    At least four bits for each row up to 32 million rows, and 16 MB at most,
+    whatever the rows: packed on the executors, chunk by chunk."""
+    bits = int(np.clip(np.ceil(np.log2(max(1, hashes.count()) * 4)), 16, 27))
+    first = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - bits)
+    rows = hashes.select(F.shiftright(first, 16).cast("int").alias("chunk"), first.bitwiseAND(F.lit(CHUNK - 1)).cast("int").alias("at"))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        bit = np.zeros(CHUNK, bool)
+        bit[rows["at"].to_numpy()] = True
+        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "marks": [np.packbits(bit).tobytes()]})
+
+    return _gathered(rows.groupBy("chunk").applyInPandas(pack, "chunk int, marks binary"), bits), bits
+
+
+def _marked(tokens: np.ndarray, packed: np.ndarray, bits: int) -> np.ndarray:
+    """For each unsigned hash: is the bit of its first ``bits`` bits set?"""
+    bucket = (tokens >> np.uint64(64 - bits)).astype(np.int64)
+    return ((packed[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def _prefix(tokens: np.ndarray, high: np.ndarray, bits: int) -> np.ndarray:
     """The first tokens of a sorted set in the global order: frequent buckets last, then by value."""
-    bucket = (tokens >> np.uint64(64 - bits)).astype(np.int64)
-    late = ((high[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1).astype(bool)
+    late = _marked(tokens, high, bits)
     return np.concatenate((tokens[~late], tokens[late]))[:prefix_length(len(tokens))]
 
 
@@ -138,7 +192,10 @@ def _packed(tokens: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], names=["b"])
 
     parts = [np.frombuffer(r["b"], np.int64) for r in tokens.mapInArrow(run, "b binary").collect()]
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    out = np.concatenate([np.zeros(0, np.int64), *parts])
+    del parts
+    out.sort()
+    return out
 
 
 def candidates(docs: DataFrame, high, bits: int) -> DataFrame:
@@ -146,15 +203,17 @@ def candidates(docs: DataFrame, high, bits: int) -> DataFrame:
 
     tokens: prefix tokens that other prefixes have, at least n / 10 of them.
     ``docs`` has one row per class.  The tokens of two or more prefixes are
-    sent to the tasks while they are no more than MAX_SHARED; beyond that the
-    prefixes are joined with them."""
+    sent to the tasks while they are no more than MAX_SHARED.  Beyond that, the
+    prefixes are joined with them; what is sent are marks of the tokens' first
+    bits, and of the names of the classes found, that leave out most of the
+    others before the joins.  The sets themselves never pass the driver."""
     spark = docs.sparkSession
     shared = stored(_prefix_tokens(docs, high, bits).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"), "shared")
     schema = "node long, n long, tokens array<long>, content binary"
     names = ["node", "n", "tokens", "content"]
     types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
     few = shared.count() <= MAX_SHARED
-    known = spark.sparkContext.broadcast(_packed(shared) if few else None)
+    known = spark.sparkContext.broadcast(_packed(shared) if few else marks(shared))
 
     def run(batches):
         for _, _, sets in _pieces(batches):
@@ -162,12 +221,15 @@ def candidates(docs: DataFrame, high, bits: int) -> DataFrame:
             for s in sets:
                 if not len(s):
                     continue
-                prefix = _prefix(s, high.value, bits).view(np.int64)
+                prefix = _prefix(s, high.value, bits)
                 if few:
+                    prefix = prefix.view(np.int64)
                     at = np.minimum(np.searchsorted(known.value, prefix), max(0, len(known.value) - 1))
                     prefix = prefix[known.value[at] == prefix] if len(known.value) else prefix[:0]
+                else:
+                    prefix = prefix[_marked(prefix, *known.value)].view(np.int64)
                 if len(prefix) >= extra(len(s)):
-                    for column, value in zip(rows, (set_name(s)[0], len(s), np.sort(prefix), s.astype("<u8").tobytes())):
+                    for column, value in zip(rows, (set_name(s)[0], len(s), np.sort(prefix), s.astype("<u8").tobytes() if few else None)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
 
@@ -176,7 +238,18 @@ def candidates(docs: DataFrame, high, bits: int) -> DataFrame:
         kept = found.select("node", "n", F.explode("tokens").alias("token")).join(shared, "token") \
             .groupBy("node", "n").agg(F.sort_array(F.collect_set("token")).alias("tokens")) \
             .where(F.size("tokens") >= F.greatest(F.lit(1), F.floor(F.col("n") / 10)))
-        found = found.select("node", "content").join(small(stored(kept, "kept")), "node").select(*names)
+        kept = stored(kept, "kept")
+        chosen = spark.sparkContext.broadcast(marks(kept.select("node")))
+
+        def contents(batches):
+            for _, _, sets in _pieces(batches):
+                sets = [s for s in sets if len(s)]
+                nodes = np.array([set_name(s)[0] for s in sets], np.int64)
+                keep = np.flatnonzero(_marked(nodes.view(np.uint64), *chosen.value))
+                columns = [nodes[keep], [sets[k].astype("<u8").tobytes() for k in keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [types[0], types[3]])], names=["node", "content"])
+
+        found = docs.mapInArrow(contents, "node long, content binary").join(kept, "node").select(*names)
     # rows that repeat a class leave one
     return stored(found.groupBy("node").agg(*[F.any_value(c).alias(c) for c in names[1:]]), "candidates")
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from sensorloom.llm import ngram_join as nj
@@ -118,3 +119,42 @@ def test_keep_first_with_clashing_columns(spark):
     kept = nj.keep_first(df)
     assert kept.columns == df.columns
     assert sorted(tuple(r) for r in kept.collect()) == [(1, a, 1, 2, 3, 4), (3, "x y z", 9, 9, 9, 9)]
+
+
+def test_joined_sets_stay_off_the_driver(spark, monkeypatch):
+    """Beyond MAX_SHARED no table of sets is marked for a broadcast, and what is sent has a fixed size."""
+    plans, sent = {}, []
+
+    def stored(df, name, write=nj.stored):
+        plans[name] = df._jdf.queryExecution().analyzed().toString()
+        return write(df, name)
+
+    context, send = type(spark.sparkContext), type(spark.sparkContext).broadcast
+    monkeypatch.setattr(nj, "stored", stored)
+    monkeypatch.setattr(nj, "MAX_SHARED", 0)
+    monkeypatch.setattr(nj, "MAX_COPIES", 0)
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    check(spark, documents(8, 3000, 12, 5))
+    assert "kept" in plans and "broadcast" not in plans["candidates"].lower()
+    assert [len(v[0]) for v in sent if isinstance(v, tuple)] == [1 << 13] * 2
+
+
+def test_marks(spark):
+    rnd = random.Random(6)
+    hashes = [rnd.randrange(-2**63, 2**63) for _ in range(30_000)] + [-1, 0, 2**63 - 1, -2**63, 0]
+    packed, bits = nj.marks(spark.createDataFrame([(h,) for h in hashes], "token long"))
+    assert bits == 17 and len(packed) == 1 << 14
+    assert np.flatnonzero(np.unpackbits(packed)).tolist() == sorted({(h % 2**64) >> 47 for h in hashes})
+    assert nj._marked(np.array(hashes, np.int64).view(np.uint64), packed, bits).all()
+    assert not nj.marks(spark.createDataFrame([], "token long"))[0].any()
+
+
+def test_counts_of_tasks_that_count_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(nj, "HELD", 50)
+    texts = [" ".join(f"{x}{k}" for k in range(20)) for x in "abcdefgh" for _ in range(400 if x in "adg" else 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    counts = Counter(int(h) >> 47 for s in nj.shingle_sets(texts) for h in s)
+    sets = nj.set_table(docs, 17)
+    assert sets.where("kind = 1").count() > 4
+    got = np.flatnonzero(np.unpackbits(nj.frequent_buckets(sets, 17))).tolist()
+    assert got == sorted(b for b, k in counts.items() if k > 32) and got
